@@ -461,7 +461,7 @@ FROM cnt"""
 def _erfc(x: str) -> str:
     a1, a2, a3, a4, a5 = (dbl(a) for a in AS_A)
     t = f"(1.0 / (1.0 + {dbl(AS_P)} * ({x})))"
-    return f"({t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5}))))) * EXP(-(({x}) * ({x}))))"
+    return f"({t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5})))) * EXP(-(({x}) * ({x}))))"
 
 
 def _ab(seg_col: str, a, b, a_sql: str, b_sql: str) -> str:

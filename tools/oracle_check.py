@@ -21,6 +21,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def duck(sf_dir: str):
     import duckdb
 
@@ -62,6 +66,12 @@ def compare(spark, con, name, fn, sql, sf_dir):
     problems = []
     if sorted(scols) != sorted(dcols):
         problems.append(f"columns spark={scols} duck={dcols}")
+    else:
+        dtypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+        for f in sdf.schema.fields:
+            want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+            if dtypes.get(f.name) != want:
+                problems.append(f"type {f.name}: spark={f.dataType.simpleString()} duck={dtypes.get(f.name)}")
     if len(srows) != len(drows):
         problems.append(f"rows spark={len(srows)} duck={len(drows)}")
     if not problems:
