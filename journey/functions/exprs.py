@@ -152,8 +152,8 @@ PROPS_SCHEMA = T.StructType(
 
 
 def parse_props(col, schema: T.StructType = PROPS_SCHEMA) -> Column:
-    """JSON text → struct. Malformed text gives NULL fields, never an error."""
-    return F.from_json(_c(col), schema, {"mode": "PERMISSIVE"})
+    """JSON text → struct. Malformed text gives NULL fields, never an error (PERMISSIVE is the default)."""
+    return F.from_json(_c(col), schema)
 
 
 def prop(col, key: str, default=None, schema: T.StructType = PROPS_SCHEMA) -> Column:

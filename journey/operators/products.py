@@ -59,8 +59,14 @@ def abandoned_products(events, add: str, purchase: str, min_sessions: int = 50,
     """
     s, e = F.col(spec.session_col), F.col(spec.event_col)
     p = parse_props(spec.props_col)
-    pe = events.select(s, e.alias("_e"), p.getField("product_id").alias("product_id"),
-                       p.getField("category").alias("category")).filter(F.col("product_id").isNotNull())
+    src = events
+    if min_sessions >= 0:
+        # only add / purchase rows can raise either count, and a product with no
+        # add cannot pass ``added > min_sessions``: filter before parsing JSON
+        # (the IN-list reaches the scan).
+        src = events.filter(e.isin(add) if via_session else e.isin(add, purchase))
+    pe = src.select(s, e.alias("_e"), p.getField("product_id").alias("product_id"),
+                    p.getField("category").alias("category")).filter(F.col("product_id").isNotNull())
     keys = [spec.session_col, "product_id", "category"]
     if not via_session:
         per = pe.filter(s.isNotNull()).groupBy(*keys).agg(
