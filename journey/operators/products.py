@@ -65,8 +65,11 @@ def abandoned_products(events, add: str, purchase: str, min_sessions: int = 50,
         # add cannot pass ``added > min_sessions``: filter before parsing JSON
         # (the IN-list reaches the scan).
         src = events.filter(e.isin(add) if via_session else e.isin(add, purchase))
-    pe = src.select(s, e.alias("_e"), p.getField("product_id").alias("product_id"),
-                    p.getField("category").alias("category")).filter(F.col("product_id").isNotNull())
+    # The parsed fields come out of a one-element ``inline``: a filter on them
+    # stays above the generator, so the JSON is parsed once per row (a plain
+    # projection would let the filter be pushed below it with a second parse).
+    parsed = F.struct(p.getField("product_id").alias("product_id"), p.getField("category").alias("category"))
+    pe = src.select(s, e.alias("_e"), F.inline(F.array(parsed))).filter(F.col("product_id").isNotNull())
     keys = [spec.session_col, "product_id", "category"]
     if not via_session:
         per = pe.filter(s.isNotNull()).groupBy(*keys).agg(
