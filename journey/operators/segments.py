@@ -190,10 +190,9 @@ def segment_share(sessions, orders, segment_col: str, session_col: str = "sessio
         F.coalesce(F.sum("_orders"), F.lit(0)).cast("long").alias("orders"),
         F.coalesce(F.sum("_revenue"), F.lit(0.0)).alias("revenue"),
     )
-    tot = {c: agg.agg(F.sum(c)).scalar() for c in ("sessions", "orders", "revenue")}
+    tot = agg.agg(F.struct(*[F.sum(c).alias(c) for c in ("sessions", "orders", "revenue")])).scalar()
     return agg.select(
         "segment", "sessions", "orders", "revenue",
-        safe_div(F.col("sessions"), tot["sessions"]).alias("session_share"),
-        safe_div(F.col("orders"), tot["orders"]).alias("order_share"),
-        safe_div(F.col("revenue"), tot["revenue"]).alias("revenue_share"),
+        *[safe_div(F.col(c), tot.getField(c)).alias(share)
+          for c, share in (("sessions", "session_share"), ("orders", "order_share"), ("revenue", "revenue_share"))],
     )

@@ -66,7 +66,8 @@ def read_raw(spark: SparkSession, sf_dir: str) -> RawTables:
 
 
 def _k(raw_events: DataFrame):
-    return F.get_json_object(raw_events["props"], "$.k").cast("long")
+    # try_cast: under ANSI mode a malformed value must give NULL, not fail the job
+    return F.get_json_object(raw_events["props"], "$.k").try_cast("long")
 
 
 def session_key(user_id, ts):
