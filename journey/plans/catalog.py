@@ -47,9 +47,12 @@ def rounded(df: DataFrame, dp: int = ROUND_DP) -> DataFrame:
     return df.select(*cols)
 
 
+MATERIALIZE_SESSIONS = True  # write the derived sessions dimension once per session (see driver_tables)
+
+
 def _q(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(driver_tables(spark, sf_dir)))
+        return rounded(fn(driver_tables(spark, sf_dir, MATERIALIZE_SESSIONS)))
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

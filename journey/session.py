@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,19 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "j
     return spark
 
 
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the checkpoint folder and return a scan of it.
+
+    Used for derived dimensions that many queries read (e.g. sessions
+    derived from events): the lineage is cut, the files survive executor
+    loss, and later scans prune columns and push filters.
+    """
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/journey-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a scratch one only when unset (local runs).
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import PROPS_SCHEMA, whole_seconds_between
+from journey.session import materialize
 from journey.sources.io import Tables
 
 RAW_TABLES = ("events", "customer", "orders", "nation", "region")
@@ -196,10 +197,15 @@ class DriverTables(Tables):
     """Journey tables over the benchmark tables, each built on first access.
 
     A query that only needs ``events`` never constructs the session joins.
+    With ``materialize_sessions`` the derived sessions dimension is written
+    once as Parquet under the checkpoint folder (as a stored sessions table
+    would be), so segment queries read it instead of aggregating the event
+    log a second time; otherwise it stays a lazy plan.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: D107 — fields are lazy properties
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize_sessions: bool = True):  # noqa: D107
         self.raw = read_raw(spark, sf_dir)
+        self.materialize_sessions = materialize_sessions
 
     @cached_property
     def events(self) -> DataFrame:
@@ -207,7 +213,8 @@ class DriverTables(Tables):
 
     @cached_property
     def sessions(self) -> DataFrame:
-        return adapt_sessions(self.events, self.raw)
+        s = adapt_sessions(self.events, self.raw)
+        return materialize(s, "sessions") if self.materialize_sessions else s
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -225,13 +232,14 @@ class DriverTables(Tables):
 _PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
-def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
-    """The journey tables of ``sf_dir``; the (lazy, immutable) plans are reused per session.
+def driver_tables(spark: SparkSession, sf_dir: str, materialize_sessions: bool = True) -> DriverTables:
+    """The journey tables of ``sf_dir``; plans (and the written sessions table) are reused per session.
 
-    Only DataFrame definitions are kept — no data is cached — so a new
-    query re-reads the files but skips re-analysing the adapter plans.
+    Nothing is cached in memory: the events are re-read by every query, the
+    derived sessions dimension is read back from its Parquet files.
     """
     per_session = _PLANS.setdefault(spark, {})
-    if sf_dir not in per_session:
-        per_session[sf_dir] = DriverTables(spark, sf_dir)
-    return per_session[sf_dir]
+    key = (sf_dir, materialize_sessions)
+    if key not in per_session:
+        per_session[key] = DriverTables(spark, sf_dir, materialize_sessions)
+    return per_session[key]

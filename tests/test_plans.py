@@ -36,17 +36,25 @@ def test_wide_funnel_single_pass(t):
     assert len(scans(df, "events")) == 1 and len(exchanges(df)) == 2
 
 
-def test_unused_dimension_join_is_pruned(t):
-    # hourly conversion needs no customer/nation/region column: those scans must not appear
-    df = op.hourly_conversion(t.sessions, t.orders)
+def test_unused_dimension_join_is_pruned(spark):
+    # lazy sessions: hourly conversion needs no customer/nation/region column, so those scans must not appear
+    lazy = driver_tables(spark, SF001, materialize_sessions=False)
+    df = op.hourly_conversion(lazy.sessions, lazy.orders)
     assert scans(df, "customer") == [] and scans(df, "nation") == []
 
 
-def test_segment_join_uses_dimension(t):
-    df = op.segment_funnel(t.sessions, t.events, SPEC, "device_type")
+def test_segment_join_uses_dimension(spark):
+    lazy = driver_tables(spark, SF001, materialize_sessions=False)
+    df = op.segment_funnel(lazy.sessions, lazy.events, SPEC, "device_type")
     assert len(scans(df, "customer")) == 1
 
 
+def test_materialized_sessions_single_event_pass(t):
+    # with the sessions dimension written once, a segment funnel reads the event log once
+    df = op.segment_funnel(t.sessions, t.events, SPEC, "device_type")
+    assert len(scans(df, "events")) == 1 and len(scans(df, "customer")) == 0
+
+
 def test_channel_roi_has_no_fanout_join_of_raw_rows(t):
     df = op.channel_roi(t.sessions, t.events, t.orders, "traffic_source", "purchase")
     text = "\n".join(exchanges(df))
