@@ -38,24 +38,35 @@ def materialize(df, name: str):
 
     Used for derived dimensions that many queries read (e.g. sessions
     derived from events): the lineage is cut, the files survive executor
-    loss, and later scans prune columns and push filters.
+    loss, and later scans prune columns and push filters.  Without a
+    usable checkpoint folder the lazy plan is returned (same results).
     """
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    try:
+        base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    except Exception:  # e.g. no SparkContext on a remote client session
+        return df
     path = f"{base}/journey-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a scratch one only when unset (local runs).
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the shared folder comes from the session configuration and is
-    never overridden here.
+    On a cluster the shared folder comes from the session configuration and
+    is never overridden here; a scratch folder is set only when none is
+    configured (local runs and tests).
     """
-    conf = spark.sparkContext.getConf()
-    current = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        configured = None
+    if configured:
+        return configured
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
     path = tempfile.mkdtemp(prefix="journey-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path

@@ -88,12 +88,15 @@ def compare(spark, con, name, fn, sql, sf_dir):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--tz", default=None, help="session time zone to run Spark with")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     from journey.plans import ORACLE_SQL, QUERIES
     from journey.session import get_spark
 
     spark = get_spark(8)
+    if a.tz:
+        spark.conf.set("spark.sql.session.timeZone", a.tz)
     con = duck(a.sf)
     names = a.names or list(QUERIES)
     ok = 0
