@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from journey.functions.exprs import (
     pooled_z, priority_quadrant, safe_div, sample_size_per_variant, significance_label, two_sided_p,
 )
-from journey.operators.flags import count_cols, flag_sums, session_flags
+from journey.operators.flags import count_cols
 from journey.operators.funnel import average_order_value
 from journey.operators.segments import segment_counts
 from journey.spec import FunnelSpec

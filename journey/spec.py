@@ -8,10 +8,9 @@ an operator.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
@@ -85,7 +84,6 @@ class Roles:
     success: str = "payment_success"
     purchase: str = "payment_success"
     method_selected: str | None = "payment_method_selected"
-    extra: dict = field(default_factory=dict)
 
 
 # --- fixed values: stage vocabularies of the original project -------------
@@ -165,7 +163,3 @@ def require_columns(df: DataFrame, *cols: str) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} not in {df.columns}")
-
-
-def lit_col(name: str) -> Column:
-    return F.col(name)
