@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import pct, safe_div
@@ -38,18 +38,27 @@ def revenue_leakage(events: DataFrame, orders: DataFrame, spec: FunnelSpec, gmv_
 
 
 def leak_ranking(events: DataFrame, orders: DataFrame, spec: FunnelSpec, k: int = 2, gmv_col: str = "gmv") -> DataFrame:
-    """Q3: stages ranked by drop-off volume; the top ``k`` are the leaks.
+    """Q3: stages ranked by drop-off volume (ties: earlier stage first); the top ``k`` are the leaks.
 
-    The window runs over the stage rows only (bounded by the funnel length).
+    The rank of a stage is 1 + the number of stages ahead of it, counted by
+    pairwise comparisons on the one-row stage counts — no window, no sort.
     """
-    w = Window.orderBy(F.col("dropoff_count").desc(), F.col("stage_idx"))
-    return (
-        revenue_leakage(events, orders, spec, gmv_col)
-        .filter(F.col("dropoff_count").isNotNull())
-        .select("stage_idx", "stage_name", "stage_label", "dropoff_count", "revenue_lost")
-        .withColumn("leak_rank", F.row_number().over(w))
-        .withColumn("is_top_leak", F.col("leak_rank") <= k)
-    )
+    aov = average_order_value(orders, gmv_col)
+    c = [F.col(x) for x in (f"c{i}" for i in range(spec.n))]
+    d = {i: c[i - 1] - c[i] for i in range(1, spec.n)}
+    rows = []
+    for i in d:
+        ahead = [F.when((d[j] > d[i]) | ((d[j] == d[i]) & F.lit(j < i)), F.lit(1)).otherwise(F.lit(0)) for j in d if j != i]
+        rank = F.lit(1)
+        for a in ahead:
+            rank = rank + a
+        rows.append(F.struct(
+            F.lit(i).alias("stage_idx"), F.lit(spec.names[i]).alias("stage_name"),
+            F.lit(spec.labels[i]).alias("stage_label"), d[i].alias("dropoff_count"),
+            (d[i].cast("double") * final_conv(spec) * aov).alias("revenue_lost"),
+            rank.cast("int").alias("leak_rank"), (rank <= F.lit(k)).alias("is_top_leak"),
+        ))
+    return stage_counts(events, spec).select(F.inline(F.array(*rows)))
 
 
 def leak_total(events: DataFrame, orders: DataFrame, spec: FunnelSpec, gmv_col: str = "gmv") -> DataFrame:

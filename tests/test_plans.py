@@ -64,3 +64,11 @@ def test_channel_roi_has_no_fanout_join_of_raw_rows(t):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_in_plans(spark, name):
     assert python_udfs(QUERIES[name](spark, SF001)) == []
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_no_cross_join_or_global_window(spark, name):
+    from journey.plans.inspect import physical_plan
+
+    pp = physical_plan(QUERIES[name](spark, SF001))
+    assert "CartesianProduct" not in pp and "BroadcastNestedLoopJoin" not in pp and "Window" not in pp
