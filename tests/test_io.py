@@ -11,7 +11,7 @@ from journey.sources.driver_tables import driver_tables
 from journey.sources.io import read_csv, write_csv, write_parquet
 from journey.spec import PRESETS
 from journey import operators as op
-from tests.conftest import SF001
+from tests.conftest import SF001, rows
 
 CSV = '''event_id,event_properties,is_new,coupon,total
 1,"{""product_id"": 12, ""category"": ""fashion"", ""price"": 499}",True,,1.0
@@ -66,3 +66,51 @@ def test_adapter_json_parses(spark):
     parsed = t.events.filter(F.col("event_name") == "error").select(
         parse_props("event_properties").getField("reason").alias("r"))
     assert parsed.filter(F.col("r").isNull()).count() == 0
+
+
+def test_load_tables_csv_end_to_end(spark, fx):
+    """Journey tables as CSV files (pandas quoting) → declared schemas → funnel."""
+    import csv
+
+    from journey.sources.io import load_tables
+    from tests.conftest import EVENTS, ORDERS, SESSIONS, STAGES
+
+    d = _scratch()
+
+    def write(name, header, rows):
+        with open(os.path.join(d, f"{name}.csv"), "w", newline="") as f:
+            w = csv.writer(f, quoting=csv.QUOTE_MINIMAL, doublequote=True)
+            w.writerow(header)
+            for r in rows:
+                w.writerow(["" if v is None else v for v in r])
+
+    from journey.sources import schemas
+
+    write("sessions", [f.name for f in schemas.SESSIONS.fields],
+          [(s[0], s[1], s[2].isoformat(), s[3], s[4], s[5], s[6], "homepage", s[7], None, s[8], False, s[9], None)
+           for s in SESSIONS])
+    write("events", ["event_id", "session_id", "user_id", "event_timestamp", "event_name", "event_properties",
+                     "page_url", "time_on_page_seconds"],
+          [(e[0], e[1], None, e[2].strftime("%Y-%m-%d %H:%M:%S"), e[3], e[4], "/" + e[3].replace("_", "-"), 10)
+           for e in EVENTS])
+    write("orders", ["order_id", "session_id", "user_id", "order_date", "gmv", "discount_applied", "coupon_code",
+                     "discount_amount", "payment_method", "delivery_pincode", "category", "is_first_order", "device_type"],
+          [(o[0], o[1], o[2], o[3].strftime("%Y-%m-%d %H:%M:%S"), o[4], True, "SAVE20", 0.0, o[5], "010101",
+            "beauty", True, "mobile") for o in ORDERS])
+    t = load_tables(spark, d, fmt="csv")
+    assert t.users is None
+    assert t.orders.filter("delivery_pincode = '010101'").count() == 3  # leading zero kept
+    got = rows(op.overall_funnel(t.events, STAGES), "stage_idx", "session_count")
+    assert got == rows(op.overall_funnel(fx.events, STAGES), "stage_idx", "session_count")
+    assert rows(op.failure_reasons(t.events, "payment_failed")) == [("unknown", 1), ("upi_error", 1)]
+    assert rows(op.hourly_conversion(t.sessions, t.orders), "session_hour", "sessions") == [(9, 2), (13, 2), (20, 3)]
+
+
+def test_missing_table_raises(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from journey.sources.io import load_tables
+
+    with pytest.raises(AnalysisException):
+        load_tables(spark, "/nonexistent/journey")
