@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import safe_div
+from journey.functions.sqltext import array, div, ident, in_list, lit, named_struct
 from journey.spec import FunnelSpec
 
 
@@ -25,12 +25,10 @@ def session_flags(events: DataFrame, spec: FunnelSpec, all_sessions: bool = Fals
     ``all_sessions=True`` keeps one row for every session with any event.
     NULL session ids are dropped (distinct counts skip NULL).
     """
-    sess, ev = F.col(spec.session_col), F.col(spec.event_col)
-    df = events.filter(sess.isNotNull())
-    if not all_sessions:
-        df = df.filter(ev.isin(*spec.names))
-    return df.groupBy(spec.session_col).agg(
-        *[F.max(F.when(ev == F.lit(n), F.lit(1)).otherwise(F.lit(0))).alias(spec.flag(i)) for i, n in enumerate(spec.names)]
+    s, e = ident(spec.session_col), ident(spec.event_col)
+    cond = f"{s} IS NOT NULL" + ("" if all_sessions else f" AND {e} IN ({in_list(spec.names)})")
+    return events.filter(cond).groupBy(spec.session_col).agg(
+        *[F.expr(f"max(CASE WHEN {e} = {lit(n)} THEN 1 ELSE 0 END) AS {spec.flag(i)}") for i, n in enumerate(spec.names)]
     )
 
 
@@ -40,7 +38,7 @@ def count_cols(spec: FunnelSpec) -> list[str]:
 
 def flag_sums(spec: FunnelSpec) -> list[Column]:
     """Stage counts as aggregate expressions over a flag table (0 on empty input)."""
-    return [F.coalesce(F.sum(spec.flag(i)), F.lit(0)).cast("long").alias(f"c{i}") for i in range(spec.n)]
+    return [F.expr(f"CAST(coalesce(sum({spec.flag(i)}), 0) AS BIGINT) AS c{i}") for i in range(spec.n)]
 
 
 def stage_counts(events: DataFrame, spec: FunnelSpec) -> DataFrame:
@@ -55,29 +53,21 @@ def funnel_rows(spec: FunnelSpec, with_rates: bool = True) -> Column:
     arithmetic on the wide row, so no window (and no single-partition sort)
     is needed; ``inline`` then turns the array into rows.
     """
-    c = [F.col(x) for x in count_cols(spec)]
     rows = []
     for i, (name, label) in enumerate(spec.stages):
-        fields = [
-            F.lit(i).alias("stage_idx"),
-            F.lit(name).alias("stage_name"),
-            F.lit(label).alias("stage_label"),
-            c[i].alias("session_count"),
-        ]
+        f = {"stage_idx": str(i), "stage_name": lit(name), "stage_label": lit(label), "session_count": f"c{i}"}
         if with_rates:
-            prev = c[i - 1] if i > 0 else None
-            fields += [
-                safe_div(c[i], c[0]).alias("overall_conv_rate"),
-                (F.lit(1.0) if i == 0 else safe_div(c[i], prev)).alias("stage_conv_rate"),
-                (F.lit(None).cast("long") if i == 0 else (prev - c[i])).alias("dropoff_count"),
-                (F.lit(None).cast("double") if i == 0 else safe_div(prev - c[i], prev)).alias("dropoff_rate"),
-            ]
-        rows.append(F.struct(*fields))
-    return F.array(*rows)
+            prev = f"c{i - 1}"
+            f["overall_conv_rate"] = div(f"c{i}", "c0")
+            f["stage_conv_rate"] = "1.0D" if i == 0 else div(f"c{i}", prev)
+            f["dropoff_count"] = "CAST(NULL AS BIGINT)" if i == 0 else f"({prev} - c{i})"
+            f["dropoff_rate"] = "CAST(NULL AS DOUBLE)" if i == 0 else div(f"({prev} - c{i})", prev)
+        rows.append(named_struct(f))
+    return F.expr(array(rows))
 
 
 def final_conv(spec: FunnelSpec) -> Column:
-    return safe_div(F.col(f"c{spec.n - 1}"), F.col("c0"))
+    return F.expr(div(f"c{spec.n - 1}", "c0"))
 
 
 def mark_best(df: DataFrame, key: str, value: str, name: str = "is_best") -> DataFrame:

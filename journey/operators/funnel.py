@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import pct, safe_div
+from journey.functions.sqltext import array, div, ident, lit, named_struct, pct_sql
 from journey.operators.flags import final_conv, funnel_rows, session_flags, stage_counts, flag_sums
 from journey.spec import FunnelSpec
 
@@ -44,21 +44,19 @@ def leak_ranking(events: DataFrame, orders: DataFrame, spec: FunnelSpec, k: int
     pairwise comparisons on the one-row stage counts — no window, no sort.
     """
     aov = average_order_value(orders, gmv_col)
-    c = [F.col(x) for x in (f"c{i}" for i in range(spec.n))]
-    d = {i: c[i - 1] - c[i] for i in range(1, spec.n)}
+    d = {i: f"(c{i - 1} - c{i})" for i in range(1, spec.n)}
     rows = []
     for i in d:
-        ahead = [F.when((d[j] > d[i]) | ((d[j] == d[i]) & F.lit(j < i)), F.lit(1)).otherwise(F.lit(0)) for j in d if j != i]
-        rank = F.lit(1)
-        for a in ahead:
-            rank = rank + a
-        rows.append(F.struct(
-            F.lit(i).alias("stage_idx"), F.lit(spec.names[i]).alias("stage_name"),
-            F.lit(spec.labels[i]).alias("stage_label"), d[i].alias("dropoff_count"),
-            (d[i].cast("double") * final_conv(spec) * aov).alias("revenue_lost"),
-            rank.cast("int").alias("leak_rank"), (rank <= F.lit(k)).alias("is_top_leak"),
-        ))
-    return stage_counts(events, spec).select(F.inline(F.array(*rows)))
+        ahead = [f"CASE WHEN {d[j]} > {d[i]} OR ({d[j]} = {d[i]} AND {lit(j < i)}) THEN 1 ELSE 0 END" for j in d if j != i]
+        rank = "CAST(" + " + ".join(["1"] + ahead) + " AS INT)"
+        rows.append(named_struct({"stage_idx": str(i), "stage_name": lit(spec.names[i]),
+                                  "stage_label": lit(spec.labels[i]), "dropoff_count": d[i], "leak_rank": rank}))
+    ranked = stage_counts(events, spec).select(final_conv(spec).alias("_final"), F.inline(F.expr(array(rows))))
+    return ranked.select(
+        "stage_idx", "stage_name", "stage_label", "dropoff_count",
+        (F.col("dropoff_count").cast("double") * F.col("_final") * aov).alias("revenue_lost"),
+        "leak_rank", (F.col("leak_rank") <= F.lit(k)).alias("is_top_leak"),
+    )
 
 
 def leak_total(events: DataFrame, orders: DataFrame, spec: FunnelSpec, gmv_col: str = "gmv") -> DataFrame:
@@ -72,15 +70,12 @@ def funnel_flow(events: DataFrame, spec: FunnelSpec, drop_label: str = "Dropped
     """Q5: Sankey edges — stage i → i+1 with the next count, and i → drop with the next drop-off."""
     if spec.n < 2:
         raise ValueError("a flow needs at least two stages")
-    c = [F.col(f"c{i}") for i in range(spec.n)]
     edges = []
     for i in range(spec.n - 1):
-        src = spec.labels[i]
-        edges.append(F.struct(F.lit(i).alias("source_idx"), F.lit(src).alias("source_stage"),
-                              F.lit(spec.labels[i + 1]).alias("target_stage"), c[i + 1].alias("value")))
-        edges.append(F.struct(F.lit(i).alias("source_idx"), F.lit(src).alias("source_stage"),
-                              F.lit(drop_label).alias("target_stage"), (c[i] - c[i + 1]).alias("value")))
-    return stage_counts(events, spec).select(F.inline(F.array(*edges)))
+        src = {"source_idx": str(i), "source_stage": lit(spec.labels[i])}
+        edges.append(named_struct({**src, "target_stage": lit(spec.labels[i + 1]), "value": f"c{i + 1}"}))
+        edges.append(named_struct({**src, "target_stage": lit(drop_label), "value": f"(c{i} - c{i + 1})"}))
+    return stage_counts(events, spec).selectExpr(f"inline({array(edges)})")
 
 
 def conversion_waterfall(events: DataFrame, spec: FunnelSpec, total_label: str = "Total") -> DataFrame:
@@ -89,28 +84,25 @@ def conversion_waterfall(events: DataFrame, spec: FunnelSpec, total_label: str =
     Each relative value carries the label of the stage it belongs to; the
     total gets its own row.
     """
-    c = [F.col(f"c{i}") for i in range(spec.n)]
-    rows = []
-    for i in range(1, spec.n):
-        rows.append(F.struct(F.lit(i).alias("stage_idx"), F.lit(spec.labels[i]).alias("stage_label"),
-                             F.lit("relative").alias("measure"),
-                             (F.lit(0.0) - F.coalesce(safe_div(c[i - 1] - c[i], c[i - 1]), F.lit(0.0))).alias("value")))
-    rows.append(F.struct(F.lit(spec.n).alias("stage_idx"), F.lit(total_label).alias("stage_label"),
-                         F.lit("total").alias("measure"), final_conv(spec).alias("value")))
-    return stage_counts(events, spec).select(F.inline(F.array(*rows)))
+    rows = [
+        named_struct({"stage_idx": str(i), "stage_label": lit(spec.labels[i]), "measure": lit("relative"),
+                      "value": f"0.0D - coalesce({div(f'(c{i - 1} - c{i})', f'c{i - 1}')}, 0.0D)"})
+        for i in range(1, spec.n)
+    ]
+    rows.append(named_struct({"stage_idx": str(spec.n), "stage_label": lit(total_label), "measure": lit("total"),
+                              "value": div(f"c{spec.n - 1}", "c0")}))
+    return stage_counts(events, spec).selectExpr(f"inline({array(rows)})")
 
 
 def wide_funnel(events: DataFrame, spec: FunnelSpec) -> DataFrame:
     """Q29: one row — sessions with any event, sessions per stage, step and overall rates (percent, 2 dp)."""
     flags = session_flags(events, spec, all_sessions=True)
     wide = flags.agg(F.count(F.lit(1)).alias("total_sessions"), *flag_sums(spec))
-    c = [F.col(f"c{i}") for i in range(spec.n)]
-    names = spec.names
-    cols = [F.col("total_sessions")]
-    cols += [c[i].alias(f"sessions_with_{names[i]}") for i in range(spec.n)]
-    cols += [pct(c[i], c[i - 1]).alias(f"{names[i - 1]}_to_{names[i]}_rate") for i in range(1, spec.n)]
-    cols.append(pct(c[-1], F.col("total_sessions")).alias("overall_conversion_rate"))
-    return wide.select(*cols)
+    n = spec.names
+    cols = ["total_sessions"] + [f"c{i} AS {ident('sessions_with_' + n[i])}" for i in range(spec.n)]
+    cols += [f"{pct_sql(f'c{i}', f'c{i - 1}')} AS {ident(n[i - 1] + '_to_' + n[i] + '_rate')}" for i in range(1, spec.n)]
+    cols.append(f"{pct_sql(f'c{spec.n - 1}', 'total_sessions')} AS overall_conversion_rate")
+    return wide.selectExpr(*cols)
 
 
 def dashboard_funnel(events: DataFrame, spec: FunnelSpec) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import city_tier, pct, safe_div, safe_div_or_zero, TIER1_CITIES, TIER2_CITIES
-from journey.operators.flags import count_cols, flag_sums, mark_best, session_flags
+from journey.functions.sqltext import array, div, lit, named_struct
+from journey.operators.flags import flag_sums, mark_best, session_flags
 from journey.spec import FunnelSpec, require_columns
 
 
@@ -28,11 +29,10 @@ def segment_counts(
     return j.groupBy("segment").agg(F.count(F.lit(1)).alias("total_sessions"), *flag_sums(spec))
 
 
-def _segment_rows(spec: FunnelSpec, denominator: Column) -> Column:
-    c = [F.col(x) for x in count_cols(spec)]
-    return F.array(*[
-        F.struct(F.lit(i).alias("stage_idx"), F.lit(n).alias("stage_name"), F.lit(lbl).alias("stage_label"),
-                 c[i].alias("session_count"), safe_div(c[i], denominator).alias("conv_rate"))
+def _segment_rows(spec: FunnelSpec, denominator: str) -> str:
+    return array([
+        named_struct({"stage_idx": str(i), "stage_name": lit(n), "stage_label": lit(lbl),
+                      "session_count": f"c{i}", "conv_rate": div(f"c{i}", denominator)})
         for i, (n, lbl) in enumerate(spec.stages)
     ])
 
@@ -43,7 +43,7 @@ def segment_funnel(sessions, events, spec: FunnelSpec, segment_col: str, keep_nu
     NULL segments are dropped unless ``keep_null``.
     """
     w = segment_counts(sessions, events, spec, segment_col, keep_null)
-    return w.select("segment", "total_sessions", F.inline(_segment_rows(spec, F.col("total_sessions")))).select(
+    return w.selectExpr("segment", "total_sessions", f"inline({_segment_rows(spec, 'total_sessions')})").select(
         "segment", "stage_idx", "stage_name", "stage_label", "session_count", "total_sessions", "conv_rate"
     )
 
@@ -165,13 +165,11 @@ def device_dropoff(sessions, events, segment_col: str, product_view: str, add_to
 def dashboard_segment_funnel(sessions, events, spec: FunnelSpec, segment_col: str) -> DataFrame:
     """Q38: per segment and step — sessions and share of the segment's first step."""
     w = segment_counts(sessions, events, spec, segment_col)
-    c = [F.col(x) for x in count_cols(spec)]
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("step_idx"), F.lit(n).alias("step"), c[i].alias("sessions"),
-                 safe_div(c[i], c[0]).alias("pct_initial"))
+    rows = array([
+        named_struct({"step_idx": str(i), "step": lit(n), "sessions": f"c{i}", "pct_initial": div(f"c{i}", "c0")})
         for i, n in enumerate(spec.names)
     ])
-    return w.select("segment", F.inline(rows))
+    return w.selectExpr("segment", f"inline({rows})")
 
 
 def segment_share(sessions, orders, segment_col: str, session_col: str = "session_id",

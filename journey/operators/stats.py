@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from journey.functions.exprs import (
     pooled_z, priority_quadrant, safe_div, sample_size_per_variant, significance_label, two_sided_p,
 )
-from journey.operators.flags import count_cols
+from journey.functions.sqltext import array, lit, named_struct
+from journey.operators.flags import final_conv
 from journey.operators.funnel import average_order_value
 from journey.operators.segments import segment_counts
 from journey.spec import FunnelSpec
@@ -69,15 +70,10 @@ def priority_matrix(sessions, events, orders, spec: FunnelSpec, segment_col: str
     """
     w = segment_counts(sessions, events, spec, segment_col)
     aov = average_order_value(orders, gmv_col)
-    c = [F.col(x) for x in count_cols(spec)]
-    final = safe_div(c[-1], c[0])
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("stage_idx"), F.lit(spec.names[i]).alias("stage_name"),
-                 (c[i - 1] - c[i]).alias("sessions"),
-                 ((c[i - 1] - c[i]).cast("double") * final * aov).alias("revenue_impact"))
-        for i in range(1, spec.n)
-    ])
-    long = w.select("segment", F.inline(rows))
+    rows = array([named_struct({"stage_idx": str(i), "stage_name": lit(spec.names[i]), "sessions": f"(c{i - 1} - c{i})"})
+                  for i in range(1, spec.n)])
+    long = w.select("segment", final_conv(spec).alias("_final"), F.inline(F.expr(rows))).withColumn(
+        "revenue_impact", F.col("sessions").cast("double") * F.col("_final") * aov)
     eff = F.broadcast(effort_frame(sessions.sparkSession, effort))
     j = long.join(eff, "stage_name", "left")
     return j.select(

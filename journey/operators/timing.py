@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from journey.functions.exprs import (
     DURATION_BUCKETS, DURATION_EDGES, duration_bucket_idx, month_key, safe_div, seconds_between, weekday_name,
 )
+from journey.functions.sqltext import array, lit, named_struct
 from journey.operators.flags import mark_best
 
 W_ROWS, W_CONV, W_GMV = "_w_rows", "_w_conv", "_w_gmv"
@@ -108,11 +109,9 @@ def duration_conversion(sessions, orders, duration_col: str = "session_duration_
         hit = F.col("_b") == F.lit(i)
         aggs.append(safe_div(F.sum(F.when(hit, F.col(W_CONV))), F.sum(F.when(hit, F.col(W_ROWS)))).alias(f"r{i}"))
     one = m.agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("bucket_idx"), F.lit(lbl).alias("duration_bucket"), F.col(f"r{i}").alias("conv_rate"))
-        for i, lbl in enumerate(labels)
-    ])
-    return one.select(F.inline(rows))
+    rows = array([named_struct({"bucket_idx": str(i), "duration_bucket": lit(lbl), "conv_rate": f"r{i}"})
+                  for i, lbl in enumerate(labels)])
+    return one.selectExpr(f"inline({rows})")
 
 
 def bounce_rate(sessions, orders, threshold: int = 30, duration_col: str = "session_duration_seconds") -> DataFrame:
