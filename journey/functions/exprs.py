@@ -162,6 +162,23 @@ def prop(col, key: str, default=None, schema: T.StructType = PROPS_SCHEMA) -> Co
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
+def props_of(df, col: str, schema: T.StructType = PROPS_SCHEMA) -> Column:
+    """The event properties of ``df[col]`` as a struct.
+
+    JSON text is parsed (schema-on-read); a column already stored as a typed
+    struct is used as it is — no parsing, and Parquet reads only the nested
+    fields a query touches.  The choice is made from the DataFrame's schema.
+    """
+    dtype = dict(df.dtypes).get(col, "")
+    return F.col(col) if dtype.startswith("struct") else parse_props(col, schema)
+
+
+def prop_of(df, col: str, key: str, default=None) -> Column:
+    """One property of ``df[col]`` (JSON text or struct) with a default for missing values."""
+    v = props_of(df, col).getField(key)
+    return v if default is None else F.coalesce(v, F.lit(default))
+
+
 def props_json(**fields: Column) -> Column:
     """Serialise properties; NULL fields are omitted, all-NULL gives ``{}``."""
     return F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import prop, safe_div_or_zero
+from journey.functions.exprs import prop_of, safe_div_or_zero
 from journey.spec import FunnelSpec
 
 _DEFAULT = FunnelSpec((("_", "_"),))
@@ -25,7 +25,7 @@ def failure_reasons(events, failed: str, spec: FunnelSpec = _DEFAULT, default: s
     """Q8: failure events per reason; missing key, JSON null or bad JSON → ``default``."""
     return (
         events.filter(F.col(spec.event_col) == F.lit(failed))
-        .select(prop(spec.props_col, "reason", default).alias("reason"))
+        .select(prop_of(events, spec.props_col, "reason", default).alias("reason"))
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.col("count").desc(), F.col("reason"))
@@ -43,7 +43,7 @@ def method_failure_rate(events, initiated: str, success: str, failed: str, metho
     """
     names = [initiated, success, failed] + ([method_stage] if method_stage else [])
     e, oid = F.col(spec.event_col), F.col(spec.order_col)
-    m = prop(spec.props_col, "method", default)
+    m = prop_of(events, spec.props_col, "method", default)
     pay = events.filter(e.isin(*names)).select(spec.session_col, e.alias("_e"), oid.alias("_o"), m.alias("_m"))
     per = pay.groupBy(spec.session_col).agg(
         F.bool_or(F.col("_e") == F.lit(initiated)).alias("_init"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import parse_props, pct
+from journey.functions.exprs import pct, props_of
 from journey.spec import FunnelSpec
 
 _DEFAULT = FunnelSpec((("_", "_"),))
@@ -17,7 +17,7 @@ def product_sessions(events, view: str, add: str, spec: FunnelSpec = _DEFAULT, d
     "First" follows the event id (file order), not the timestamp.
     """
     e = F.col(spec.event_col)
-    p = parse_props(spec.props_col)
+    p = props_of(events, spec.props_col)
     pe = events.filter(e.isin(view, add)).select(
         spec.session_col, e.alias("_e"), F.col(spec.order_col).alias("_o"),
         p.getField("price").alias("_price"), F.coalesce(p.getField("category"), F.lit(default)).alias("_cat"),
@@ -58,7 +58,7 @@ def abandoned_products(events, add: str, purchase: str, min_sessions: int = 50,
     The top-``k`` is the report itself; ties are broken by product, category.
     """
     s, e = F.col(spec.session_col), F.col(spec.event_col)
-    p = parse_props(spec.props_col)
+    p = props_of(events, spec.props_col)
     src = events
     if min_sessions >= 0:
         # only add / purchase rows can raise either count, and a product with no

@@ -207,3 +207,19 @@ def test_payment_mix(fx):
     s = op.with_city_tier(fx.sessions)
     r = op.payment_mix_by_segment(s, fx.orders, "city_tier", "cod")
     assert rows(r) == [("Tier 1", 3, 2, pytest.approx(2 / 3))]
+
+
+def test_typed_properties_give_same_results(fx):
+    """Properties stored as a struct column (no JSON parsing) give the JSON-text results."""
+    from journey.functions.exprs import parse_props
+
+    typed = fx.events.withColumn("event_properties", parse_props("event_properties"))
+    pairs = [
+        (lambda ev: op.failure_reasons(ev, "payment_failed")),
+        (lambda ev: op.method_failure_rate(ev, "payment_initiated", "payment_success", "payment_failed")),
+        (lambda ev: op.price_cart_histogram(ev, "product_detail_view", "add_to_cart", 200)),
+        (lambda ev: op.category_cart_rate(ev, "product_detail_view", "add_to_cart")),
+        (lambda ev: op.abandoned_products(ev, "add_to_cart", "payment_success", 0, 20)),
+    ]
+    for f in pairs:
+        assert rows(f(typed)) == rows(f(fx.events))
