@@ -189,8 +189,9 @@ def segment_share(sessions, orders, segment_col: str, session_col: str = "sessio
         F.coalesce(F.sum("_revenue"), F.lit(0.0)).alias("revenue"),
     )
     tot = agg.agg(F.struct(*[F.sum(c).alias(c) for c in ("sessions", "orders", "revenue")])).scalar()
-    return agg.select(
+    # the subquery is evaluated once into a column; the shares then read its fields
+    return agg.withColumn("_tot", tot).select(
         "segment", "sessions", "orders", "revenue",
-        *[safe_div(F.col(c), tot.getField(c)).alias(share)
+        *[safe_div(F.col(c), F.col("_tot").getField(c)).alias(share)
           for c, share in (("sessions", "session_share"), ("orders", "order_share"), ("revenue", "revenue_share"))],
     )

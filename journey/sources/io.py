@@ -84,5 +84,6 @@ def dataset_summary(t: Tables) -> DataFrame:
         n_events.alias("n_events"),
         n_users.alias("n_users"),
         F.col("n_orders"),
-        F.try_divide(F.col("n_orders").cast("double"), n_sessions.cast("double")).alias("conversion_rate"),
+    ).withColumn(
+        "conversion_rate", F.try_divide(F.col("n_orders").cast("double"), F.col("n_sessions").cast("double"))
     )
