@@ -46,7 +46,10 @@ def materialize(df, name: str):
     except Exception:  # e.g. no SparkContext on a remote client session
         return df
     path = f"{base}/journey-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    except Exception:  # folder not writable here: keep the lazy plan
+        return df
     return df.sparkSession.read.parquet(path)
 
 
