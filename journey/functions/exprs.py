@@ -30,6 +30,16 @@ def safe_div_or_zero(num, den) -> Column:
     return F.coalesce(safe_div(num, den), F.lit(0.0))
 
 
+MONEY = "decimal(38,6)"
+
+
+def money_sum(col) -> Column:
+    """Exact sum of a money column: DECIMAL addition does not depend on the
+    order in which partitions are combined, so totals (and figures rounded
+    from them) are the same on every run and engine."""
+    return F.sum(_c(col).cast(MONEY))
+
+
 def pct(num, den, scale: int | None = 2) -> Column:
     """``ROUND(num * 100.0 / NULLIF(den, 0), scale)`` in DOUBLE."""
     v = F.try_divide(_c(num).cast("double") * F.lit(100.0), _c(den).cast("double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import pct, safe_div
+from journey.functions.exprs import money_sum, pct, safe_div
 from journey.spec import FunnelSpec
 
 _DEFAULT = FunnelSpec((("_", "_"),))
@@ -26,14 +26,14 @@ def channel_roi(sessions, events, orders, segment_col: str, purchase: str, dedup
     sc = spec.session_col
     pe = events.filter((F.col(spec.event_col) == F.lit(purchase)) & F.col(sc).isNotNull()) \
         .groupBy(sc).agg(F.count(F.lit(1)).alias("_npe"))
-    po = orders.filter(F.col(sc).isNotNull()).groupBy(sc).agg(F.sum(gmv_col).alias("_rev"))
+    po = orders.filter(F.col(sc).isNotNull()).groupBy(sc).agg(money_sum(gmv_col).alias("_rev"))
     s = sessions.select(sc, segment_col)
     j = s.join(pe, sc, "left").join(po, sc, "left")
     mult = F.lit(1) if dedup else F.greatest(F.coalesce(F.col("_npe"), F.lit(0)), F.lit(1))
     agg = j.groupBy(segment_col).agg(
         F.count(F.col(sc)).alias("total_sessions"),
         F.count(F.when(F.col("_npe") > 0, F.col(sc))).alias("converting_sessions"),
-        F.sum(F.col("_rev") * mult).alias("_rev"),
+        F.sum(F.col("_rev") * mult).cast("double").alias("_rev"),
     )
     return agg.select(
         segment_col, "total_sessions", "converting_sessions",

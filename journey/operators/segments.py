@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import city_tier, pct, safe_div, safe_div_or_zero, TIER1_CITIES, TIER2_CITIES
+from journey.functions.exprs import city_tier, money_sum, pct, safe_div, safe_div_or_zero, TIER1_CITIES, TIER2_CITIES
 from journey.functions.sqltext import array, div, lit, named_struct
 from journey.operators.flags import flag_sums, mark_best, session_flags
 from journey.spec import FunnelSpec, require_columns
@@ -180,13 +180,13 @@ def segment_share(sessions, orders, segment_col: str, session_col: str = "sessio
     is reused), so no global window is needed.
     """
     per_session = orders.filter(F.col(session_col).isNotNull()).groupBy(session_col).agg(
-        F.count(F.lit(1)).alias("_orders"), F.sum(gmv_col).alias("_revenue")
+        F.count(F.lit(1)).alias("_orders"), money_sum(gmv_col).alias("_revenue")
     )
     s = sessions.select(session_col, F.col(segment_col).alias("segment")).filter(F.col("segment").isNotNull())
     agg = s.join(per_session, session_col, "left").groupBy("segment").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.coalesce(F.sum("_orders"), F.lit(0)).cast("long").alias("orders"),
-        F.coalesce(F.sum("_revenue"), F.lit(0.0)).alias("revenue"),
+        F.coalesce(F.sum("_revenue").cast("double"), F.lit(0.0)).alias("revenue"),
     )
     tot = agg.agg(F.struct(*[F.sum(c).alias(c) for c in ("sessions", "orders", "revenue")])).scalar()
     # the subquery is evaluated once into a column; the shares then read its fields

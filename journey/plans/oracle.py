@@ -284,8 +284,8 @@ ORACLE["q38_dashboard_segment_funnel"] = W(*_seg_wide("se.traffic_source", SPEC.
 ORACLE["q45_segment_share"] = W() + f"""
 , g AS (
   SELECT se.device_type AS segment, COUNT(*) AS sessions, CAST(COALESCE(SUM(o.n), 0) AS BIGINT) AS orders,
-         COALESCE(SUM(o.rev), 0.0) AS revenue
-  FROM se LEFT JOIN (SELECT session_id, COUNT(*) AS n, SUM(gmv) AS rev FROM od
+         COALESCE(CAST(SUM(o.rev) AS DOUBLE), 0.0) AS revenue
+  FROM se LEFT JOIN (SELECT session_id, COUNT(*) AS n, SUM(CAST(gmv AS DECIMAL(38, 6))) AS rev FROM od
                      WHERE session_id IS NOT NULL GROUP BY session_id) o
          ON se.session_id = o.session_id
   WHERE se.device_type IS NOT NULL GROUP BY 1)
@@ -398,17 +398,18 @@ def _roi(dedup: bool) -> str:
     if dedup:
         metrics = f"""source_metrics AS (
     SELECT s.traffic_source, COUNT(*) AS total_sessions, COUNT(pe.session_id) AS converting_sessions,
-           SUM(o.gmv) AS total_revenue
+           CAST(SUM(o.gmv) AS DOUBLE) AS total_revenue
     FROM se s
     LEFT JOIN (SELECT DISTINCT session_id FROM ev WHERE event_name = {q(R.purchase)}) pe ON s.session_id = pe.session_id
-    LEFT JOIN (SELECT session_id, SUM(gmv) AS gmv FROM od GROUP BY session_id) o ON s.session_id = o.session_id
+    LEFT JOIN (SELECT session_id, SUM(CAST(gmv AS DECIMAL(38, 6))) AS gmv FROM od GROUP BY session_id) o
+           ON s.session_id = o.session_id
     GROUP BY s.traffic_source)"""
     else:
         metrics = f"""source_metrics AS (
     SELECT s.traffic_source,
            COUNT(DISTINCT s.session_id) AS total_sessions,
            COUNT(DISTINCT CASE WHEN e.event_name = {q(R.purchase)} THEN s.session_id END) AS converting_sessions,
-           SUM(o.gmv) AS total_revenue
+           CAST(SUM(CAST(o.gmv AS DECIMAL(38, 6))) AS DOUBLE) AS total_revenue
     FROM se s
     LEFT JOIN ev e ON s.session_id = e.session_id AND e.event_name = {q(R.purchase)}
     LEFT JOIN od o ON s.session_id = o.session_id
