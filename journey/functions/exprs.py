@@ -201,28 +201,42 @@ AS_P = 0.3275911
 AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 
 
-def erfc_pos(x) -> Column:
-    """erfc(x) for x >= 0, polynomial approximation (|error| < 1.5e-7)."""
-    x = _c(x)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(AS_P) * x)
-    a1, a2, a3, a4, a5 = (F.lit(a) for a in AS_A)
-    poly = t * (a1 + t * (a2 + t * (a3 + t * (a4 + t * a5))))
-    return poly * F.exp(-(x * x))
-
-
-def two_sided_p(z) -> Column:
-    """Two-sided normal p-value of a z statistic."""
-    return erfc_pos(F.abs(_c(z)) / F.lit(math.sqrt(2.0)))
-
-
-def pooled_z(x_a, n_a, x_b, n_b) -> Column:
-    """Pooled two-proportion z statistic; NULL when the standard error is 0 or undefined."""
-    xa, na, xb, nb = (_c(v).cast("double") for v in (x_a, n_a, x_b, n_b))
-    p = F.try_divide(xa + xb, na + nb)
-    var = p * (F.lit(1.0) - p) * (F.try_divide(F.lit(1.0), na) + F.try_divide(F.lit(1.0), nb))
-    se = F.when(var > 0, F.sqrt(var))
-    diff = F.try_divide(xa, na) - F.try_divide(xb, nb)
-    return F.try_divide(diff, se)
+def _sql(x) -> str:
+    """A column name or SQL expression text, as SQL text."""
+    return f"`{x}`" if x.isidentifier() else f"({x})"
+
+
+def erfc_pos_sql(x: str) -> str:
+    """erfc(x) for x >= 0 as SQL text, polynomial approximation (|error| < 1.5e-7)."""
+    t = f"(1.0D / (1.0D + {AS_P!r}D * {x}))"
+    a1, a2, a3, a4, a5 = (f"{a!r}D" for a in AS_A)
+    return f"({t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5})))) * exp(-({x} * {x})))"
+
+
+def two_sided_p_sql(z: str) -> str:
+    return erfc_pos_sql(f"(abs({_sql(z)}) / {math.sqrt(2.0)!r}D)")
+
+
+def two_sided_p(z: str) -> Column:
+    """Two-sided normal p-value of the z statistic in column (or SQL expression) ``z``."""
+    return F.expr(two_sided_p_sql(z))
+
+
+def pooled_z_sql(x_a: str, n_a: str, x_b: str, n_b: str) -> str:
+    xa, na, xb, nb = (f"CAST({_sql(v)} AS DOUBLE)" for v in (x_a, n_a, x_b, n_b))
+    p = f"try_divide({xa} + {xb}, {na} + {nb})"
+    var = f"({p} * (1.0D - {p}) * (try_divide(1.0D, {na}) + try_divide(1.0D, {nb})))"
+    diff = f"(try_divide({xa}, {na}) - try_divide({xb}, {nb}))"
+    return f"try_divide({diff}, CASE WHEN {var} > 0 THEN sqrt({var}) END)"
+
+
+def pooled_z(x_a: str, n_a: str, x_b: str, n_b: str) -> Column:
+    """Pooled two-proportion z statistic; NULL when the standard error is 0 or undefined.
+
+    Arguments are column names (or SQL expressions); the whole statistic is
+    one expression for the JVM to parse.
+    """
+    return F.expr(pooled_z_sql(x_a, n_a, x_b, n_b))
 
 
 def power_delta(alpha: float = 0.05, power: float = 0.8) -> float:

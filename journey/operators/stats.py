@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from journey.functions.exprs import (
-    pooled_z, priority_quadrant, safe_div, sample_size_per_variant, significance_label, two_sided_p,
-)
-from journey.functions.sqltext import array, lit, named_struct
+from journey.functions.exprs import pooled_z_sql, priority_quadrant, safe_div, sample_size_per_variant, two_sided_p_sql
+from journey.functions.sqltext import array, div, lit, named_struct
 from journey.operators.flags import final_conv
 from journey.operators.funnel import average_order_value
 from journey.operators.segments import segment_counts
@@ -26,22 +24,17 @@ def ab_significance(sessions, events, spec: FunnelSpec, segment_col: str, a, b,
     last = spec.with_stages([spec.stages[-1]])
     s = sessions.filter(F.col(segment_col).isin(a, b))
     w = segment_counts(s, events, last, segment_col)
-    one = w.agg(
-        F.coalesce(F.max(F.when(F.col("segment") == F.lit(a), F.col("total_sessions"))), F.lit(0)).alias("n_a"),
-        F.coalesce(F.max(F.when(F.col("segment") == F.lit(a), F.col("c0"))), F.lit(0)).alias("x_a"),
-        F.coalesce(F.max(F.when(F.col("segment") == F.lit(b), F.col("total_sessions"))), F.lit(0)).alias("n_b"),
-        F.coalesce(F.max(F.when(F.col("segment") == F.lit(b), F.col("c0"))), F.lit(0)).alias("x_b"),
+    pick = lambda v, c, name: F.expr(f"CAST(coalesce(max(CASE WHEN segment = {lit(v)} THEN {c} END), 0) AS BIGINT) AS {name}")
+    one = w.agg(pick(a, "total_sessions", "n_a"), pick(a, "c0", "x_a"), pick(b, "total_sessions", "n_b"), pick(b, "c0", "x_b"))
+    tested = one.selectExpr(
+        f"{lit(str(a))} AS label_a", f"{lit(str(b))} AS label_b", "n_a", "x_a", "n_b", "x_b",
+        f"{div('x_a', 'n_a')} AS conv_a", f"{div('x_b', 'n_b')} AS conv_b",
+        f"{pooled_z_sql('x_a', 'n_a', 'x_b', 'n_b')} AS z",
+    ).selectExpr("*", f"{two_sided_p_sql('z')} AS p_value")
+    return tested.selectExpr(
+        "*", f"coalesce(p_value < {alpha!r}D, false) AS significant",
+        f"CASE WHEN p_value < {alpha!r}D THEN 'significant' ELSE 'not significant' END AS verdict",
     )
-    z = pooled_z("x_a", "n_a", "x_b", "n_b")
-    return one.select(
-        F.lit(str(a)).alias("label_a"), F.lit(str(b)).alias("label_b"),
-        F.col("n_a").cast("long").alias("n_a"), F.col("x_a").cast("long").alias("x_a"),
-        F.col("n_b").cast("long").alias("n_b"), F.col("x_b").cast("long").alias("x_b"),
-        safe_div("x_a", "n_a").alias("conv_a"), safe_div("x_b", "n_b").alias("conv_b"),
-        z.alias("z"),
-    ).withColumn("p_value", two_sided_p(F.col("z"))).withColumn(
-        "significant", F.coalesce(F.col("p_value") < F.lit(alpha), F.lit(False))
-    ).withColumn("verdict", significance_label(F.col("p_value"), alpha))
 
 
 def experiment_sample_size(sessions, events, spec: FunnelSpec, segment_col: str, relative_lift: float = 0.05,

@@ -11,10 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import (
-    DURATION_BUCKETS, DURATION_EDGES, duration_bucket_idx, month_key, safe_div, seconds_between, weekday_name,
-)
-from journey.functions.sqltext import array, lit, named_struct
+from journey.functions.exprs import DURATION_BUCKETS, DURATION_EDGES, month_key, seconds_between, weekday_name
+from journey.functions.sqltext import array, div, ident, lit, named_struct
 from journey.operators.flags import mark_best
 
 W_ROWS, W_CONV, W_GMV = "_w_rows", "_w_conv", "_w_gmv"
@@ -30,16 +28,20 @@ def merged_sessions(sessions: DataFrame, orders: DataFrame, session_col: str = "
     per = orders.filter(F.col(session_col).isNotNull()).groupBy(session_col).agg(
         F.count(F.lit(1)).alias("_m"), F.count(order_col).alias("_k"), F.sum(gmv_col).alias(W_GMV)
     )
-    j = sessions.join(per, session_col, "left")
-    return (
-        j.withColumn(W_ROWS, F.greatest(F.coalesce(F.col("_m"), F.lit(0)), F.lit(1)).cast("long"))
-        .withColumn(W_CONV, F.coalesce(F.col("_k"), F.lit(0)).cast("long"))
-        .drop("_m", "_k")
+    return sessions.join(per, session_col, "left").selectExpr(
+        "* EXCEPT (_m, _k)",
+        f"CAST(greatest(coalesce(_m, 0), 1) AS BIGINT) AS {W_ROWS}",
+        f"CAST(coalesce(_k, 0) AS BIGINT) AS {W_CONV}",
     )
 
 
 def _rate():
-    return safe_div(F.sum(W_CONV), F.sum(W_ROWS))
+    return F.expr(div(f"sum({W_CONV})", f"sum({W_ROWS})"))
+
+
+def _sessions_sum(session_col: str):
+    """Merged rows that carry a session id (``count(session_id)`` over the merge)."""
+    return F.expr(f"CAST(sum(CASE WHEN {ident(session_col)} IS NOT NULL THEN {W_ROWS} ELSE 0 END) AS BIGINT) AS sessions")
 
 
 def hourly_conversion(sessions, orders, hour_col: str = "session_hour", session_col: str = "session_id") -> DataFrame:
@@ -48,11 +50,8 @@ def hourly_conversion(sessions, orders, hour_col: str = "session_hour", session_
     return (
         m.filter(F.col(hour_col).isNotNull())
         .groupBy(hour_col)
-        .agg(
-            F.sum(F.when(F.col(session_col).isNotNull(), F.col(W_ROWS)).otherwise(F.lit(0))).cast("long").alias("sessions"),
-            F.sum(W_CONV).cast("long").alias("conversions"),
-        )
-        .withColumn("conv_rate", safe_div(F.col("conversions"), F.col("sessions")))
+        .agg(_sessions_sum(session_col), F.expr(f"CAST(sum({W_CONV}) AS BIGINT) AS conversions"))
+        .selectExpr("*", f"{div('conversions', 'sessions')} AS conv_rate")
     )
 
 
@@ -85,12 +84,9 @@ def monthly_trend(sessions, orders, date_col: str = "session_date", session_col:
     m = merged_sessions(sessions.select(session_col, date_col), orders, session_col)
     return (
         m.groupBy(month_key(F.col(date_col)).alias("month"))
-        .agg(
-            F.sum(F.when(F.col(session_col).isNotNull(), F.col(W_ROWS)).otherwise(F.lit(0))).cast("long").alias("sessions"),
-            F.sum(W_CONV).cast("long").alias("conversions"),
-            F.coalesce(F.sum(W_GMV), F.lit(0.0)).alias("gmv"),
-        )
-        .withColumn("conv_rate", safe_div(F.col("conversions"), F.col("sessions")))
+        .agg(_sessions_sum(session_col), F.expr(f"CAST(sum({W_CONV}) AS BIGINT) AS conversions"),
+             F.expr(f"coalesce(sum({W_GMV}), 0.0D) AS gmv"))
+        .selectExpr("*", f"{div('conversions', 'sessions')} AS conv_rate")
     )
 
 
@@ -102,13 +98,11 @@ def duration_conversion(sessions, orders, duration_col: str = "session_duration_
     no join with a bucket dimension, no sort.
     """
     m = merged_sessions(sessions.select("session_id", duration_col), orders)
-    b = duration_bucket_idx(F.col(duration_col), edges)
-    m = m.withColumn("_b", b)
-    aggs = []
-    for i in range(len(labels)):
-        hit = F.col("_b") == F.lit(i)
-        aggs.append(safe_div(F.sum(F.when(hit, F.col(W_CONV))), F.sum(F.when(hit, F.col(W_ROWS)))).alias(f"r{i}"))
-    one = m.agg(*aggs)
+    d = ident(duration_col)
+    bucket = " ".join(f"WHEN {d} < {e} THEN {i}" for i, e in enumerate(edges))
+    m = m.selectExpr(f"CASE {bucket} ELSE {len(edges)} END AS _b", W_ROWS, W_CONV)
+    one = m.agg(*[F.expr(f"{div(f'sum(CASE WHEN _b = {i} THEN {W_CONV} END)', f'sum(CASE WHEN _b = {i} THEN {W_ROWS} END)')} AS r{i}")
+                  for i in range(len(labels))])
     rows = array([named_struct({"bucket_idx": str(i), "duration_bucket": lit(lbl), "conv_rate": f"r{i}"})
                   for i, lbl in enumerate(labels)])
     return one.selectExpr(f"inline({rows})")
@@ -117,8 +111,8 @@ def duration_conversion(sessions, orders, duration_col: str = "session_duration_
 def bounce_rate(sessions, orders, threshold: int = 30, duration_col: str = "session_duration_seconds") -> DataFrame:
     """Q22: share of merged rows shorter than ``threshold`` seconds (NULL duration is not a bounce)."""
     m = merged_sessions(sessions.select("session_id", duration_col), orders)
-    hit = F.coalesce(F.col(duration_col) < F.lit(threshold), F.lit(False))
-    return m.agg(safe_div(F.sum(F.when(hit, F.col(W_ROWS)).otherwise(F.lit(0))), F.sum(W_ROWS)).alias("bounce_rate"))
+    hit = f"coalesce({ident(duration_col)} < {int(threshold)}, false)"
+    return m.agg(F.expr(f"{div(f'sum(CASE WHEN {hit} THEN {W_ROWS} ELSE 0 END)', f'sum({W_ROWS})')} AS bounce_rate"))
 
 
 def time_to_purchase(events, purchase: str, session_col: str = "session_id", event_col: str = "event_name",

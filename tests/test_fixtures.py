@@ -165,7 +165,7 @@ def test_dashboard_and_abandonment(fx):
 
 def test_z_test_formula(spark):
     df = spark.createDataFrame([(50, 1000, 30, 1000), (0, 10, 0, 10)], "xa INT, na INT, xb INT, nb INT")
-    r = df.select(pooled_z("xa", "na", "xb", "nb").alias("z")).withColumn("p", two_sided_p(F.col("z"))).collect()
+    r = df.select(pooled_z("xa", "na", "xb", "nb").alias("z")).withColumn("p", two_sided_p("z")).collect()
     assert approx(r[0].z, 6) == 2.282177
     assert abs(r[0].p - 0.02247887) < 2e-7
     assert r[1].z is None and r[1].p is None  # p = 0: no standard error
