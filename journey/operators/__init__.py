@@ -6,7 +6,7 @@ from journey.operators.funnel import (
     wide_funnel, dashboard_funnel, abandonment_rates, average_order_value,
 )
 from journey.operators.segments import (
-    segment_counts, segment_funnel, segment_gap, segment_conversion, city_tier_funnel, with_city_tier,
+    segment_counts, segment_count_arrays, segment_funnel, segment_gap, segment_conversion, city_tier_funnel, with_city_tier,
     payment_mix_by_segment, conversion_cells, conversion_matrix, matrix_extremes, device_dropoff,
     dashboard_segment_funnel, segment_share,
 )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from journey.functions.sqltext import array, div, ident, in_list, lit, named_struct
-from journey.spec import FunnelSpec
+from journey.spec import FunnelSpec, require_columns
 
 
 def session_flags(events: DataFrame, spec: FunnelSpec, all_sessions: bool = False) -> DataFrame:
@@ -25,6 +25,7 @@ def session_flags(events: DataFrame, spec: FunnelSpec, all_sessions: bool = Fals
     ``all_sessions=True`` keeps one row for every session with any event.
     NULL session ids are dropped (distinct counts skip NULL).
     """
+    require_columns(events, spec.session_col, spec.event_col)
     s, e = ident(spec.session_col), ident(spec.event_col)
     cond = f"{s} IS NOT NULL" + ("" if all_sessions else f" AND {e} IN ({in_list(spec.names)})")
     return events.filter(cond).groupBy(spec.session_col).agg(

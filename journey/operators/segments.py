@@ -48,6 +48,21 @@ def segment_funnel(sessions, events, spec: FunnelSpec, segment_col: str, keep_nu
     )
 
 
+def segment_count_arrays(sessions, events, spec: FunnelSpec, segment_col: str, keep_null: bool = False) -> DataFrame:
+    """Q9 in the original's per-segment shape: ``segment, total_sessions, counts, conv_rates``.
+
+    ``counts`` is the array of stage counts in funnel order and
+    ``conv_rates`` the element-wise count / total_sessions (C24); the arrays
+    are built from the one aggregated row per segment, nothing is collected.
+    """
+    w = segment_counts(sessions, events, spec, segment_col, keep_null)
+    counts = array([f"c{i}" for i in range(spec.n)])
+    return w.selectExpr(
+        "segment", "total_sessions", f"{counts} AS counts",
+        f"transform({counts}, c -> {div('c', 'total_sessions')}) AS conv_rates",
+    )
+
+
 def _last_stage(spec: FunnelSpec) -> FunnelSpec:
     return spec.with_stages([spec.stages[-1]])
 

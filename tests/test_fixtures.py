@@ -223,3 +223,17 @@ def test_typed_properties_give_same_results(fx):
     ]
     for f in pairs:
         assert rows(f(typed)) == rows(f(fx.events))
+
+
+def test_segment_count_arrays(fx):
+    a = {r.segment: (r.total_sessions, list(r.counts), [approx(x) for x in r.conv_rates])
+         for r in op.segment_count_arrays(fx.sessions, fx.events, STAGES, "device_type").collect()}
+    assert a["mobile"] == (2, [2, 1, 2, 1, 1], [1.0, 0.5, 1.0, 0.5, 0.5])
+    assert a["tablet"] == (1, [0, 0, 0, 0, 0], [0.0] * 5)
+
+
+def test_missing_column_fails_early(fx):
+    import pytest as _pytest
+
+    with _pytest.raises(ValueError):
+        op.overall_funnel(fx.events.drop("event_name"), STAGES)
