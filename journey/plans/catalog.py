@@ -117,3 +117,6 @@ QUERIES = {
     "q44_dataset_summary": _q(lambda t: dataset_summary(t)),
     "q45_segment_share": _q(lambda t: op.segment_share(t.sessions, t.orders, DEVICE)),
 }
+
+for _name, _fn in QUERIES.items():
+    _fn.__name__ = _fn.__qualname__ = _name
