@@ -34,7 +34,7 @@ def run_once(spark, fn, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = get_spark(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="journey-bench")
     names = only or list(QUERIES)
