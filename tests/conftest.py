@@ -98,3 +98,27 @@ def rows(df, *cols):
 
 def approx(x, nd=4):
     return None if x is None else round(x, nd)
+
+
+def write_journey_csv(d: str) -> None:
+    """The fixture tables as CSV files with the full journey schemas (pandas-style quoting)."""
+    import csv
+    import os
+
+    from journey.sources import schemas
+
+    def write(name, rows):
+        with open(os.path.join(d, f"{name}.csv"), "w", newline="") as f:
+            w = csv.writer(f, quoting=csv.QUOTE_MINIMAL, doublequote=True)
+            w.writerow([fld.name for fld in schemas.BY_NAME[name].fields])
+            for r in rows:
+                w.writerow(["" if v is None else v for v in r])
+
+    write("sessions", [(s[0], s[1], s[2].isoformat(), s[3], s[4], s[5], s[6], "homepage", s[7], None, s[8], False,
+                        s[9], None) for s in SESSIONS])
+    write("events", [(e[0], e[1], None, e[2].strftime("%Y-%m-%d %H:%M:%S"), e[3], e[4], "/" + e[3].replace("_", "-"), 10)
+                     for e in EVENTS])
+    write("orders", [(o[0], o[1], o[2], o[3].strftime("%Y-%m-%d %H:%M:%S"), o[4], True, "SAVE20", 0.0, o[5], "010101",
+                      "beauty", True, "mobile") for o in ORDERS])
+    write("users", [(u, "2023-10-02", "25-34", "F", "mobile", "beauty", True, False, 0.0, 0.0, 0.0, "new")
+                    for u in ("u1", "u2", "u3", "u4")])
