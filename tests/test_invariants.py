@@ -60,3 +60,16 @@ def test_segment_totals_add_to_sessions(t):
 def test_user_rollup_totals(t):
     r = op.user_rollup(t.users, t.sessions, t.user_orders).agg(F.sum("total_sessions"), F.sum("total_orders")).first()
     assert r[0] == t.sessions.count() and r[1] == t.user_orders.count()
+
+
+def test_hot_session_does_not_change_presence_results(spark, fx):
+    """A session holding most rows (here: copies of one session's events) leaves presence-based results unchanged."""
+    from tests.conftest import STAGES, rows
+
+    hot = fx.events.filter("session_id = 's1'").select("*", F.explode(F.sequence(F.lit(1), F.lit(20000))).alias("_r"))
+    skewed = fx.events.unionByName(hot.drop("_r"))
+    for f in (lambda ev: op.overall_funnel(ev, STAGES),
+              lambda ev: op.segment_funnel(fx.sessions, ev, STAGES, "device_type"),
+              lambda ev: op.method_failure_rate(ev, "payment_initiated", "payment_success", "payment_failed"),
+              lambda ev: op.category_cart_rate(ev, "product_detail_view", "add_to_cart")):
+        assert rows(f(skewed)) == rows(f(fx.events))
