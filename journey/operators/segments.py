@@ -147,10 +147,13 @@ def conversion_matrix(sessions, orders, row_col: str, col_col: str, col_values:
 def matrix_extremes(sessions, orders, row_col: str, col_col: str) -> DataFrame:
     """Q15: best and worst cell; ties go to the smallest column value, then row value."""
     cells = conversion_cells(sessions, orders, row_col, col_col).filter(F.col("rate").isNotNull())
-    best = cells.orderBy(F.col("rate").desc(), F.col(col_col), F.col(row_col)).limit(1)
-    worst = cells.orderBy(F.col("rate").asc(), F.col(col_col), F.col(row_col)).limit(1)
-    pick = lambda df, kind: df.select(F.lit(kind).alias("kind"), row_col, col_col, "rate")
-    return pick(best, "best").unionByName(pick(worst, "worst"))
+    # both extremes from one distributed aggregate over the cells: min_by with the
+    # tie-break order (rate, then column value, then row value) as the ordering key
+    cell = F.struct(F.col(row_col).alias("r"), F.col(col_col).alias("c"), F.col("rate").alias("v"))
+    key = lambda rate: F.struct(rate.alias("k1"), F.col(col_col).alias("k2"), F.col(row_col).alias("k3"))
+    one = cells.agg(F.min_by(cell, key(-F.col("rate"))).alias("best"), F.min_by(cell, key(F.col("rate"))).alias("worst"))
+    pick = lambda kind: named_struct({"kind": lit(kind), row_col: f"{kind}.r", col_col: f"{kind}.c", "rate": f"{kind}.v"})
+    return one.filter("best IS NOT NULL").selectExpr(f"inline({array([pick('best'), pick('worst')])})")
 
 
 def device_dropoff(sessions, events, segment_col: str, product_view: str, add_to_cart: str, checkout: str,
