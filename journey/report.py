@@ -109,7 +109,7 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.appName("journey-report").getOrCreate()
+    spark = SparkSession.builder.appName("journey-report").config("spark.ui.enabled", "false").getOrCreate()
     for name in run(spark, a.tables, a.out, a.format, a.preset, a.out_format, a.only):
         print(name)
 
