@@ -89,6 +89,7 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--tz", default=None, help="session time zone to run Spark with")
+    ap.add_argument("--ansi", choices=["on", "off"], default=None, help="spark.sql.ansi.enabled for the Spark side")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     from journey.plans import ORACLE_SQL, QUERIES
@@ -97,6 +98,8 @@ def main():
     spark = get_spark(8)
     if a.tz:
         spark.conf.set("spark.sql.session.timeZone", a.tz)
+    if a.ansi:
+        spark.conf.set("spark.sql.ansi.enabled", "true" if a.ansi == "on" else "false")
     con = duck(a.sf)
     names = a.names or list(QUERIES)
     ok = 0
