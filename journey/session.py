@@ -33,24 +33,40 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "j
     return spark
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, bucket_by: str | None = None):
     """Write ``df`` as Parquet under the checkpoint folder and return a scan of it.
 
     Used for derived dimensions that many queries read (e.g. sessions
     derived from events): the lineage is cut, the files survive executor
-    loss, and later scans prune columns and push filters.  Without a
-    usable checkpoint folder the lazy plan is returned (same results).
+    loss, and later scans prune columns and push filters.
+
+    With ``bucket_by`` the table is bucketed on that key into
+    ``spark.sql.shuffle.partitions`` buckets (one file per bucket: the rows
+    are first hash-partitioned exactly like the buckets), so a later join
+    with any aggregate keyed the same way reads this side without a
+    shuffle.  Without a usable checkpoint folder the lazy plan is returned
+    (same results).
     """
+    spark = df.sparkSession
     try:
-        base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+        base = ensure_checkpoint_dir(spark).rstrip("/")
     except Exception:  # e.g. no SparkContext on a remote client session
         return df
-    path = f"{base}/journey-tables/{name}-{uuid.uuid4().hex}"
+    tag = f"{name}_{uuid.uuid4().hex[:12]}"
+    path = f"{base}/journey-tables/{tag}"
+    if bucket_by:
+        try:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            (df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).option("path", path)
+             .mode("errorifexists").saveAsTable(f"journey_{tag}"))
+            return spark.table(f"journey_{tag}")
+        except Exception:  # no table catalog here: plain files below
+            path += "_plain"
     try:
         df.write.mode("errorifexists").parquet(path)
     except Exception:  # folder not writable here: keep the lazy plan
         return df
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

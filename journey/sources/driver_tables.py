@@ -214,7 +214,7 @@ class DriverTables(Tables):
     @cached_property
     def sessions(self) -> DataFrame:
         s = adapt_sessions(self.events, self.raw)
-        return materialize(s, "sessions") if self.materialize_sessions else s
+        return materialize(s, "sessions", bucket_by="session_id") if self.materialize_sessions else s
 
     @cached_property
     def orders(self) -> DataFrame:

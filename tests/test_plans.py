@@ -72,3 +72,16 @@ def test_no_cross_join_or_global_window(spark, name):
 
     pp = physical_plan(QUERIES[name](spark, SF001))
     assert "CartesianProduct" not in pp and "BroadcastNestedLoopJoin" not in pp and "Window" not in pp
+
+
+def test_sessions_dimension_is_co_partitioned(spark, t):
+    """With broadcasts off (as at scale), joining the bucketed sessions with per-session flags shuffles only the
+    flag aggregate and the segment aggregate: the sessions side is read in place."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = op.segment_funnel(t.sessions, t.events, SPEC, "device_type")
+        ex = exchanges(df)
+        assert len(ex) == 2, ex
+        assert any("hashpartitioning(session_id" in e for e in ex) and any("hashpartitioning(segment" in e for e in ex)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
