@@ -26,6 +26,7 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "j
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "journey-warehouse"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
