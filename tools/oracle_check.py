@@ -3,7 +3,7 @@
 Comparison: row count, column names, then values (columns sorted by name,
 rows sorted, floats compared exactly after the 6-dp rounding both sides do).
 
-    python tools/oracle_check.py [--sf DIR] [name ...]
+    python tools/oracle_check.py [--sf DIR] [--tz ZONE] [--ansi on|off] [name ...]
 """
 
 from __future__ import annotations
