@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-Comparison: row count, column names, then values (columns sorted by name,
+Comparison: row count, column names and types, then values (columns sorted by name,
 rows sorted, floats compared exactly after the 6-dp rounding both sides do).
 
     python tools/oracle_check.py [--sf DIR] [--tz ZONE] [--ansi on|off] [name ...]
