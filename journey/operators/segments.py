@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import city_tier, money_sum, pct, safe_div, safe_div_or_zero, TIER1_CITIES, TIER2_CITIES
-from journey.functions.sqltext import array, div, lit, named_struct
+from journey.functions.sqltext import array, div, ident, lit, named_struct
 from journey.operators.flags import flag_sums, mark_best, session_flags
 from journey.spec import FunnelSpec, require_columns
 
@@ -22,11 +22,11 @@ def segment_counts(
     ``groupBy(segment)`` with partial aggregation gives every stage at once.
     """
     require_columns(sessions, spec.session_col, segment_col)
-    s = sessions.select(F.col(spec.session_col), F.col(segment_col).alias("segment"))
+    s = sessions.selectExpr(ident(spec.session_col), f"{ident(segment_col)} AS segment")
     if not keep_null:
-        s = s.filter(F.col("segment").isNotNull())
+        s = s.filter("segment IS NOT NULL")
     j = s.join(session_flags(events, spec), spec.session_col, "left")
-    return j.groupBy("segment").agg(F.count(F.lit(1)).alias("total_sessions"), *flag_sums(spec))
+    return j.groupBy("segment").agg(F.expr("count(1) AS total_sessions"), *flag_sums(spec))
 
 
 def _segment_rows(spec: FunnelSpec, denominator: str) -> str:
