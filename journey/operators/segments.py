@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import city_tier, money_sum, pct, safe_div, safe_div_or_zero, TIER1_CITIES, TIER2_CITIES
+from journey.functions.exprs import city_tier, money_sum, pct, safe_div, TIER1_CITIES, TIER2_CITIES
 from journey.functions.sqltext import array, div, ident, lit, named_struct
 from journey.operators.flags import flag_sums, mark_best, session_flags
 from journey.spec import FunnelSpec, require_columns
@@ -105,13 +105,13 @@ def city_tier_funnel(sessions, events, spec: FunnelSpec, city_col: str = "city",
 def payment_mix_by_segment(sessions, orders, segment_col: str, method: str,
                            method_col: str = "payment_method", session_col: str = "session_id") -> DataFrame:
     """Q13: orders per segment and the share paid with ``method`` (0 when a segment has no orders)."""
-    s = sessions.select(F.col(session_col), F.col(segment_col).alias("segment")).filter(F.col("segment").isNotNull())
+    s = sessions.selectExpr(ident(session_col), f"{ident(segment_col)} AS segment").filter("segment IS NOT NULL")
     j = orders.select(session_col, method_col).join(s, session_col, "inner")
     agg = j.groupBy("segment").agg(
-        F.count(F.lit(1)).alias("orders"), F.count_if(F.col(method_col) == F.lit(method)).alias("method_orders")
+        F.expr("count(1) AS orders"), F.expr(f"count_if({ident(method_col)} = {lit(method)}) AS method_orders")
     )
-    return agg.select("segment", "orders", "method_orders",
-                      safe_div_or_zero("method_orders", "orders").alias("method_rate"))
+    return agg.selectExpr("segment", "orders", "method_orders",
+                          f"coalesce({div('method_orders', 'orders')}, 0.0D) AS method_rate")
 
 
 def conversion_cells(sessions, orders, row_col: str, col_col: str, session_col: str = "session_id",
@@ -122,16 +122,14 @@ def conversion_cells(sessions, orders, row_col: str, col_col: str, session_col:
     two orders counts twice, as in the original). Orders are reduced to per
     session counts before the join, so the fan-out is arithmetic, not rows.
     """
-    per_session = orders.filter(F.col(session_col).isNotNull()).groupBy(session_col).agg(
-        F.count(order_col).alias("_n_orders"), F.count(F.lit(1)).alias("_n_rows")
+    per_session = orders.filter(f"{ident(session_col)} IS NOT NULL").groupBy(session_col).agg(
+        F.expr(f"count({ident(order_col)}) AS _n_orders"), F.expr("count(1) AS _n_rows")
     )
-    s = sessions.select(session_col, row_col, col_col).filter(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
+    s = sessions.select(session_col, row_col, col_col).filter(f"{ident(row_col)} IS NOT NULL AND {ident(col_col)} IS NOT NULL")
     j = s.join(per_session, session_col, "left")
     # a session matches max(1, rows) merged rows, of which n_orders have an order id
-    rows = F.coalesce(F.col("_n_rows"), F.lit(0))
     return j.groupBy(row_col, col_col).agg(
-        safe_div(F.sum(F.coalesce(F.col("_n_orders"), F.lit(0))),
-                 F.sum(F.greatest(rows, F.lit(1)))).alias("rate")
+        F.expr(f"{div('sum(coalesce(_n_orders, 0))', 'sum(greatest(coalesce(_n_rows, 0), 1))')} AS rate")
     )
 
 
