@@ -237,3 +237,14 @@ def test_missing_column_fails_early(fx):
 
     with _pytest.raises(ValueError):
         op.overall_funnel(fx.events.drop("event_name"), STAGES)
+
+
+def test_all_zero_later_stages(fx):
+    """Only first-stage events: later step rates divide 0 by 0 → NULL, without an ANSI error."""
+    only_first = fx.events.filter("event_name = 'page_view'")
+    f = op.overall_funnel(only_first, STAGES).orderBy("stage_idx").collect()
+    assert [r.session_count for r in f] == [5, 0, 0, 0, 0]
+    assert f[1].stage_conv_rate == 0.0 and all(r.stage_conv_rate is None for r in f[2:])
+    assert all(r.dropoff_rate is None for r in f[2:])
+    w = op.wide_funnel(only_first, STAGES).first()
+    assert w["product_detail_view_to_add_to_cart_rate"] is None and w["overall_conversion_rate"] == 0.0
