@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,10 +50,9 @@ def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Tables:
             return read_csv(spark, path, schemas.BY_NAME[name])
         return spark.read.parquet(path)
 
-    users = None
     try:
         users = one("users")
-    except Exception:  # users is optional: no operator but the rollups needs it
+    except AnalysisException:  # users is optional (only the rollups need it): a missing path is fine
         users = None
     return Tables(sessions=one("sessions"), events=one("events"), orders=one("orders"), users=users)
 
