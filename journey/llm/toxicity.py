@@ -38,8 +38,8 @@ MAX_POSITIVE, MAX_UNLABELLED = 3000, 9000
 MAX_FEATURES = 4096
 PREFIXES = (4, 5)
 #: a feature needs this z value and so many positives
-MIN_Z, MIN_ROWS = 6.0, 4
-SEEDS, STEPS, RATE, DECAY = 3, 250, 0.05, 1e-4
+MIN_Z, MIN_ROWS = 4.0, 4
+SEEDS, STEPS, RATE, DECAY = 3, 250, 0.05, 2e-3
 # ------------------------------------------------------------------------------------
 
 

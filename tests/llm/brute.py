@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 from collections import Counter
 
+sys.set_int_max_str_digits(0)
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
