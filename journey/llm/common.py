@@ -68,6 +68,19 @@ def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
 
 
 SLICE_BYTES = 8 << 20
+#: what a checked side of a join may hold to be broadcast
+BROADCAST_BYTES = 8 << 20
+
+
+def join_checked(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+    """Semi or anti join of ``df`` with the stored one-column table ``keys`` of strings.
+
+    The keys are broadcast only if their measured size is at most
+    ``BROADCAST_BYTES``; otherwise both sides are shuffled.  Rows are the same
+    either way.
+    """
+    n, size = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(on)), F.lit(0))).first()
+    return df.join(F.broadcast(keys) if size + 32 * n <= BROADCAST_BYTES else keys, on, how)
 
 
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES):

@@ -5,19 +5,22 @@ class is one node however many copies it has.  Under a global order of tokens
 two sets of similarity t share a token among the first ``n - ceil(t n) + 1``
 of each, whatever the order is.  Three orders are used.  The first deals out the
 candidates (tokens that many documents hold come last, so shared lines rarely
-stand in a prefix); a candidate pair is verified only if its prefixes meet
-under the second and third order as well.
-
-Only the components are asked for, so a token's list of m classes is not
-expanded into m*m pairs.  First all members are compared with one typical member
-(``pivot``); then, in lists that still hold several components, the members
-outside the largest one are compared with more of its members; at last every
-pair of one list whose sides are still in different components is compared.
-That last step is exact: every pair that passes the prefix filter was
-compared or lies within one component already.
+stand in a prefix).  A candidate pair must also share a prefix token under the
+second and the third order, which is read from 16-bit fingerprints of those
+prefixes; equal tokens have equal fingerprints, so no pair is lost.  Only the
+classes of pairs that pass all three get their texts read again and compared.
+
+Only the components are asked for, so a long list of classes that share a
+token is not expanded into all pairs.  Lists of at most ``SMALL`` classes are.  In
+longer ones all members are first compared with one typical member (``pivot``);
+then, in lists that still hold several components, the members outside the
+largest one are compared with more of its members; at last every pair of one
+list whose sides are still in different components is compared.  That last
+step is exact: every pair that passes the prefix filter was compared or lies
+within one component already.
 
 What is broadcast: the ``MAX_HEAVY`` most frequent tokens, which only order the
-tokens; any order gives the same links.
+tokens (any order gives the same links), and ids behind a check of their size.
 
 Defined cases
     null, empty or word-less text: empty set, linked with nothing, its own
@@ -33,12 +36,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from journey.llm.common import q, slices, stored
+from journey.llm.common import free_name, join_checked, q, slices, stored
 from journey.llm.components import connected_components
 from journey.llm.wordhash import gram_hashes, mix, word_hashes
 
@@ -49,7 +52,9 @@ PERCENT = 85
 LOCAL_MIN, CHUNK, MAX_HEAVY = 3, 2_000_000, 50_000
 #: a frequent token's list is dealt to so many tasks in the first comparison
 SALTS = 16
-#: lists with so many classes outside the largest component get more pivots before the exact step
+#: lists of so many classes are compared in full at once
+SMALL = 8
+#: longer lists with so many classes outside the largest component get more pivots before the exact step
 BIG, PIVOTS, ROUNDS = 16, 4, 3
 ANCHORS = 8
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
@@ -75,27 +80,31 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-class Orders:
-    """Global token orders: tokens outside ``heavy`` by a seeded hash, then ``heavy`` (frequent last, or by hash)."""
+def prefix_by_hash(tokens: np.ndarray, which: int, percent: int) -> np.ndarray:
+    """16-bit fingerprints of the prefix under the seeded hash order ``which``."""
+    place = mix(tokens ^ np.uint64(SEEDS[which]))
+    p = prefix_length(len(tokens), percent)
+    kept = tokens[np.argpartition(place, p - 1)[:p]] if p < len(tokens) else tokens
+    return np.unique((mix(kept) >> np.uint64(48)).astype(np.uint16).view(np.int16))
+
+
+class FirstOrder:
+    """The order that deals out candidates: tokens outside ``heavy`` by a seeded hash, then ``heavy``, most frequent last."""
 
     def __init__(self, heavy: np.ndarray, rank: np.ndarray):
-        self.heavy, self.rank = heavy, rank  # sorted tokens and their rank by frequency
-
-    def is_heavy(self, tokens: np.ndarray) -> np.ndarray:
-        if not len(self.heavy):
-            return np.zeros(len(tokens), bool)
-        at = np.minimum(np.searchsorted(self.heavy, tokens), len(self.heavy) - 1)
-        return self.heavy[at] == tokens
-
-    def prefix(self, tokens: np.ndarray, which: int, percent: int) -> np.ndarray:
-        """The tokens of the prefix under order ``which``."""
-        heavy = self.is_heavy(tokens)
-        place = mix(tokens ^ np.uint64(SEEDS[which])) >> np.uint64(1)
-        if which == 0 and heavy.any():
-            place[heavy] = self.rank[np.searchsorted(self.heavy, tokens[heavy])]
-        place = place + (heavy.astype(np.uint64) << np.uint64(63))
+        self.heavy, self.rank = heavy, rank  # sorted tokens, and their rank from rare to frequent
+
+    def prefix(self, tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The prefix, which of its tokens are heavy, and how many tokens of the set are not."""
+        place = mix(tokens ^ np.uint64(SEEDS[0])) >> np.uint64(1)
+        heavy = np.zeros(len(tokens), bool)
+        if len(self.heavy):
+            at = np.minimum(np.searchsorted(self.heavy, tokens), len(self.heavy) - 1)
+            heavy = self.heavy[at] == tokens
+            place[heavy] = self.rank[at[heavy]] + (np.uint64(1) << np.uint64(63))
         p = prefix_length(len(tokens), percent)
-        return tokens[np.argpartition(place, p - 1)[:p]] if p < len(tokens) else tokens
+        first = np.argpartition(place, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
+        return tokens[first], heavy[first], int(len(tokens) - heavy.sum())
 
 
 def _map_texts(df: DataFrame, start, ddl: str) -> DataFrame:
@@ -119,8 +128,9 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
-def scan(df: DataFrame, size: int) -> DataFrame:
-    """Stored rows: (id, key, n) of every text, and (token, n) of tokens frequent within a task."""
+def scan(df: DataFrame, size: int, percent: int) -> DataFrame:
+    """Stored rows: (id, key, n) of every text, with both fingerprint arrays once for each class and task,
+    and (token, n) of tokens frequent within a task."""
     kind = df.schema["id"].dataType.simpleString()
 
     def start():
@@ -128,13 +138,16 @@ def scan(df: DataFrame, size: int) -> DataFrame:
         kept: list[np.ndarray] = []
 
         def step(cols):
-            got = {"id": [], "key": [], "n": [], "token": []}
+            got = {"id": [], "key": [], "n": [], "second": [], "third": [], "token": []}
             for i, t in zip(cols["id"], cols["text_"], strict=True) if cols else ():
                 tokens = shingle_set(t, size)
                 key = class_key(tokens) if len(tokens) else None
-                for k, v in (("id", i), ("key", key), ("n", len(tokens)), ("token", None)):
+                new = key is not None and key not in seen
+                for k, v in (("id", i), ("key", key), ("n", len(tokens)), ("token", None),
+                             ("second", prefix_by_hash(tokens, 1, percent) if new else None),
+                             ("third", prefix_by_hash(tokens, 2, percent) if new else None)):
                     got[k].append(v)
-                if key not in seen:
+                if new:
                     seen.add(key)
                     kept.append(tokens)
             if kept and (cols is None or sum(map(len, kept)) > CHUNK):
@@ -142,31 +155,30 @@ def scan(df: DataFrame, size: int) -> DataFrame:
                 kept.clear()
                 often = n >= LOCAL_MIN
                 for t, c in zip(_signed(tokens[often]).tolist(), n[often].tolist(), strict=True):
-                    for k, v in (("id", None), ("key", None), ("n", c), ("token", t)):
+                    for k, v in (("id", None), ("key", None), ("n", c), ("second", None), ("third", None), ("token", t)):
                         got[k].append(v)
             return got
 
         return step
 
-    return stored(_map_texts(df, start, f"id {kind}, key long, n long, token long"), "join-scan")
+    ddl = f"id {kind}, key long, n long, second array<smallint>, third array<smallint>, token long"
+    return stored(_map_texts(df, start, ddl), "join-scan")
 
 
-def postings(df: DataFrame, size: int, percent: int, orders) -> DataFrame:
-    """(token, salt, key, n, rare) of the first order's prefix, once for each class and task."""
+def postings(df: DataFrame, size: int, percent: int, order) -> DataFrame:
+    """(token, salt, rare, key, n) of the first order's prefix, once for each class and task."""
     def start():
         seen: set[int] = set()
 
         def step(cols):
-            got = {"token": [], "salt": [], "key": [], "n": [], "rare": []}
+            got = {"token": [], "salt": [], "rare": [], "key": [], "n": []}
             for t in cols["text_"] if cols else ():
                 tokens = shingle_set(t, size)
                 key = class_key(tokens) if len(tokens) else None
                 if key is None or key in seen:
                     continue
                 seen.add(key)
-                prefix = orders.value.prefix(tokens, 0, percent)
-                heavy = orders.value.is_heavy(prefix)
-                rare = int(len(tokens) - orders.value.is_heavy(tokens).sum())
+                prefix, heavy, rare = order.value.prefix(tokens, percent)
                 got["token"].append(_signed(prefix))
                 got["salt"].append(np.where(heavy, key % SALTS, -1))
                 for k, v in (("key", key), ("n", len(tokens)), ("rare", rare)):
@@ -175,58 +187,114 @@ def postings(df: DataFrame, size: int, percent: int, orders) -> DataFrame:
 
         return step
 
-    return _map_texts(df.select("text_"), start, "token long, salt int, key long, n long, rare long")
+    return _map_texts(df.select("text_"), start, "token long, salt int, rare long, key long, n long")
+
+
+LISTS = "token long, heavy boolean, key long, n long, rare long, other long, other_n long, other_rare long, long boolean"
+
+
+def lists(posts: DataFrame, percent: int) -> DataFrame:
+    """Stored candidates from each (token, salt) run of classes.
+
+    Short runs: a row for each pair of sizes close enough.  Long runs, and all
+    parts of heavy tokens: a row for each member with the run's first member
+    (fewest rare tokens) as ``other``.  Runs stream by; a buffer holds ``SMALL``
+    rows at most.
+    """
+    rows = posts.repartition("token", "salt").sortWithinPartitions("token", "salt", "rare", "key")
+    schema = to_arrow_schema(StructType.fromDDL(LISTS))
+    small = SMALL
+
+    def run(batches):
+        run_, first, count, head, last = None, None, 0, [], None
+        out: list[tuple] = []
+
+        def close():
+            if run_ is None or count > small or run_[1] >= 0:
+                return
+            for i, (ra, ka, na) in enumerate(head):
+                for rb, kb, nb in head[i + 1:]:
+                    if 100 * min(na, nb) >= percent * max(na, nb):
+                        out.append((run_[0], False, ka, na, ra, kb, nb, rb, False))
+
+        for batch in batches:
+            for piece in slices(batch):
+                token, salt, rare, key, n = (piece.column(i).to_numpy() for i in range(5))
+                # a row that differs in token from both neighbours is a run of its own; most are
+                alone = np.ones(len(token), bool)
+                alone[1:] &= token[1:] != token[:-1]
+                alone[:-1] &= token[:-1] != token[1:]
+                alone[[0, -1]] = False
+                alone &= salt < 0
+                for i in np.flatnonzero(~alone).tolist():
+                    at = (int(token[i]), int(salt[i]))
+                    row = (int(rare[i]), int(key[i]), int(n[i]))
+                    if at != run_:
+                        close()
+                        run_, first, count, head, last = at, row, 0, [], None
+                    if row[1] == last:
+                        continue
+                    last = row[1]
+                    count += 1
+                    if count <= small and at[1] < 0:
+                        head.append(row)
+                        continue
+                    for r in (*head, row):
+                        out.append((at[0], at[1] >= 0, r[1], r[2], r[0], first[1], first[2], first[0], True))
+                    head = []
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    out.clear()
+        close()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return stored(rows.mapInArrow(run, LISTS), "join-lists")
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-class _Verifier:
-    """Compares pairs of classes against the stored sets."""
+def _close(a: Column, b: Column, percent: int) -> Column:
+    return (100 * F.least(a, b)) >= percent * F.greatest(a, b)
 
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose prefixes meet under orders two and three and whose similarity suffices; stored."""
-        side = lambda s: self.sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "second", "third", "tokens")])
-        both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
-        near = both.where(F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b"))
-        same = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        enough = 100 * same >= self.percent * (F.col("n_a") + F.col("n_b") - same)
-        return stored(near.where(enough).select("a", "b"), "join-links")
+def passing(pairs: DataFrame, filters: DataFrame) -> DataFrame:
+    """The pairs (a, b) that share a prefix token under the second and the third order as well; stored."""
+    side = lambda s: filters.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "second", "third")])
+    both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
+    met = F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")
+    return stored(both.where(met).select("a", "b"), "join-pairs")
 
 
-def _sets(df: DataFrame, reps: DataFrame, size: int, percent: int, orders) -> DataFrame:
-    """Stored (key, n, second, third, tokens) of the representatives of classes with candidates.
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; stored."""
+    side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "tokens")])
+    both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
+    same = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    enough = 100 * same >= percent * (F.col("n_a") + F.col("n_b") - same)
+    return stored(both.where(enough).select("a", "b"), "join-links")
 
-    Texts meet the representatives by id, which spreads evenly.
-    """
+
+def _sets(df: DataFrame, names: DataFrame, size: int) -> DataFrame:
+    """Stored (key, n, tokens) of the texts whose id is among ``names``."""
     texts = df.withColumn("name", F.coalesce(F.col("id").cast("string"), F.lit("")))
-    texts = texts.join(reps, "name", "left_semi").select("text_")
+    texts = join_checked(texts, names, "name", "left_semi").select("text_")
 
     def start():
         def step(cols):
-            got = {"key": [], "n": [], "second": [], "third": [], "tokens": []}
+            got = {"key": [], "n": [], "tokens": []}
             for t in cols["text_"] if cols else ():
                 tokens = shingle_set(t, size)
                 if len(tokens):
-                    for k, v in (("key", class_key(tokens)), ("n", len(tokens)),
-                                 ("second", _signed(orders.value.prefix(tokens, 1, percent))),
-                                 ("third", _signed(orders.value.prefix(tokens, 2, percent))),
-                                 ("tokens", _signed(tokens))):
+                    for k, v in (("key", class_key(tokens)), ("n", len(tokens)), ("tokens", _signed(tokens))):
                         got[k].append(v)
             return got
 
         return step
 
-    ddl = "key long, n long, second array<long>, third array<long>, tokens array<long>"
-    return stored(_map_texts(texts, start, ddl), "join-sets")
-
-
-def _close(a: Column, b: Column, percent: int) -> Column:
-    return (100 * F.least(a, b)) >= percent * F.greatest(a, b)
+    return stored(_map_texts(texts, start, "key long, n long, tokens array<long>"), "join-sets")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -234,36 +302,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = docs.sparkSession
     df = docs.select(q(doc_id).alias("id"), q(text).cast("string").alias("text_"))
-    found = scan(df, size)
+    found = scan(df, size, percent)
     rows = found.where("token is null").select("id", "key", "n")
-    often = found.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
-    top = often.orderBy(F.col("n").desc(), "token").limit(MAX_HEAVY).collect()
-    heavy = np.array([r["token"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(heavy)
-    orders = spark.sparkContext.broadcast(
-        Orders(heavy[order], np.arange(len(heavy), 0, -1).astype(np.uint64)[order]))
-
-    # lists of at least two classes, with the pivot of their salted part: fewest rare tokens first
-    posts = postings(df, size, percent, orders).repartition("token", "salt").dropDuplicates(["token", "salt", "key"])
-    part = F.struct("rare", "key")
-    group = Window.partitionBy("token", "salt")
-    posts = posts.withColumn("pivot", F.min(part).over(group)).withColumn("size", F.count(F.lit(1)).over(group))
-    shared = stored(posts.where("size > 1 or salt >= 0").select("token", "salt", "key", "n", "rare", "pivot"), "join-lists")
-    tops = shared.where("salt >= 0").groupBy("token").agg(F.min("pivot").alias("top"))
-    across = shared.where("salt >= 0").select("token", "pivot").distinct().join(tops, "token")
-    pairs = shared.where("key <> pivot.key").select(*_pair(F.col("key"), F.col("pivot.key")))
-    pairs = pairs.unionByName(across.where("pivot.key <> top.key").select(*_pair(F.col("pivot.key"), F.col("top.key"))))
-    pairs = stored(pairs.distinct(), "join-pairs")
-
     classes = stored(rows.where("key is not null").groupBy("key").agg(
         F.min("id").alias("low"), F.min(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("name")), "join-classes")
-    wanted = shared.select("key").distinct()
-    if pairs.isEmpty():
+    order = spark.sparkContext.broadcast(_first_order(found))
+    rows_of = lists(postings(df, size, percent, order), percent)
+    close = _close(F.col("n"), F.col("other_n"), percent)
+    pairs = rows_of.where(close & (F.col("key") != F.col("other"))).select(*_pair(F.col("key"), F.col("other")))
+    # the parts of a heavy token meet through their pivots
+    pivots = rows_of.where("heavy").select("token", F.struct("other_rare", "other", "other_n").alias("p")).distinct()
+    tops = pivots.groupBy("token").agg(F.min("p").alias("top"))
+    across = pivots.join(tops, "token").where(_close(F.col("p.other_n"), F.col("top.other_n"), percent))
+    across = across.where("p.other <> top.other").select(*_pair(F.col("p.other"), F.col("top.other")))
+    filters = stored(found.where("second is not null").select("key", "second", "third").dropDuplicates(["key"]), "join-filters")
+    pairs = passing(pairs.unionByName(across).distinct(), filters)
+    members = rows_of.where("long").select("key")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(members).distinct()
+    names = stored(classes.join(wanted, "key", "left_semi").select("name").distinct(), "join-names")
+    if names.isEmpty():
         comps = spark.createDataFrame([], "node long, comp long")
     else:
-        reps = classes.join(wanted, "key", "left_semi").select("name")
-        verify = _Verifier(_sets(df, reps, size, percent, orders), percent)
-        comps = _merge(shared, verify, pairs, percent)
+        sets = _sets(df, names, size)
+        comps = _merge(rows_of.where("long").select("token", "key", "n").distinct(), verified(pairs, sets, percent),
+                       filters, sets, percent)
     named = classes.join(comps.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "low", F.coalesce("comp", "key").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low").alias("component_id"))
@@ -273,13 +335,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return full.unionByName(bare).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _merge(shared: DataFrame, verify: _Verifier, pairs: DataFrame, percent: int) -> DataFrame:
-    """Components (node, comp) of all links between classes that share a token of ``shared``."""
-    lists = shared.select("token", "key", "n").distinct()
-    links = verify.links(pairs)
+def _first_order(found: DataFrame) -> FirstOrder:
+    often = found.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
+    top = often.orderBy(F.col("n").desc(), "token").limit(MAX_HEAVY).collect()
+    heavy = np.array([r["token"] for r in top], np.int64).view(np.uint64)
+    by_token = np.argsort(heavy)
+    return FirstOrder(heavy[by_token], np.arange(len(heavy), 0, -1).astype(np.uint64)[by_token])
+
+
+def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components (node, comp) of ``links`` and of all further links between members of a long list."""
     for turn in range(ROUNDS + 1):
         comps = connected_components(links)
-        now = lists.join(comps, lists["key"] == comps["node"], "left").select(
+        now = long_lists.join(comps, long_lists["key"] == comps["node"], "left").select(
             "token", "key", "n", F.coalesce("comp", "key").alias("comp"))
         now = stored(now, "join-now")
         sizes = now.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("m"))
@@ -295,34 +363,48 @@ def _merge(shared: DataFrame, verify: _Verifier, pairs: DataFrame, percent: int)
             break
         # more pivots from the largest component of the long lists
         long = live.where(F.col("outside") >= BIG)
-        picks = [F.min(F.struct(F.xxhash64("key", F.lit(turn * PIVOTS + i)).alias("h"), "key"))["key"].alias(f"p{i}")
+        picks = [F.min(F.struct(F.xxhash64("key", F.lit(turn * PIVOTS + i)).alias("h"), "key", "n")).alias(f"p{i}")
                  for i in range(PIVOTS)]
         pivots = long.where("comp = main").groupBy("token").agg(*picks)
         probe = long.where("comp <> main").join(pivots, "token").select(
-            "key", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("pivot"))
-        links = stored(links.unionByName(verify.links(stored(probe.select(*_pair(F.col("key"), F.col("pivot"))).distinct(),
-                                                             "join-pairs"))), "join-links")
-    # exact step; a pair that shares several lists is taken from one of the longest both sides are in
+            "key", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
+        probe = probe.where(_close(F.col("n"), F.col("p.n"), percent)).select(*_pair(F.col("key"), F.col("p.key")))
+        new = verified(passing(probe.distinct(), filters), sets, percent)
+        if new.isEmpty():
+            break
+        links = stored(links.unionByName(new), "join-links")
+    # exact step; a pair that shares several lists is taken from one of the longest that both sides are in
     anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
                                                           lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
     live = live.join(anchors, "key")
     left = live.where("comp <> main").select("token", *[F.col(c).alias(f"{c}_l") for c in ("key", "n", "comp", "anchors")])
-    right = live.select("token", *[F.col(c).alias(f"{c}_r") for c in ("key", "n", "comp", "main", "anchors")])
+    right = live.select(F.col("token").alias("token_r"), *[F.col(c).alias(f"{c}_r") for c in ("key", "n", "comp", "main", "anchors")])
     common = F.array_intersect("anchors_l", "anchors_r")
     once = (F.col("comp_r") == F.col("main_r")) | (F.col("key_l") < F.col("key_r"))
     wanted = (F.col("comp_l") != F.col("comp_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & once & (
-        (F.size(common) == 0) | (F.array_max(common) == left["token"]))
-    rest = left.join(right, (left["token"] == right["token"]) & wanted)
-    rest = rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct()
-    return connected_components(links.unionByName(verify.links(stored(rest, "join-pairs"))))
+        (F.size(common) == 0) | (F.array_max(common) == F.col("token")))
+    rest = left.join(right, (F.col("token") == F.col("token_r")) & wanted)
+    rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters)
+    if rest.isEmpty():
+        return comps
+    return connected_components(links.unionByName(verified(rest, sets, percent)))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the one whose id names it; rows with a null id stay.
 
-    Repeated rows of a kept id become one row.
+    Rows that repeat a kept id become one row.  Ids that go, and repeated ids,
+    are found on slim rows; texts move only if those ids are too many to
+    broadcast.
     """
-    kept = near_duplicates(docs, doc_id, text).where(q(doc_id) == F.col("component_id")).select(
-        q(doc_id).alias("__keep")).distinct()
-    named = docs.join(kept, q(doc_id) == F.col("__keep"), "left_semi")
-    return named.dropDuplicates([doc_id]).unionByName(docs.where(q(doc_id).isNull()))
+    ids = stored(near_duplicates(docs, doc_id, text).where(q(doc_id).isNotNull()), "join-result")
+    name = free_name(docs.columns, "name")
+    key = q(doc_id).cast("string").alias(name)
+    gone = stored(ids.where(q(doc_id) != F.col("component_id")).select(key).distinct(), "join-gone")
+    twice = stored(ids.where(q(doc_id) == F.col("component_id")).groupBy(key).count().where("count > 1").select(name),
+                   "join-twice")
+    named = docs.withColumn(name, key)
+    kept = join_checked(named, gone, name, "left_anti")
+    single = join_checked(kept, twice, name, "left_anti")
+    repeated = join_checked(kept, twice, name, "left_semi").dropDuplicates([name])
+    return single.unionByName(repeated).select(*[q(c) for c in docs.columns])

@@ -43,6 +43,7 @@ def corpus():
 def test_components_match_all_pairs(spark, big, monkeypatch):
     monkeypatch.setattr(ngram_join, "BIG", big)
     monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join, "SMALL", big // 2)
     docs = corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
            ngram_join.near_duplicates(documents(spark, docs)).collect()}
@@ -90,7 +91,7 @@ def test_pipeline_against_brute_force(spark):
     hosts: dict[str, list[bool]] = {}
     for d, _, s in docs:
         hosts.setdefault(s, []).append(fails[d])
-    assert all(np.mean(x) < 0.5 for x in hosts.values())  # no host is rejected here
+    assert all(np.mean(x) < 0.85 for x in hosts.values())  # no host is rejected here
     kept = [(d, t) for d, t, _ in docs if not fails[d]]
     comp = brute.components(kept)
     kept = [(d, t) for d, t in kept if comp[d][1] == d]
