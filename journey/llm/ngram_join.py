@@ -4,8 +4,9 @@ Texts become sets of 64-bit shingle hashes; equal sets form a class, and one
 class is one node however many copies it has.  Under a global order of tokens
 two sets of similarity t share a token among the first ``n - ceil(t n) + 1``
 of each, whatever the order is.  Three orders are used.  The first deals out the
-candidates (tokens that many documents hold come last, so shared lines rarely
-stand in a prefix).  A candidate pair must also share a prefix token under the
+candidates: shingles with a rare word come first, then the others by their
+rarest word's count, and shingles that many documents hold come last, so that
+chance phrases and shared lines rarely stand in a prefix.  A candidate pair must also share a prefix token under the
 second and the third order, which is read from 16-bit fingerprints of those
 prefixes; equal tokens have equal fingerprints, so no pair is lost.  Only the
 classes of pairs that pass all three get their texts read again and compared.
@@ -19,8 +20,9 @@ list whose sides are still in different components is compared.  That last
 step is exact: every pair that passes the prefix filter was compared or lies
 within one component already.
 
-What is broadcast: the ``MAX_HEAVY`` most frequent tokens, which only order the
-tokens (any order gives the same links), and ids behind a check of their size.
+What is broadcast: the ``MAX_HEAVY`` most frequent tokens and ``MAX_WORDS`` most
+frequent words, which only order the tokens (any order gives the same links),
+and ids and keys behind a check of their size.
 
 Defined cases
     null, empty or word-less text: empty set, linked with nothing, its own
@@ -50,12 +52,16 @@ SHINGLE = 4
 PERCENT = 85
 #: tokens counted this often within CHUNK shingles of a task are candidates for the frequent end of the order
 LOCAL_MIN, CHUNK, MAX_HEAVY = 3, 2_000_000, 50_000
+#: words counted this often within CHUNK words of a task are candidates for the frequent words
+WORD_MIN, MAX_WORDS = 8, 200_000
 #: a frequent token's list is dealt to so many tasks in the first comparison
 SALTS = 16
 #: lists of so many classes are compared in full at once
 SMALL = 8
 #: longer lists with so many classes outside the largest component get more pivots before the exact step
 BIG, PIVOTS, ROUNDS = 16, 4, 3
+#: another round is worth its cost if one in so many compared pairs was a link
+WORTH = 10
 ANCHORS = 8
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 # -------------------------------------------------------------------------------------------
@@ -63,11 +69,13 @@ SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 _IS_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 
 
-def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    words = word_hashes(text.encode().lower(), _IS_WORD)
+def words_of(text: bytes | None) -> np.ndarray:
+    """Hashes of the words of a text in UTF-8, A-Z lower-cased."""
+    return word_hashes(text.lower(), _IS_WORD) if text else np.zeros(0, np.uint64)
+
+
+def shingle_set(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text's words."""
     return np.unique(gram_hashes(words, min(size, len(words)))) if len(words) else words
 
 
@@ -88,23 +96,41 @@ def prefix_by_hash(tokens: np.ndarray, which: int, percent: int) -> np.ndarray:
     return np.unique((mix(kept) >> np.uint64(48)).astype(np.uint16).view(np.int16))
 
 
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` in the sorted ``table``, and which are there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
 class FirstOrder:
-    """The order that deals out candidates: tokens outside ``heavy`` by a seeded hash, then ``heavy``, most frequent last."""
+    """The order that deals out candidates.
 
-    def __init__(self, heavy: np.ndarray, rank: np.ndarray):
-        self.heavy, self.rank = heavy, rank  # sorted tokens, and their rank from rare to frequent
+    Heavy tokens are last, most frequent at the end.  Of the others, a shingle
+    with a word outside the frequent ones is first; the rest follow by the
+    binary logarithm of their rarest word's count.  A seeded hash decides
+    among equals.
+    """
 
-    def prefix(self, tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """The prefix, which of its tokens are heavy, and how many tokens of the set are not."""
-        place = mix(tokens ^ np.uint64(SEEDS[0])) >> np.uint64(1)
-        heavy = np.zeros(len(tokens), bool)
-        if len(self.heavy):
-            at = np.minimum(np.searchsorted(self.heavy, tokens), len(self.heavy) - 1)
-            heavy = self.heavy[at] == tokens
+    def __init__(self, heavy: np.ndarray, rank: np.ndarray, words: np.ndarray, level: np.ndarray):
+        self.heavy, self.rank = heavy, rank  # sorted tokens, and their rank from rare to frequent
+        self.words, self.level = words, level  # sorted frequent words, and 1 + log2 of their counts
+
+    def prefix(self, words: np.ndarray, size: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """The set, its prefix, which of the prefix are heavy, and how many tokens of the set are not."""
+        size = min(size, len(words))
+        tokens, first = np.unique(gram_hashes(words, size), return_index=True)
+        at, frequent = _found(self.words, words)
+        level = np.where(frequent, self.level[at] if len(self.level) else 0, 0)
+        rarest = np.min([level[i:len(words) - size + 1 + i] for i in range(size)], axis=0)[first].astype(np.uint64)
+        place = (mix(tokens ^ np.uint64(SEEDS[0])) >> np.uint64(8)) + (rarest << np.uint64(56))
+        at, heavy = _found(self.heavy, tokens)
+        if heavy.any():
             place[heavy] = self.rank[at[heavy]] + (np.uint64(1) << np.uint64(63))
         p = prefix_length(len(tokens), percent)
         first = np.argpartition(place, p - 1)[:p] if p < len(tokens) else np.arange(len(tokens))
-        return tokens[first], heavy[first], int(len(tokens) - heavy.sum())
+        return tokens, tokens[first], heavy[first], int(len(tokens) - heavy.sum())
 
 
 def _map_texts(df: DataFrame, start, ddl: str) -> DataFrame:
@@ -130,38 +156,44 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
 
 def scan(df: DataFrame, size: int, percent: int) -> DataFrame:
     """Stored rows: (id, key, n) of every text, with both fingerprint arrays once for each class and task,
-    and (token, n) of tokens frequent within a task."""
+    and (token, n) of tokens, and (word, n) of words, frequent within a task."""
     kind = df.schema["id"].dataType.simpleString()
 
     def start():
         seen: set[int] = set()
         kept: list[np.ndarray] = []
+        spoken: list[np.ndarray] = []
+
+        def often(arrays, least, column, got):
+            values, n = np.unique(np.concatenate(arrays), return_counts=True)
+            arrays.clear()
+            for t, c in zip(_signed(values[n >= least]).tolist(), n[n >= least].tolist(), strict=True):
+                for k in got:
+                    got[k].append({"n": c, column: t}.get(k))
 
         def step(cols):
-            got = {"id": [], "key": [], "n": [], "second": [], "third": [], "token": []}
+            got = {"id": [], "key": [], "n": [], "second": [], "third": [], "token": [], "word": []}
             for i, t in zip(cols["id"], cols["text_"], strict=True) if cols else ():
-                tokens = shingle_set(t, size)
+                words = words_of(t)
+                tokens = shingle_set(words, size)
                 key = class_key(tokens) if len(tokens) else None
                 new = key is not None and key not in seen
-                for k, v in (("id", i), ("key", key), ("n", len(tokens)), ("token", None),
+                for k, v in (("id", i), ("key", key), ("n", len(tokens)), ("token", None), ("word", None),
                              ("second", prefix_by_hash(tokens, 1, percent) if new else None),
                              ("third", prefix_by_hash(tokens, 2, percent) if new else None)):
                     got[k].append(v)
                 if new:
                     seen.add(key)
                     kept.append(tokens)
-            if kept and (cols is None or sum(map(len, kept)) > CHUNK):
-                tokens, n = np.unique(np.concatenate(kept), return_counts=True)
-                kept.clear()
-                often = n >= LOCAL_MIN
-                for t, c in zip(_signed(tokens[often]).tolist(), n[often].tolist(), strict=True):
-                    for k, v in (("id", None), ("key", None), ("n", c), ("second", None), ("third", None), ("token", t)):
-                        got[k].append(v)
+                    spoken.append(words)
+            if kept and (cols is None or sum(map(len, spoken)) > CHUNK):
+                often(kept, LOCAL_MIN, "token", got)
+                often(spoken, WORD_MIN, "word", got)
             return got
 
         return step
 
-    ddl = f"id {kind}, key long, n long, second array<smallint>, third array<smallint>, token long"
+    ddl = f"id {kind}, key long, n long, second array<smallint>, third array<smallint>, token long, word long"
     return stored(_map_texts(df, start, ddl), "join-scan")
 
 
@@ -173,12 +205,14 @@ def postings(df: DataFrame, size: int, percent: int, order) -> DataFrame:
         def step(cols):
             got = {"token": [], "salt": [], "rare": [], "key": [], "n": []}
             for t in cols["text_"] if cols else ():
-                tokens = shingle_set(t, size)
-                key = class_key(tokens) if len(tokens) else None
-                if key is None or key in seen:
+                words = words_of(t)
+                if not len(words):
+                    continue
+                tokens, prefix, heavy, rare = order.value.prefix(words, size, percent)
+                key = class_key(tokens)
+                if key in seen:
                     continue
                 seen.add(key)
-                prefix, heavy, rare = order.value.prefix(tokens, percent)
                 got["token"].append(_signed(prefix))
                 got["salt"].append(np.where(heavy, key % SALTS, -1))
                 for k, v in (("key", key), ("n", len(tokens)), ("rare", rare)):
@@ -269,7 +303,13 @@ def passing(pairs: DataFrame, filters: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; stored."""
+    """The pairs (a, b) whose sets are similar enough; stored.
+
+    Only the sets that the pairs need are shuffled, if their keys may be broadcast.
+    """
+    used = pairs.select(F.col("a").cast("string").alias("used")).union(pairs.select(F.col("b").cast("string")))
+    used = stored(used.distinct(), "join-used")
+    sets = join_checked(sets.withColumn("used", F.col("key").cast("string")), used, "used", "left_semi")
     side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "tokens")])
     both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
     same = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -286,7 +326,7 @@ def _sets(df: DataFrame, names: DataFrame, size: int) -> DataFrame:
         def step(cols):
             got = {"key": [], "n": [], "tokens": []}
             for t in cols["text_"] if cols else ():
-                tokens = shingle_set(t, size)
+                tokens = shingle_set(words_of(t), size)
                 if len(tokens):
                     for k, v in (("key", class_key(tokens)), ("n", len(tokens)), ("tokens", _signed(tokens))):
                         got[k].append(v)
@@ -301,9 +341,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = docs.sparkSession
-    df = docs.select(q(doc_id).alias("id"), q(text).cast("string").alias("text_"))
+    df = docs.select(q(doc_id).alias("id"), q(text).cast("string").cast("binary").alias("text_"))
     found = scan(df, size, percent)
-    rows = found.where("token is null").select("id", "key", "n")
+    rows = found.where("token is null and word is null").select("id", "key", "n")
     classes = stored(rows.where("key is not null").groupBy("key").agg(
         F.min("id").alias("low"), F.min(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("name")), "join-classes")
     order = spark.sparkContext.broadcast(_first_order(found))
@@ -336,16 +376,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _first_order(found: DataFrame) -> FirstOrder:
-    often = found.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
-    top = often.orderBy(F.col("n").desc(), "token").limit(MAX_HEAVY).collect()
-    heavy = np.array([r["token"] for r in top], np.int64).view(np.uint64)
-    by_token = np.argsort(heavy)
-    return FirstOrder(heavy[by_token], np.arange(len(heavy), 0, -1).astype(np.uint64)[by_token])
+    """Ordering tables from the counts of all tasks, both cut to a fixed size."""
+    def most(column, limit):
+        often = found.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n").alias("n"))
+        got = often.orderBy(F.col("n").desc(), column).limit(limit).toPandas()
+        values, counts = got[column].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
+        order = np.argsort(values)
+        return values[order], counts[order], order
+
+    heavy, _, at = most("token", MAX_HEAVY)
+    words, counts, _ = most("word", MAX_WORDS)
+    return FirstOrder(heavy, np.arange(len(heavy), 0, -1).astype(np.uint64)[at], words,
+                      1 + np.log2(np.maximum(counts, 1)).astype(np.int64))
 
 
 def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components (node, comp) of ``links`` and of all further links between members of a long list."""
-    for turn in range(ROUNDS + 1):
+    last, turn = False, 0
+    while True:
         comps = connected_components(links)
         now = long_lists.join(comps, long_lists["key"] == comps["node"], "left").select(
             "token", "key", "n", F.coalesce("comp", "key").alias("comp"))
@@ -359,20 +407,21 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
         if open_.isEmpty():
             return comps
         live = now.join(open_, "token")
-        if turn == ROUNDS or open_.where(F.col("outside") >= BIG).isEmpty():
+        if last or turn == ROUNDS or open_.where(F.col("outside") >= BIG).isEmpty():
             break
         # more pivots from the largest component of the long lists
         long = live.where(F.col("outside") >= BIG)
+        turn += 1
         picks = [F.min(F.struct(F.xxhash64("key", F.lit(turn * PIVOTS + i)).alias("h"), "key", "n")).alias(f"p{i}")
                  for i in range(PIVOTS)]
         pivots = long.where("comp = main").groupBy("token").agg(*picks)
         probe = long.where("comp <> main").join(pivots, "token").select(
             "key", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
         probe = probe.where(_close(F.col("n"), F.col("p.n"), percent)).select(*_pair(F.col("key"), F.col("p.key")))
-        new = verified(passing(probe.distinct(), filters), sets, percent)
-        if new.isEmpty():
-            break
+        probe = passing(probe.distinct(), filters)
+        new = verified(probe, sets, percent)
         links = stored(links.unionByName(new), "join-links")
+        last = new.count() * WORTH < probe.count()  # further pivots would mostly miss
     # exact step; a pair that shares several lists is taken from one of the longest that both sides are in
     anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
                                                           lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
