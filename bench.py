@@ -1,10 +1,10 @@
 """Benchmark: run every registered query over $BENCH_SF_DIR and print one JSON line.
 
 Each query is executed in full through the ``noop`` sink (all partitions
-computed, nothing collected to the driver).  One warm-up pass, then the
-median of ``BENCH_RUNS`` timed passes per query.  The one-time derivation of
-the sessions dimension (written as Parquet, see ``driver_tables``) is timed
-separately as ``setup_sessions_sec``.
+computed, nothing collected to the driver); queries that read sessions
+derive them from the event log each time.  ``BENCH_WARMUP`` untimed passes,
+then ``BENCH_RUNS`` timed ones, every second one in reverse order so that no
+query is always first; a query's figure is its median.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 """
@@ -22,7 +22,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from journey.plans import QUERIES  # noqa: E402
 from journey.session import get_spark  # noqa: E402
-from journey.sources.driver_tables import DriverTables  # noqa: E402
 
 
 def run_once(spark, fn, sf_dir: str) -> float:
@@ -39,26 +38,23 @@ def main() -> None:
     spark = get_spark(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="journey-bench")
     names = only or list(QUERIES)
     failed = {}
-    for n in names:  # warm-up: JIT, file listing, Python imports; derives the sessions dimension once
-        try:
-            run_once(spark, QUERIES[n], sf_dir)
-        except Exception as e:  # keep benchmarking the others; report the failure
-            failed[n] = f"{type(e).__name__}: {str(e)[:200]}"
-    # the one-time setup, timed on a warm JVM with a fresh (unmemoised) derivation
-    t0 = time.perf_counter()
-    DriverTables(spark, sf_dir, materialize_sessions=True).sessions
-    setup = round(time.perf_counter() - t0, 4)
-    per = {}
-    for n in names:
-        if n not in failed:
-            per[n] = round(statistics.median(run_once(spark, QUERIES[n], sf_dir) for _ in range(runs)), 4)
+    for _ in range(int(os.environ.get("BENCH_WARMUP", "2"))):  # JIT, file listing, Python imports
+        for n in names:
+            try:
+                run_once(spark, QUERIES[n], sf_dir)
+            except Exception as e:  # keep benchmarking the others; report the failure
+                failed[n] = f"{type(e).__name__}: {str(e)[:200]}"
+    took = {n: [] for n in names if n not in failed}
+    for i in range(runs):
+        for n in reversed(took) if i % 2 else list(took):
+            took[n].append(run_once(spark, QUERIES[n], sf_dir))
+    per = {n: round(statistics.median(t), 4) for n, t in took.items()}
     sf = Path(sf_dir).name.replace("sf", "")
     out = {
         "metric": "sum_of_median_query_seconds",
         "value": round(sum(per.values()), 4),
         "unit": "sec",
         "queries": per,
-        "setup_sessions_sec": setup,
         "failed": failed,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,

@@ -1,6 +1,6 @@
 """User-level operators, one function per analysis (DataFrame in, DataFrame out)."""
 
-from journey.operators.flags import session_flags, stage_counts, mark_best
+from journey.operators.flags import flag_table, session_flags, stage_counts, mark_best
 from journey.operators.funnel import (
     overall_funnel, revenue_leakage, leak_ranking, leak_total, funnel_flow, conversion_waterfall,
     wide_funnel, dashboard_funnel, abandonment_rates, average_order_value,

@@ -16,18 +16,43 @@ from journey.functions.sqltext import array, div, ident, in_list, lit, named_str
 from journey.spec import FunnelSpec, require_columns
 
 
-def session_flags(events: DataFrame, spec: FunnelSpec, all_sessions: bool = False) -> DataFrame:
+FLAG = "flag:"
+
+
+def flag_table(events: DataFrame, spec: FunnelSpec, names) -> DataFrame:
+    """One row per session with any event and a 0/1 column ``flag:<event>`` for each of ``names``.
+
+    Written once, it stands in for the events wherever only presence of
+    events per session matters: ``session_flags`` reads it instead of
+    aggregating the event log again.
+    """
+    names = list(dict.fromkeys(names))
+    flags = session_flags(events, spec.with_stages([(n, n) for n in names]), all_sessions=True, keep_null=True)
+    return flags.select(spec.session_col, *[F.col(spec.flag(i)).alias(FLAG + n) for i, n in enumerate(names)])
+
+
+def session_flags(events: DataFrame, spec: FunnelSpec, all_sessions: bool = False, keep_null: bool = False) -> DataFrame:
     """``session_id, s0..s{n-1}`` (INT 0/1).
 
     With ``all_sessions=False`` events outside the funnel are filtered before
     the shuffle (the IN-list reaches the Parquet scan); sessions without any
     stage event then have no row, which does not change any stage count.
     ``all_sessions=True`` keeps one row for every session with any event.
-    NULL session ids are dropped (distinct counts skip NULL).
+    NULL session ids are dropped (distinct counts skip NULL) unless
+    ``keep_null``, which keeps them as one row (SQL ``GROUP BY``).
+    ``events`` may also be a ``flag_table`` that holds all stages.
     """
+    s = ident(spec.session_col)
+    if any(c.startswith(FLAG) for c in events.columns):
+        require_columns(events, spec.session_col, *[FLAG + n for n in spec.names])
+        flags = events.select(spec.session_col, *[F.col(ident(FLAG + n)).alias(spec.flag(i)) for i, n in enumerate(spec.names)])
+        if not keep_null:
+            flags = flags.filter(f"{s} IS NOT NULL")
+        return flags if all_sessions else flags.filter(" + ".join(spec.flag_cols()) + " > 0")
     require_columns(events, spec.session_col, spec.event_col)
-    s, e = ident(spec.session_col), ident(spec.event_col)
-    cond = f"{s} IS NOT NULL" + ("" if all_sessions else f" AND {e} IN ({in_list(spec.names)})")
+    e = ident(spec.event_col)
+    conds = ([] if keep_null else [f"{s} IS NOT NULL"]) + ([] if all_sessions else [f"{e} IN ({in_list(spec.names)})"])
+    cond = " AND ".join(conds) or "true"
     return events.filter(cond).groupBy(spec.session_col).agg(
         *[F.expr(f"max(CASE WHEN {e} = {lit(n)} THEN 1 ELSE 0 END) AS {spec.flag(i)}") for i, n in enumerate(spec.names)]
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from journey.functions.exprs import money_total
 from journey.functions.sqltext import array, div, ident, lit, named_struct, pct_sql
 from journey.operators.flags import final_conv, funnel_rows, session_flags, stage_counts, flag_sums
 from journey.spec import FunnelSpec
@@ -22,7 +23,7 @@ def overall_funnel(events: DataFrame, spec: FunnelSpec) -> DataFrame:
 def average_order_value(orders: DataFrame, gmv_col: str = "gmv"):
     """Scalar subquery: ``sum(gmv) / count(*)``, 0 when there are no orders."""
     return orders.agg(
-        F.coalesce(F.try_divide(F.coalesce(F.sum(gmv_col), F.lit(0.0)), F.count(F.lit(1)).cast("double")), F.lit(0.0))
+        F.coalesce(F.try_divide(money_total(gmv_col), F.count(F.lit(1)).cast("double")), F.lit(0.0))
     ).scalar()
 
 
@@ -95,9 +96,13 @@ def conversion_waterfall(events: DataFrame, spec: FunnelSpec, total_label: str =
 
 
 def wide_funnel(events: DataFrame, spec: FunnelSpec) -> DataFrame:
-    """Q29: one row — sessions with any event, sessions per stage, step and overall rates (percent, 2 dp)."""
-    flags = session_flags(events, spec, all_sessions=True)
-    wide = flags.agg(F.count(F.lit(1)).alias("total_sessions"), *flag_sums(spec))
+    """Q29: one row — sessions with any event, sessions per stage, step and overall rates (percent, 2 dp).
+
+    As in the original SQL, events without a session id form one group: it
+    counts in the stage sums, and not in ``COUNT(session_id)``.
+    """
+    flags = session_flags(events, spec, all_sessions=True, keep_null=True)
+    wide = flags.agg(F.count(spec.session_col).alias("total_sessions"), *flag_sums(spec))
     n = spec.names
     cols = ["total_sessions"] + [f"c{i} AS {ident('sessions_with_' + n[i])}" for i in range(spec.n)]
     cols += [f"{pct_sql(f'c{i}', f'c{i - 1}')} AS {ident(n[i - 1] + '_to_' + n[i] + '_rate')}" for i in range(1, spec.n)]

@@ -39,15 +39,19 @@ def method_failure_rate(events, initiated: str, success: str, failed: str, metho
     A session's method is its first (by event id) method that is not the
     default.  In the literal form only the payment events are read, so the
     method comes from failure events; ``method_stage`` adds the event that
-    records the chosen method.
+    records the chosen method.  Events without a session id are left out.
+    The raw events go through one hash aggregate per (session, method).
     """
     names = [initiated, success, failed] + ([method_stage] if method_stage else [])
-    e, oid = F.col(spec.event_col), F.col(spec.order_col)
+    s, e, oid = F.col(spec.session_col), F.col(spec.event_col), F.col(spec.order_col)
     m = prop_of(events, spec.props_col, "method", default)
-    pay = events.filter(e.isin(*names)).select(spec.session_col, e.alias("_e"), oid.alias("_o"), m.alias("_m"))
-    per = pay.groupBy(spec.session_col).agg(
+    pay = events.filter(e.isin(*names) & s.isNotNull()).select(spec.session_col, e.alias("_e"), oid.alias("_o"), m.alias("_m"))
+    per = pay.groupBy(spec.session_col, "_m").agg(
         F.bool_or(F.col("_e") == F.lit(initiated)).alias("_init"),
-        F.bool_or(F.col("_e") == F.lit(success)).alias("_ok"),
+        F.bool_or(F.col("_e") == F.lit(success)).alias("_ok"), F.min("_o").alias("_o"),
+    )
+    per = per.groupBy(spec.session_col).agg(
+        F.bool_or("_init").alias("_init"), F.bool_or("_ok").alias("_ok"),
         F.coalesce(
             F.min_by(F.col("_m"), F.when(F.col("_m") != F.lit(default), F.col("_o"))), F.lit(default)
         ).alias("method"),

@@ -14,18 +14,23 @@ _DEFAULT = FunnelSpec((("_", "_"),))
 def product_sessions(events, view: str, add: str, spec: FunnelSpec = _DEFAULT, default: str = "unknown") -> DataFrame:
     """Per session with a product-view or add-to-cart event: viewed, added, max price, first category.
 
-    "First" follows the event id (file order), not the timestamp.
+    "First" follows the event id (file order), not the timestamp.  Events
+    without a session id are left out.  The raw events go through one hash
+    aggregate per (session, category) with fixed-width buffers; the string
+    is compared only among a session's few categories.
     """
-    e = F.col(spec.event_col)
+    s, e = F.col(spec.session_col), F.col(spec.event_col)
     p = props_of(events, spec.props_col)
-    pe = events.filter(e.isin(view, add)).select(
+    pe = events.filter(e.isin(view, add) & s.isNotNull()).select(
         spec.session_col, e.alias("_e"), F.col(spec.order_col).alias("_o"),
         p.getField("price").alias("_price"), F.coalesce(p.getField("category"), F.lit(default)).alias("_cat"),
     )
-    return pe.groupBy(spec.session_col).agg(
-        F.bool_or(F.col("_e") == F.lit(view)).alias("viewed"),
-        F.bool_or(F.col("_e") == F.lit(add)).alias("added"),
-        F.max("_price").alias("price"),
+    per = pe.groupBy(spec.session_col, "_cat").agg(
+        F.bool_or(F.col("_e") == F.lit(view)).alias("_v"), F.bool_or(F.col("_e") == F.lit(add)).alias("_a"),
+        F.max("_price").alias("_price"), F.min("_o").alias("_o"),
+    )
+    return per.groupBy(spec.session_col).agg(
+        F.bool_or("_v").alias("viewed"), F.bool_or("_a").alias("added"), F.max("_price").alias("price"),
         F.min_by("_cat", "_o").alias("category"),
     )
 

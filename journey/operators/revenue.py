@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import money_sum, pct, safe_div
+from journey.functions.exprs import money_sum, money_total, pct, safe_div
 from journey.spec import FunnelSpec
 
 _DEFAULT = FunnelSpec((("_", "_"),))
@@ -20,8 +20,8 @@ def channel_roi(sessions, events, orders, segment_col: str, purchase: str, dedup
     counted once per purchase event.  That fan-out is reproduced exactly by
     arithmetic — revenue × max(1, purchase events) per session — so no
     (event × order) pairs are ever materialised.  ``dedup=True`` counts each
-    order once.  ``session_id`` is the key of ``sessions`` (one row per
-    session), so plain counts equal the original's distinct counts.
+    order once per segment.  Sessions are counted distinct; a repeated
+    session row repeats its revenue in the literal form, as in the original.
     """
     sc = spec.session_col
     pe = events.filter((F.col(spec.event_col) == F.lit(purchase)) & F.col(sc).isNotNull()) \
@@ -29,7 +29,9 @@ def channel_roi(sessions, events, orders, segment_col: str, purchase: str, dedup
     po = orders.filter(F.col(sc).isNotNull()).groupBy(sc).agg(money_sum(gmv_col).alias("_rev"))
     s = sessions.select(sc, segment_col)
     j = s.join(pe, sc, "left").join(po, sc, "left")
-    mult = F.lit(1) if dedup else F.greatest(F.coalesce(F.col("_npe"), F.lit(0)), F.lit(1))
+    # repeated session rows lie in one partition after the joins
+    j = j.groupBy(sc, segment_col).agg(F.count(F.lit(1)).alias("_rows"), F.max("_npe").alias("_npe"), F.max("_rev").alias("_rev"))
+    mult = F.lit(1) if dedup else F.greatest(F.coalesce(F.col("_npe"), F.lit(0)), F.lit(1)) * F.col("_rows")
     agg = j.groupBy(segment_col).agg(
         F.count(F.col(sc)).alias("total_sessions"),
         F.count(F.when(F.col("_npe") > 0, F.col(sc))).alias("converting_sessions"),
@@ -50,7 +52,7 @@ def kpi_overview(sessions, events, orders, purchase: str, gmv_col: str = "gmv",
     buyers = events.filter(F.col(spec.event_col) == F.lit(purchase)).agg(F.count_distinct(sc)).scalar()
     all_sessions = sessions.agg(F.count_distinct(sc)).scalar()
     return orders.agg(
-        F.coalesce(F.sum(gmv_col), F.lit(0.0)).alias("total_revenue"),
+        money_total(gmv_col).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_orders"),
-        F.avg(gmv_col).alias("avg_order_value"),
+        safe_div(money_sum(gmv_col), F.count(gmv_col)).alias("avg_order_value"),
     ).withColumn("conversion_rate", safe_div(buyers, all_sessions) * F.lit(100.0))

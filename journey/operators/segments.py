@@ -18,15 +18,19 @@ def segment_counts(
 
     The events are first reduced to one flag row per session (the
     aggregate-before-join rewrite), then LEFT JOINed to the session rows so
-    that sessions without events still count in ``total_sessions``; one
-    ``groupBy(segment)`` with partial aggregation gives every stage at once.
+    that sessions without events still count in ``total_sessions``.
+    ``total_sessions`` counts session rows, the stages count distinct
+    sessions: repeated rows of a session are merged after the join, where
+    they lie in one partition already, before one ``groupBy(segment)``.
     """
     require_columns(sessions, spec.session_col, segment_col)
     s = sessions.selectExpr(ident(spec.session_col), f"{ident(segment_col)} AS segment")
     if not keep_null:
         s = s.filter("segment IS NOT NULL")
     j = s.join(session_flags(events, spec), spec.session_col, "left")
-    return j.groupBy("segment").agg(F.expr("count(1) AS total_sessions"), *flag_sums(spec))
+    once = j.groupBy(spec.session_col, "segment").agg(
+        F.expr("count(1) AS _rows"), *[F.max(c).alias(c) for c in spec.flag_cols()])
+    return once.groupBy("segment").agg(F.expr("sum(_rows) AS total_sessions"), *flag_sums(spec))
 
 
 def _segment_rows(spec: FunnelSpec, denominator: str) -> str:
@@ -104,8 +108,14 @@ def city_tier_funnel(sessions, events, spec: FunnelSpec, city_col: str = "city",
 
 def payment_mix_by_segment(sessions, orders, segment_col: str, method: str,
                            method_col: str = "payment_method", session_col: str = "session_id") -> DataFrame:
-    """Q13: orders per segment and the share paid with ``method`` (0 when a segment has no orders)."""
+    """Q13: orders per segment and the share paid with ``method`` (0 when a segment has no orders).
+
+    A segment's orders are those with a session among the segment's sessions
+    (a left semi join per segment): each order counts once however often its
+    session's row is repeated.
+    """
     s = sessions.selectExpr(ident(session_col), f"{ident(segment_col)} AS segment").filter("segment IS NOT NULL")
+    s = s.repartition(session_col).distinct()  # one exchange serves the distinct and the join
     j = orders.select(session_col, method_col).join(s, session_col, "inner")
     agg = j.groupBy("segment").agg(
         F.expr("count(1) AS orders"), F.expr(f"count_if({ident(method_col)} = {lit(method)}) AS method_orders")
@@ -158,15 +168,16 @@ def device_dropoff(sessions, events, segment_col: str, product_view: str, add_to
                    purchase: str, spec: FunnelSpec | None = None) -> DataFrame:
     """Q30: per segment — sessions with events, stage counts, CR % and checkout abandonment %.
 
-    Inner join: only sessions that have events and a session row count.
-    NULL segments form their own group (SQL GROUP BY).
+    Inner join: only sessions that have events and a session row count, once
+    per segment.  NULL segments form their own group (SQL GROUP BY).
     """
     base = spec or FunnelSpec((("_", "_"),))
     sub = base.with_stages([(product_view, "product_views"), (add_to_cart, "cart_adds"),
                             (checkout, "checkouts"), (purchase, "purchases")])
     flags = session_flags(events, sub, all_sessions=True)
     s = sessions.select(sub.session_col, segment_col)
-    j = flags.join(s, sub.session_col, "inner")
+    j = flags.join(s, sub.session_col, "inner").groupBy(sub.session_col, segment_col).agg(
+        *[F.max(c).alias(c) for c in sub.flag_cols()])
     agg = j.groupBy(segment_col).agg(
         F.count(F.lit(1)).alias("total_sessions"),
         *[F.coalesce(F.sum(sub.flag(i)), F.lit(0)).cast("long").alias(lbl) for i, lbl in enumerate(sub.labels)],

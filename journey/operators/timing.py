@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import DURATION_BUCKETS, DURATION_EDGES, month_key, seconds_between, weekday_name
+from journey.functions.exprs import (
+    DURATION_BUCKETS, DURATION_EDGES, money_sum, money_total, month_key, seconds_between, text_timestamp, weekday_name,
+)
 from journey.functions.sqltext import array, div, ident, lit, named_struct
 from journey.operators.flags import mark_best
 
@@ -26,7 +28,7 @@ def merged_sessions(sessions: DataFrame, orders: DataFrame, session_col: str = "
     with an order id, _w_gmv = their gmv (NULL when none).
     """
     per = orders.filter(F.col(session_col).isNotNull()).groupBy(session_col).agg(
-        F.count(F.lit(1)).alias("_m"), F.count(order_col).alias("_k"), F.sum(gmv_col).alias(W_GMV)
+        F.count(F.lit(1)).alias("_m"), F.count(order_col).alias("_k"), money_sum(gmv_col).alias(W_GMV)
     )
     return sessions.join(per, session_col, "left").selectExpr(
         "* EXCEPT (_m, _k)",
@@ -55,15 +57,16 @@ def hourly_conversion(sessions, orders, hour_col: str = "session_hour", session_
     )
 
 
-def peak_hour(sessions, orders, hour_col: str = "session_hour") -> DataFrame:
+def peak_hour(sessions, orders, hour_col: str = "session_hour", session_col: str = "session_id") -> DataFrame:
     """Q17: the hour with the highest conversion rate (ties: earliest hour)."""
-    h = hourly_conversion(sessions, orders, hour_col).filter(F.col("conv_rate").isNotNull())
+    h = hourly_conversion(sessions, orders, hour_col, session_col).filter(F.col("conv_rate").isNotNull())
     return h.orderBy(F.col("conv_rate").desc(), F.col(hour_col)).limit(1).select(hour_col, "conv_rate")
 
 
-def hour_day_matrix(sessions, orders, hour_col: str = "session_hour", day_col: str = "session_day_of_week") -> DataFrame:
+def hour_day_matrix(sessions, orders, hour_col: str = "session_hour", day_col: str = "session_day_of_week",
+                    session_col: str = "session_id") -> DataFrame:
     """Q18: hour × weekday conversion rate; columns d0 (Monday) .. d6."""
-    m = merged_sessions(sessions.select("session_id", hour_col, day_col), orders)
+    m = merged_sessions(sessions.select(session_col, hour_col, day_col), orders, session_col)
     cells = m.filter(F.col(hour_col).isNotNull() & F.col(day_col).isNotNull()).groupBy(hour_col, day_col).agg(
         _rate().alias("rate")
     )
@@ -71,9 +74,9 @@ def hour_day_matrix(sessions, orders, hour_col: str = "session_hour", day_col: s
     return p.select(hour_col, *[F.col(str(d)).alias(f"d{d}") for d in range(7)])
 
 
-def weekday_conversion(sessions, orders, day_col: str = "session_day_of_week") -> DataFrame:
+def weekday_conversion(sessions, orders, day_col: str = "session_day_of_week", session_col: str = "session_id") -> DataFrame:
     """Q19: conversion per weekday (Monday = 0) with the best day flagged."""
-    m = merged_sessions(sessions.select("session_id", day_col), orders)
+    m = merged_sessions(sessions.select(session_col, day_col), orders, session_col)
     r = m.filter(F.col(day_col).isNotNull()).groupBy(day_col).agg(_rate().alias("conv_rate"))
     r = r.select(day_col, weekday_name(F.col(day_col)).alias("day_name"), "conv_rate")
     return mark_best(r, day_col, "conv_rate")
@@ -85,19 +88,19 @@ def monthly_trend(sessions, orders, date_col: str = "session_date", session_col:
     return (
         m.groupBy(month_key(F.col(date_col)).alias("month"))
         .agg(_sessions_sum(session_col), F.expr(f"CAST(sum({W_CONV}) AS BIGINT) AS conversions"),
-             F.expr(f"coalesce(sum({W_GMV}), 0.0D) AS gmv"))
+             F.expr(f"coalesce(CAST(sum({W_GMV}) AS DOUBLE), 0.0D) AS gmv"))
         .selectExpr("*", f"{div('conversions', 'sessions')} AS conv_rate")
     )
 
 
 def duration_conversion(sessions, orders, duration_col: str = "session_duration_seconds",
-                        edges=DURATION_EDGES, labels=DURATION_BUCKETS) -> DataFrame:
+                        edges=DURATION_EDGES, labels=DURATION_BUCKETS, session_col: str = "session_id") -> DataFrame:
     """Q21: conversion per duration bucket in fixed bucket order; empty buckets give NULL.
 
     One global aggregate with a conditional ratio per bucket, then ``inline``:
     no join with a bucket dimension, no sort.
     """
-    m = merged_sessions(sessions.select("session_id", duration_col), orders)
+    m = merged_sessions(sessions.select(session_col, duration_col), orders, session_col)
     d = ident(duration_col)
     bucket = " ".join(f"WHEN {d} < {e} THEN {i}" for i, e in enumerate(edges))
     m = m.selectExpr(f"CASE {bucket} ELSE {len(edges)} END AS _b", W_ROWS, W_CONV)
@@ -108,16 +111,22 @@ def duration_conversion(sessions, orders, duration_col: str = "session_duration_
     return one.selectExpr(f"inline({rows})")
 
 
-def bounce_rate(sessions, orders, threshold: int = 30, duration_col: str = "session_duration_seconds") -> DataFrame:
+def bounce_rate(sessions, orders, threshold: int = 30, duration_col: str = "session_duration_seconds",
+                session_col: str = "session_id") -> DataFrame:
     """Q22: share of merged rows shorter than ``threshold`` seconds (NULL duration is not a bounce)."""
-    m = merged_sessions(sessions.select("session_id", duration_col), orders)
+    m = merged_sessions(sessions.select(session_col, duration_col), orders, session_col)
     hit = f"coalesce({ident(duration_col)} < {int(threshold)}, false)"
     return m.agg(F.expr(f"{div(f'sum(CASE WHEN {hit} THEN {W_ROWS} ELSE 0 END)', f'sum({W_ROWS})')} AS bounce_rate"))
 
 
 def time_to_purchase(events, purchase: str, session_col: str = "session_id", event_col: str = "event_name",
                      ts_col: str = "event_timestamp") -> DataFrame:
-    """Q31: mean minutes from a session's first event to its last purchase, 2 dp."""
+    """Q31: mean minutes from a session's first event to its last purchase, 2 dp.
+
+    Text timestamps are parsed; text that is no timestamp counts as NULL.
+    """
+    if dict(events.dtypes)[ts_col] == "string":
+        events = events.withColumn(ts_col, text_timestamp(ts_col))
     e = F.col(event_col) == F.lit(purchase)
     per = events.groupBy(session_col).agg(
         F.min(ts_col).alias("_start"), F.max(F.when(e, F.col(ts_col))).alias("_purchase")
@@ -128,9 +137,11 @@ def time_to_purchase(events, purchase: str, session_col: str = "session_id", eve
 
 
 def daily_revenue(orders, date_col: str = "order_date", gmv_col: str = "gmv") -> DataFrame:
-    """Q35: gmv per calendar day."""
+    """Q35: gmv per calendar day; text dates are parsed."""
+    if dict(orders.dtypes)[date_col] == "string":
+        orders = orders.withColumn(date_col, text_timestamp(date_col))
     return (
         orders.groupBy(F.to_date(F.col(date_col)).alias("date"))
-        .agg(F.coalesce(F.sum(gmv_col), F.lit(0.0)).alias("gmv"))
+        .agg(money_total(gmv_col).alias("gmv"))
         .orderBy("date")
     )

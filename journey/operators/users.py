@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import campaign_tag as _campaign_tag
-from journey.functions.exprs import loyalty_tier
+from journey.functions.exprs import loyalty_tier, money_sum
 
 
 def user_rollup(users, sessions, orders, user_col: str = "user_id", order_col: str = "order_id",
@@ -19,7 +19,7 @@ def user_rollup(users, sessions, orders, user_col: str = "user_id", order_col: s
     with a third of all rows costs one row per task), then LEFT JOINed.
     """
     sc = sessions.groupBy(user_col).agg(F.count(F.lit(1)).alias("_s"))
-    oc = orders.groupBy(user_col).agg(F.count(order_col).alias("_o"), F.sum(gmv_col).alias("_r"))
+    oc = orders.groupBy(user_col).agg(F.count(order_col).alias("_o"), money_sum(gmv_col).alias("_r"))
     return (
         users.select(user_col)
         .join(sc, user_col, "left")
@@ -28,7 +28,7 @@ def user_rollup(users, sessions, orders, user_col: str = "user_id", order_col: s
             user_col,
             F.coalesce(F.col("_s"), F.lit(0)).cast("long").alias("total_sessions"),
             F.coalesce(F.col("_o"), F.lit(0)).cast("long").alias("total_orders"),
-            F.coalesce(F.col("_r"), F.lit(0.0)).alias("total_revenue"),
+            F.coalesce(F.col("_r").cast("double"), F.lit(0.0)).alias("total_revenue"),
         )
     )
 
@@ -59,16 +59,22 @@ def new_session_flag(sessions, user_col: str = "user_id", session_col: str = "se
                      order_cols=("session_date", "session_hour")) -> DataFrame:
     """Q42: ``is_new_user`` — the session is its user's first (by date, hour, then session id).
 
-    The first session per user is a ``min`` over a struct (a partial
-    aggregate, safe for users with very many sessions), joined back by user.
+    Date and hour are packed into one number, so the first aggregate over all
+    sessions is a hash aggregate on a fixed-width buffer; session ids are
+    compared only among the sessions of a user's first hour.  Rows without a
+    user stay out of both joins.  An unknown date or hour comes first.
     """
-    key = F.struct(*[F.col(c) for c in order_cols], F.col(session_col))
-    first = sessions.filter(F.col(user_col).isNotNull()).groupBy(user_col).agg(
-        F.min(key).getField(session_col).alias("_first_session")
-    )
-    return sessions.select(session_col, user_col).join(first, user_col, "left").select(
-        session_col, user_col, F.coalesce(F.col(session_col) == F.col("_first_session"), F.lit(False)).alias("is_new_user")
-    )
+    date, hour = order_cols
+    at = F.coalesce(F.unix_date(F.col(date).cast("date")), F.lit(-1_000_000)).cast("long") * 100 + F.coalesce(
+        F.col(hour).cast("long"), F.lit(-1))
+    known = sessions.filter(F.col(user_col).isNotNull()).select(session_col, user_col, at.alias("_at"))
+    first = known.groupBy(user_col).agg(F.min("_at").alias("_first"))
+    tied = known.join(first, user_col).filter("_at = _first")
+    chosen = tied.groupBy(user_col).agg(F.min(session_col).alias("_session"))
+    flagged = known.join(chosen, user_col, "left").select(
+        session_col, user_col, F.coalesce(F.col(session_col) == F.col("_session"), F.lit(False)).alias("is_new_user"))
+    guests = sessions.filter(F.col(user_col).isNull()).select(session_col, user_col, F.lit(False).alias("is_new_user"))
+    return flagged.unionByName(guests)
 
 
 def campaign_tag(sessions, paid_sources, source_col: str = "traffic_source", date_col: str = "session_date",

@@ -9,11 +9,17 @@ library operators themselves return unrounded values.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from journey import operators as op
+from journey.functions import exprs as X
+from journey.session import ensure_checkpoint_dir
+from journey.sources import schemas
 from journey.sources.driver_tables import driver_tables
-from journey.sources.io import dataset_summary
+from journey.sources.io import dataset_summary, read_csv, write_csv, write_parquet
 from journey.spec import DRIVER_ROLES, PRESETS
 
 # --- fixed values: parameters of the registered queries ---------------------
@@ -41,18 +47,77 @@ def rounded(df: DataFrame, dp: int = ROUND_DP) -> DataFrame:
     return df.selectExpr(*cols)
 
 
-MATERIALIZE_SESSIONS = True  # write the derived sessions dimension once per session (see driver_tables)
-
-
 def _q(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(fn(driver_tables(spark, sf_dir, MATERIALIZE_SESSIONS)))
+        return rounded(fn(driver_tables(spark, sf_dir)))
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
+def _page_urls(t):
+    """Events per page URL and stage title."""
+    name = F.col("event_name")
+    return t.events.groupBy(X.page_url(name).alias("page_url"), X.title_case(name).alias("title")).agg(
+        F.count(F.lit(1)).alias("events"))
+
+
+def _display(t):
+    """C20: the overview figures in their display forms."""
+    k = op.kpi_overview(t.sessions, t.events, t.orders, R.purchase)
+    return k.select(
+        X.thousands("total_revenue", "₹").alias("revenue_text"), X.thousands("total_orders").alias("orders_text"),
+        X.inr_lakh("total_revenue").alias("revenue_lakh"), X.percent_text("conversion_rate").alias("conversion_text"))
+
+
+def _properties_json(t):
+    """Events per serialised property set (without the free number)."""
+    p = F.col("event_properties")
+    j = X.props_json(category=p.getField("category"), method=p.getField("method"), reason=p.getField("reason"))
+    return t.events.groupBy(j.alias("properties")).agg(F.count(F.lit(1)).alias("events"))
+
+
+def _count_arrays(t):
+    """The per-segment count and rate arrays, one row per element."""
+    w = op.segment_count_arrays(t.sessions, t.events, SPEC, DEVICE)
+    return w.select("segment", "total_sessions", F.posexplode(F.arrays_zip("counts", "conv_rates")).alias("stage_idx", "z")).select(
+        "segment", "total_sessions", "stage_idx", F.col("z.counts").alias("session_count"), F.col("z.conv_rates").alias("conv_rate"))
+
+
+def _text_times(t):
+    """Time to purchase from timestamps given as text."""
+    return op.time_to_purchase(t.events.withColumn("event_timestamp", F.col("event_timestamp").cast("string")), R.purchase)
+
+
+def _peak(t):
+    """Sessions inside and outside the peak hours."""
+    return t.sessions.groupBy(X.is_peak_hour("session_hour").alias("is_peak_hour")).agg(F.count(F.lit(1)).alias("sessions"))
+
+
+def _csv_round_trip(t):
+    """Orders through the CSV sink and the Parquet sink and back by declared schema."""
+    base = f"{ensure_checkpoint_dir(t.orders.sparkSession).rstrip('/')}/journey-sinks-{uuid.uuid4().hex}"
+    orders = t.orders.select(*[F.col(f.name).cast(f.dataType) if f.name in t.orders.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                               for f in schemas.ORDERS.fields])
+    write_csv(orders, f"{base}/orders.csv")
+    back = read_csv(orders.sparkSession, f"{base}/orders.csv", schemas.ORDERS)
+    write_parquet(back.withColumn("day", F.to_date("order_date")), f"{base}/orders.parquet", ["day"])
+    stored = orders.sparkSession.read.parquet(f"{base}/orders.parquet")
+    return stored.groupBy("payment_method").agg(
+        F.count(F.lit(1)).alias("orders"), X.money_total("gmv").alias("gmv"),
+        F.min(F.to_date("order_date")).alias("first_date"), F.max(F.to_date("order_date")).alias("last_date"))
+
+
+def _named_tables(t):
+    """The tables as views, read by SQL text."""
+    spark, prefix = t.raw.spark, "j_"
+    t.events.createOrReplaceTempView(prefix + "events")
+    t.sessions.createOrReplaceTempView(prefix + "sessions")
+    return spark.sql(f"SELECT s.{DEVICE} AS segment, count(*) AS events FROM {prefix}events e "
+                     f"JOIN {prefix}sessions s ON e.session_id = s.session_id GROUP BY s.{DEVICE}")
+
+
 def _tiered(t):
     return op.with_city_tier(t.sessions, TIER_COL, TIER1, TIER2)
 
@@ -116,6 +181,14 @@ QUERIES = {
     "q43_campaign_tag": _q(lambda t: op.campaign_tag(t.sessions, PAID_SOURCES)),
     "q44_dataset_summary": _q(lambda t: dataset_summary(t)),
     "q45_segment_share": _q(lambda t: op.segment_share(t.sessions, t.orders, DEVICE)),
+    "c13_peak_hours": _q(_peak),
+    "c15_text_timestamps": _q(_text_times),
+    "c18_page_urls": _q(_page_urls),
+    "c20_display_formats": _q(_display),
+    "c23_properties_json": _q(_properties_json),
+    "c24_count_arrays": _q(_count_arrays),
+    "s04_named_tables": _q(_named_tables),
+    "s07_csv_round_trip": _q(_csv_round_trip),
 }
 
 for _name, _fn in QUERIES.items():

@@ -2,17 +2,22 @@
 
 The journey views are rebuilt in SQL (``ev``, ``pr``, ``se``, ``od``) from
 ``events``, ``customer``, ``nation``, ``region`` and ``orders``; event
-properties are derived from ``props`` directly, so the Spark side's JSON
-write/parse path is checked rather than shared.  Where the original is SQL
-(Q29–Q33) the statement keeps its literal form (COUNT(DISTINCT …), the
-double LEFT JOIN fan-out), so the Spark rewrites are checked against it.
+properties are derived from ``props`` directly, so the Spark side's
+properties are checked rather than shared.  Constants that both sides need are
+typed here again, so a wrong one in the library shows.
 """
 
 from __future__ import annotations
 
-from journey.functions.exprs import AS_A, AS_P, DURATION_BUCKETS, WEEKDAY_NAMES, power_delta
 from journey.plans import catalog as C
 
+# fixed values, typed here again on purpose: the library's own must not check themselves
+DURATION_BUCKETS = ("< 30s", "30s-2m", "2m-5m", "5m-15m", "15m+")
+WEEKDAY_NAMES = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+ERFC = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587,
+        -0.82215223, 0.17087277)
+POWER_DELTA = 2.8015817870135784  # of a two-sided test at 5 % with power 80 %
+
 SPEC = C.SPEC
 R = C.R
 
@@ -66,7 +71,7 @@ se AS (
          CAST(c.st AS DATE) = u.first_date AS is_new_user,
          CAST(floor((epoch_us(c.en) - epoch_us(c.st)) / 1000000) AS INTEGER) AS session_duration_seconds
   FROM (SELECT session_id, min(user_id) AS user_id, min(event_timestamp) AS st, max(event_timestamp) AS en
-        FROM ev GROUP BY session_id) c
+        FROM ev WHERE session_id IS NOT NULL GROUP BY session_id) c
   LEFT JOIN (SELECT user_id AS f_user, CAST(min(event_timestamp) AS DATE) AS first_date FROM ev GROUP BY user_id) u
          ON c.user_id = u.f_user
   LEFT JOIN (SELECT c_custkey, c_mktsegment, n_name, r_name
@@ -83,9 +88,9 @@ def W(*ctes: str) -> str:
     return "WITH " + ",\n".join([BASE.strip()] + [c.strip() for c in ctes if c]) + "\n"
 
 
-def flags_cte(name: str, stages, all_sessions: bool = False, src: str = "ev") -> str:
+def flags_cte(name: str, stages, all_sessions: bool = False, src: str = "ev", keep_null: bool = False) -> str:
     cols = ", ".join(f"MAX(CASE WHEN event_name = {q(n)} THEN 1 ELSE 0 END) AS s{i}" for i, n in enumerate(stages))
-    where = "session_id IS NOT NULL" + ("" if all_sessions else f" AND event_name IN ({inlist(stages)})")
+    where = ("true" if keep_null else "session_id IS NOT NULL") + ("" if all_sessions else f" AND event_name IN ({inlist(stages)})")
     return f"{name} AS (SELECT session_id, {cols} FROM {src} WHERE {where} GROUP BY session_id)"
 
 
@@ -115,7 +120,9 @@ def _funnel_rows(spec, extra=lambda i: "") -> list[str]:
 
 
 FUNNEL_CTES = [flags_cte("fl", SPEC.names), f"cnt AS (SELECT {sums(SPEC.n)} FROM fl)"]
-AOV = "(SELECT COALESCE(COALESCE(SUM(gmv), 0) / NULLIF(COUNT(*), 0), 0) FROM od)"
+MONEY = "CAST(SUM(CAST({} AS DECIMAL(18, 6))) AS DOUBLE)"
+GMV = f"COALESCE({MONEY.format('gmv')}, 0.0)"
+AOV = f"(SELECT COALESCE({GMV} / NULLIF(COUNT(*), 0), 0) FROM od)"
 FINAL = D(f"c{SPEC.n - 1}", "c0")
 
 
@@ -193,7 +200,7 @@ SELECT method, {RND('1.0 - AVG(CAST(ok AS DOUBLE))')} AS failure_rate FROM (
          BOOL_OR(event_name = {q(R.success)}) AS ok,
          COALESCE(arg_min(COALESCE(method, 'unknown'), event_id) FILTER (WHERE COALESCE(method, 'unknown') <> 'unknown'),
                   'unknown') AS method
-  FROM pr WHERE event_name IN ({inlist(names)}) GROUP BY session_id)
+  FROM pr WHERE session_id IS NOT NULL AND event_name IN ({inlist(names)}) GROUP BY session_id)
 WHERE init GROUP BY method"""
 
 
@@ -208,9 +215,10 @@ def _seg_wide(seg_expr: str, stages, where: str = "", name: str = "w") -> list[s
     cond = f"WHERE ({seg_expr}) IS NOT NULL" + (f" AND {where}" if where else "")
     return [
         flags_cte("sf", stages),
-        f"sj AS (SELECT {seg_expr} AS segment, sf.* EXCLUDE (session_id) FROM se LEFT JOIN sf "
+        f"sj AS (SELECT {seg_expr} AS segment, se.session_id AS sid, sf.* EXCLUDE (session_id) FROM se LEFT JOIN sf "
         f"ON se.session_id = sf.session_id {cond})",
-        f"{name} AS (SELECT segment, COUNT(*) AS total_sessions, {sums(n)} FROM sj GROUP BY segment)",
+        f"{name} AS (SELECT segment, COUNT(*) AS total_sessions, " + ", ".join(
+            f"COUNT(DISTINCT CASE WHEN s{i} = 1 THEN sid END) AS c{i}" for i in range(n)) + " FROM sj GROUP BY segment)",
     ]
 
 
@@ -248,7 +256,7 @@ ORACLE["q13_payment_mix_by_tier"] = W() + f"""
 SELECT segment, orders, method_orders, {RND(f"COALESCE({D('method_orders', 'orders')}, 0.0)")} AS method_rate FROM (
   SELECT {TIER_SQL} AS segment, COUNT(*) AS orders,
          CAST(SUM(CASE WHEN od.payment_method = {q(C.MIX_METHOD)} THEN 1 ELSE 0 END) AS BIGINT) AS method_orders
-  FROM od JOIN se ON od.session_id = se.session_id GROUP BY 1)"""
+  FROM od JOIN (SELECT DISTINCT session_id, {C.TIER_COL} FROM se) se ON od.session_id = se.session_id GROUP BY 1)"""
 
 CELLS = f"""cells AS (
   SELECT se.traffic_source, se.device_type, COUNT(od.order_id) * 1.0 / COUNT(*) AS rate
@@ -273,7 +281,8 @@ SELECT device_type, total_sessions, product_views, cart_adds, checkouts, purchas
 FROM (SELECT se.device_type, COUNT(*) AS total_sessions,
              CAST(SUM(s0) AS BIGINT) AS product_views, CAST(SUM(s1) AS BIGINT) AS cart_adds,
              CAST(SUM(s2) AS BIGINT) AS checkouts, CAST(SUM(s3) AS BIGINT) AS purchases
-      FROM sf JOIN se ON sf.session_id = se.session_id GROUP BY se.device_type)"""
+      FROM sf JOIN (SELECT DISTINCT session_id, device_type FROM se) se ON sf.session_id = se.session_id
+      GROUP BY se.device_type)"""
 
 ORACLE["q38_dashboard_segment_funnel"] = W(*_seg_wide("se.traffic_source", SPEC.names)) + union([
     f"SELECT segment, CAST({i} AS INTEGER) AS step_idx, {q(nm)} AS step, c{i} AS sessions, "
@@ -285,7 +294,7 @@ ORACLE["q45_segment_share"] = W() + f"""
 , g AS (
   SELECT se.device_type AS segment, COUNT(*) AS sessions, CAST(COALESCE(SUM(o.n), 0) AS BIGINT) AS orders,
          COALESCE(CAST(SUM(o.rev) AS DOUBLE), 0.0) AS revenue
-  FROM se LEFT JOIN (SELECT session_id, COUNT(*) AS n, SUM(CAST(gmv AS DECIMAL(38, 6))) AS rev FROM od
+  FROM se LEFT JOIN (SELECT session_id, COUNT(*) AS n, SUM(CAST(gmv AS DECIMAL(18, 6))) AS rev FROM od
                      WHERE session_id IS NOT NULL GROUP BY session_id) o
          ON se.session_id = o.session_id
   WHERE se.device_type IS NOT NULL GROUP BY 1)
@@ -328,7 +337,7 @@ FROM r"""
 ORACLE["q20_monthly_trend"] = W(MERGED) + f"""
 SELECT month, sessions, conversions, {RND('gmv')} AS gmv, {RND(D('conversions', 'sessions'))} AS conv_rate FROM (
   SELECT strftime(session_date, '%Y-%m') AS month, COUNT(session_id) AS sessions,
-         CAST(SUM({CONV}) AS BIGINT) AS conversions, COALESCE(SUM(gmv), 0.0) AS gmv
+         CAST(SUM({CONV}) AS BIGINT) AS conversions, {GMV} AS gmv
   FROM mg GROUP BY 1)"""
 
 BUCKET = ("CASE WHEN session_duration_seconds < 30 THEN 0 WHEN session_duration_seconds < 120 THEN 1 "
@@ -350,14 +359,14 @@ FROM (SELECT session_id, MIN(event_timestamp) AS st,
       HAVING MAX(CASE WHEN event_name = {q(R.purchase)} THEN 1 ELSE 0 END) = 1)"""
 
 ORACLE["q35_daily_revenue"] = W() + f"""
-SELECT CAST(order_date AS DATE) AS date, {RND('COALESCE(SUM(gmv), 0.0)')} AS gmv FROM od GROUP BY 1"""
+SELECT CAST(order_date AS DATE) AS date, {RND(GMV)} AS gmv FROM od GROUP BY 1"""
 
 # --- products ------------------------------------------------------------------
 
 PS = f"""ps AS (
   SELECT session_id, BOOL_OR(event_name = {q(R.product_view)}) AS viewed, BOOL_OR(event_name = {q(R.add_to_cart)}) AS added,
          MAX(price) AS price, arg_min(COALESCE(category, 'unknown'), event_id) AS category
-  FROM pr WHERE event_name IN ({inlist([R.product_view, R.add_to_cart])}) GROUP BY session_id)"""
+  FROM pr WHERE session_id IS NOT NULL AND event_name IN ({inlist([R.product_view, R.add_to_cart])}) GROUP BY session_id)"""
 
 ORACLE["q23_price_cart_histogram"] = W(PS) + f"""
 SELECT {RND(f'FLOOR(price / {dbl(C.PRICE_BIN)}) * {dbl(C.PRICE_BIN)}')} AS price_bin, added, COUNT(*) AS sessions
@@ -366,67 +375,50 @@ FROM ps WHERE viewed AND price IS NOT NULL GROUP BY 1, 2"""
 ORACLE["q24_category_cart_rate"] = W(PS) + f"""
 SELECT category, {RND('AVG(CAST(added AS DOUBLE))')} AS add_rate FROM ps WHERE viewed GROUP BY category"""
 
-ORACLE["q32_abandoned_products"] = W() + f"""
-, product_funnel AS (
-  SELECT product_id, category,
-         COUNT(DISTINCT CASE WHEN event_name = {q(R.add_to_cart)} THEN session_id END) AS added_to_cart_sessions,
-         COUNT(DISTINCT CASE WHEN event_name = {q(R.purchase)} THEN session_id END) AS purchased_sessions
-  FROM pr WHERE product_id IS NOT NULL GROUP BY product_id, category)
-SELECT product_id, category, added_to_cart_sessions, purchased_sessions,
-       added_to_cart_sessions - purchased_sessions AS abandonments,
-       {RND(PCT('added_to_cart_sessions - purchased_sessions', 'added_to_cart_sessions'))} AS abandonment_rate
-FROM product_funnel WHERE added_to_cart_sessions > {C.ABANDON_MIN_SESSIONS}
-ORDER BY abandonments DESC, product_id, category LIMIT {C.ABANDON_TOP_K}""".replace("\n, product_funnel", ", product_funnel", 1)
-
-ORACLE["q32_abandoned_products_via_session"] = W() + f"""
-, bought AS (SELECT DISTINCT session_id FROM ev WHERE event_name = {q(R.purchase)} AND session_id IS NOT NULL),
-added AS (SELECT DISTINCT session_id, product_id, category FROM pr
-          WHERE product_id IS NOT NULL AND session_id IS NOT NULL AND event_name = {q(R.add_to_cart)}),
-product_funnel AS (
-  SELECT a.product_id, a.category, COUNT(*) AS added_to_cart_sessions, COUNT(b.session_id) AS purchased_sessions
-  FROM added a LEFT JOIN bought b ON a.session_id = b.session_id GROUP BY 1, 2)
-SELECT product_id, category, added_to_cart_sessions, purchased_sessions,
-       added_to_cart_sessions - purchased_sessions AS abandonments,
-       {RND(PCT('added_to_cart_sessions - purchased_sessions', 'added_to_cart_sessions'))} AS abandonment_rate
-FROM product_funnel WHERE added_to_cart_sessions > {C.ABANDON_MIN_SESSIONS}
-ORDER BY abandonments DESC, product_id, category LIMIT {C.ABANDON_TOP_K}""".replace("\n, bought", ", bought", 1)
+
+def _abandoned(reached: str) -> str:
+    """``reached``: rows (product_id, category, a, p), one per session that added or bought the product."""
+    return W(reached) + f"""
+SELECT product_id, category, a AS added_to_cart_sessions, p AS purchased_sessions, a - p AS abandonments,
+       {RND(PCT('a - p', 'a'))} AS abandonment_rate
+FROM (SELECT product_id, category, CAST(SUM(a) AS BIGINT) AS a, CAST(SUM(p) AS BIGINT) AS p FROM reached GROUP BY ALL)
+WHERE a > {C.ABANDON_MIN_SESSIONS} ORDER BY abandonments DESC, product_id, category LIMIT {C.ABANDON_TOP_K}"""
+
+
+ORACLE["q32_abandoned_products"] = _abandoned(f"""reached AS (
+  SELECT product_id, category, session_id, MAX((event_name = {q(R.add_to_cart)})::INT) AS a,
+         MAX((event_name = {q(R.purchase)})::INT) AS p
+  FROM pr WHERE product_id IS NOT NULL AND session_id IS NOT NULL GROUP BY ALL)""")
+
+ORACLE["q32_abandoned_products_via_session"] = _abandoned(f"""reached AS (
+  SELECT DISTINCT product_id, category, session_id, 1 AS a,
+         (session_id IN (SELECT b.session_id FROM ev b WHERE b.event_name = {q(R.purchase)} AND b.session_id IS NOT NULL))::INT AS p
+  FROM pr WHERE product_id IS NOT NULL AND session_id IS NOT NULL AND event_name = {q(R.add_to_cart)})""")
 
 # --- revenue -------------------------------------------------------------------
 
 
 def _roi(dedup: bool) -> str:
-    if dedup:
-        metrics = f"""source_metrics AS (
-    SELECT s.traffic_source, COUNT(*) AS total_sessions, COUNT(pe.session_id) AS converting_sessions,
-           CAST(SUM(o.gmv) AS DOUBLE) AS total_revenue
-    FROM se s
-    LEFT JOIN (SELECT DISTINCT session_id FROM ev WHERE event_name = {q(R.purchase)}) pe ON s.session_id = pe.session_id
-    LEFT JOIN (SELECT session_id, SUM(CAST(gmv AS DECIMAL(38, 6))) AS gmv FROM od GROUP BY session_id) o
-           ON s.session_id = o.session_id
-    GROUP BY s.traffic_source)"""
-    else:
-        metrics = f"""source_metrics AS (
-    SELECT s.traffic_source,
-           COUNT(DISTINCT s.session_id) AS total_sessions,
-           COUNT(DISTINCT CASE WHEN e.event_name = {q(R.purchase)} THEN s.session_id END) AS converting_sessions,
-           CAST(SUM(CAST(o.gmv AS DECIMAL(38, 6))) AS DOUBLE) AS total_revenue
-    FROM se s
-    LEFT JOIN ev e ON s.session_id = e.session_id AND e.event_name = {q(R.purchase)}
-    LEFT JOIN od o ON s.session_id = o.session_id
-    GROUP BY s.traffic_source)"""
-    return W(metrics) + f"""
-SELECT traffic_source, total_sessions, converting_sessions,
-       {RND(PCT('converting_sessions', 'total_sessions'))} AS conversion_rate,
-       {RND('COALESCE(total_revenue, 0)')} AS total_revenue,
-       {RND('ROUND(COALESCE(total_revenue, 0) / NULLIF(total_sessions, 0), 2)')} AS revenue_per_session
-FROM source_metrics"""
+    """Per session: its row count, purchase events and revenue; a session row joins every purchase event and order."""
+    times = "1" if dedup else "n_rows * greatest(buys, 1)"
+    return W(f"""per AS (
+  SELECT traffic_source, session_id, COUNT(*) AS n_rows,
+         (SELECT COUNT(*) FROM ev b WHERE b.session_id = se.session_id AND b.event_name = {q(R.purchase)}) AS buys,
+         (SELECT SUM(CAST(o.gmv AS DECIMAL(18, 6))) FROM od o WHERE o.session_id = se.session_id) AS gmv
+  FROM se GROUP BY traffic_source, session_id)""", f"""src AS (
+  SELECT traffic_source, COUNT(session_id) AS n, COUNT(CASE WHEN buys > 0 THEN session_id END) AS c,
+         COALESCE(CAST(SUM(gmv * {times}) AS DOUBLE), 0.0) AS r
+  FROM per GROUP BY traffic_source)""") + f"""
+SELECT traffic_source, n AS total_sessions, c AS converting_sessions, {RND(PCT('c', 'n'))} AS conversion_rate,
+       {RND('r')} AS total_revenue, {RND('ROUND(r / NULLIF(n, 0), 2)')} AS revenue_per_session
+FROM src"""
 
 
 ORACLE["q33_channel_roi"] = _roi(False)
 ORACLE["q33_channel_roi_dedup"] = _roi(True)
 
 ORACLE["q34_kpi_overview"] = W() + f"""
-SELECT {RND('COALESCE(SUM(gmv), 0.0)')} AS total_revenue, COUNT(*) AS total_orders, {RND('AVG(gmv)')} AS avg_order_value,
+SELECT {RND(GMV)} AS total_revenue, COUNT(*) AS total_orders, {RND(MONEY.format('gmv') + ' / NULLIF(COUNT(gmv), 0)')} AS avg_order_value,
        {RND(D(f"(SELECT COUNT(DISTINCT session_id) FROM ev WHERE event_name = {q(R.purchase)})", "(SELECT COUNT(DISTINCT session_id) FROM se)") + " * 100.0")} AS conversion_rate
 FROM od"""
 
@@ -438,8 +430,8 @@ def _wide():
     cols = ["total_sessions"] + [f"c{i} AS sessions_with_{names[i]}" for i in range(SPEC.n)]
     cols += [f"{RND(PCT(f'c{i}', f'c{i-1}'))} AS {names[i-1]}_to_{names[i]}_rate" for i in range(1, SPEC.n)]
     cols.append(f"{RND(PCT(f'c{SPEC.n - 1}', 'total_sessions'))} AS overall_conversion_rate")
-    return W(flags_cte("fl", names, all_sessions=True),
-             f"cnt AS (SELECT COUNT(*) AS total_sessions, {sums(SPEC.n)} FROM fl)") + "SELECT " + ", ".join(cols) + " FROM cnt"
+    return W(flags_cte("fl", names, all_sessions=True, keep_null=True),
+             f"cnt AS (SELECT COUNT(session_id) AS total_sessions, {sums(SPEC.n)} FROM fl)") + "SELECT " + ", ".join(cols) + " FROM cnt"
 
 
 ORACLE["q29_wide_funnel"] = _wide()
@@ -460,9 +452,9 @@ FROM cnt"""
 
 
 def _erfc(x: str) -> str:
-    a1, a2, a3, a4, a5 = (dbl(a) for a in AS_A)
-    t = f"(1.0 / (1.0 + {dbl(AS_P)} * ({x})))"
-    return f"({t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5})))) * EXP(-(({x}) * ({x}))))"
+    t = f"(1.0 / (1.0 + 0.5 * ({x})))"
+    poly = " + ".join(f"{dbl(c)} * {t} ** {i}" for i, c in enumerate(ERFC))
+    return f"({t} * EXP({poly} - ({x}) * ({x})))"
 
 
 def _ab(seg_col: str, a, b, a_sql: str, b_sql: str) -> str:
@@ -488,7 +480,7 @@ FROM pp"""
 ORACLE["q26_ab_significance_device"] = _ab("device_type", C.SEG_A, C.SEG_B, q(C.SEG_A), q(C.SEG_B))
 ORACLE["q26_ab_significance_new_user"] = _ab("is_new_user", True, False, "true", "false")
 
-_K = 2.0 * power_delta(0.05, 0.8) ** 2
+_K = 2.0 * POWER_DELTA ** 2
 ORACLE["q28_experiment_sample_size"] = W(*_seg_wide("se.traffic_source", LAST),
                                          f"b AS (SELECT segment, {D('c0', 'total_sessions')} AS baseline FROM w)",
                                          f"m AS (SELECT segment, baseline, baseline * {dbl(C.LIFT)} AS mde FROM b)",
@@ -512,7 +504,7 @@ SELECT lg.segment, lg.stage_idx, lg.stage_name, CAST(ef.ease AS INTEGER) AS ease
        CASE WHEN ef.ease >= 6 AND lg.revenue_impact >= 400000 THEN 'Quick Wins'
             WHEN ef.ease < 6 AND lg.revenue_impact >= 400000 THEN 'Major Projects'
             WHEN ef.ease >= 6 AND lg.revenue_impact < 400000 THEN 'Fill-ins'
-            ELSE 'Don''t Bother' END AS category
+            WHEN ef.ease < 6 AND lg.revenue_impact < 400000 THEN 'Don''t Bother' END AS category
 FROM lg LEFT JOIN (VALUES {EFFORT_VALUES}) ef(stage_name, ease) ON lg.stage_name = ef.stage_name"""
 
 
@@ -520,12 +512,12 @@ ORACLE["q27_priority_matrix"] = _priority()
 
 # --- users ---------------------------------------------------------------------
 
-ROLLUP = """ru AS (
+ROLLUP = f"""ru AS (
   SELECT c.c_custkey AS user_id, CAST(COALESCE(s.n, 0) AS BIGINT) AS total_sessions,
          CAST(COALESCE(o.n, 0) AS BIGINT) AS total_orders, COALESCE(o.r, 0.0) AS total_revenue
   FROM customer c
   LEFT JOIN (SELECT user_id, COUNT(*) AS n FROM se GROUP BY user_id) s ON c.c_custkey = s.user_id
-  LEFT JOIN (SELECT o_custkey, COUNT(o_orderkey) AS n, SUM(o_totalprice) AS r FROM orders GROUP BY o_custkey) o
+  LEFT JOIN (SELECT o_custkey, COUNT(o_orderkey) AS n, {MONEY.format('o_totalprice')} AS r FROM orders GROUP BY o_custkey) o
          ON c.c_custkey = o.o_custkey)"""
 ORACLE["q39_user_rollup"] = W(ROLLUP) + f"SELECT user_id, total_sessions, total_orders, {RND('total_revenue')} AS total_revenue FROM ru"
 ORACLE["q40_loyalty_tiers"] = W(ROLLUP) + f"""
@@ -556,4 +548,31 @@ SELECT (SELECT COUNT(*) FROM se) AS n_sessions, (SELECT COUNT(*) FROM ev) AS n_e
        {RND(D('COUNT(*)', '(SELECT COUNT(*) FROM se)'))} AS conversion_rate
 FROM od"""
 
+# --- scalar columns and sinks ----------------------------------------------------
+
+ORACLE["c13_peak_hours"] = W() + "SELECT session_hour IN (20, 21, 22) AS is_peak_hour, COUNT(*) AS sessions FROM se GROUP BY 1"
+ORACLE["c15_text_timestamps"] = ORACLE["q31_time_to_purchase"]
+ORACLE["c18_page_urls"] = W() + """
+SELECT '/' || replace(event_name, '_', '-') AS page_url,
+       array_to_string(list_transform(string_split(event_name, '_'), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS title,
+       COUNT(*) AS events FROM ev GROUP BY 1, 2"""
+ORACLE["c20_display_formats"] = W() + f"""
+SELECT '₹' || format('{{:,}}', CAST(ROUND(total_revenue, 0) AS BIGINT)) AS revenue_text, format('{{:,}}', total_orders) AS orders_text,
+       '₹' || printf('%.1f', total_revenue / 100000.0) || 'L' AS revenue_lakh, printf('%.2f%%', conversion_rate) AS conversion_text
+FROM (SELECT {GMV} AS total_revenue, COUNT(*) AS total_orders,
+             {D(f"(SELECT COUNT(DISTINCT session_id) FROM ev WHERE event_name = {q(R.purchase)})", "(SELECT COUNT(DISTINCT session_id) FROM se)")} * 100.0
+             AS conversion_rate FROM od)"""
+ORACLE["c23_properties_json"] = W() + """
+SELECT '{' || array_to_string(list_filter(['"category":"' || category || '"', '"method":"' || method || '"',
+                                           '"reason":"' || reason || '"'], lambda x: x IS NOT NULL), ',') || '}' AS properties,
+       COUNT(*) AS events FROM pr GROUP BY 1"""
+ORACLE["c24_count_arrays"] = W(*_seg_wide("se.device_type", SPEC.names)) + union([
+    f"SELECT segment, total_sessions, CAST({i} AS INTEGER) AS stage_idx, c{i} AS session_count, "
+    f"{RND(D(f'c{i}', 'total_sessions'))} AS conv_rate FROM w" for i in range(SPEC.n)])
+ORACLE["s04_named_tables"] = W() + """
+SELECT se.device_type AS segment, COUNT(*) AS events FROM ev JOIN se ON ev.session_id = se.session_id GROUP BY 1"""
+ORACLE["s07_csv_round_trip"] = W() + f"""
+SELECT payment_method, COUNT(*) AS orders, {RND(GMV)} AS gmv, CAST(MIN(order_date) AS DATE) AS first_date,
+       CAST(MAX(order_date) AS DATE) AS last_date FROM od GROUP BY 1"""
+
 ORACLE_SQL = {k: ORACLE[k] for k in C.QUERIES if k in ORACLE}

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "journey") -> SparkSession:
@@ -34,59 +33,31 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "j
     return spark
 
 
-def materialize(df, name: str, bucket_by: str | None = None):
-    """Write ``df`` as Parquet under the checkpoint folder and return a scan of it.
-
-    Used for derived dimensions that many queries read (e.g. sessions
-    derived from events): the lineage is cut, the files survive executor
-    loss, and later scans prune columns and push filters.
-
-    With ``bucket_by`` the table is bucketed on that key into
-    ``spark.sql.shuffle.partitions`` buckets (one file per bucket: the rows
-    are first hash-partitioned exactly like the buckets), so a later join
-    with any aggregate keyed the same way reads this side without a
-    shuffle.  Without a usable checkpoint folder the lazy plan is returned
-    (same results).
-    """
-    spark = df.sparkSession
-    try:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-    except Exception:  # e.g. no SparkContext on a remote client session
-        return df
-    tag = f"{name}_{uuid.uuid4().hex[:12]}"
-    path = f"{base}/journey-tables/{tag}"
-    if bucket_by:
-        try:
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            (df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).option("path", path)
-             .mode("errorifexists").saveAsTable(f"journey_{tag}"))
-            return spark.table(f"journey_{tag}")
-        except Exception:  # no table catalog here: plain files below
-            path += "_plain"
-    try:
-        df.write.mode("errorifexists").parquet(path)
-    except Exception:  # folder not writable here: keep the lazy plan
-        return df
-    return spark.read.parquet(path)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+    """The folder that all executors share (``spark.checkpoint.dir``).
 
-    On a cluster the shared folder comes from the session configuration and
-    is never overridden here; a scratch folder is set only when none is
-    configured (local runs and tests).
+    It comes from the session configuration and is never overridden.  Only a
+    local session, where driver and executors are one machine, may do
+    without: it gets a scratch folder.  A cluster without the setting is
+    refused, since other executors could not read what one of them writes.
     """
-    try:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        configured = None
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="journey-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="journey-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def save_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet to ``path``, which must not exist yet, and return its scan.
+
+    For derived tables that several queries read: the lineage is cut and the
+    files survive lost executors.  The caller chooses, keeps and deletes the
+    folder; the number of files follows from the data's partitions.
+    """
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

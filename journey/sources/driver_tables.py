@@ -5,26 +5,26 @@ event_type, value, props) and customer / nation / region / orders
 dimensions, but no sessions. The adapter derives journey tables from them
 with the journey column names, entirely as lazy Spark plans:
 
-* ``events``   – session = (user, calendar day); JSON properties rebuilt with
-                 the journey keys (product_id, category, price, method, reason).
-* ``sessions`` – one row per session from the events, LEFT JOINed to
-                 per-user facts and to the customer → nation → region
-                 dimension.  Both right sides are unique on their key, so
-                 Catalyst removes a join whose columns a query does not use.
+* ``events``   – session = (user, calendar day); ``props`` is parsed once into a
+                 struct with the journey keys (product_id, category, price,
+                 method, reason), of which only the used fields survive.
+* ``sessions`` – one row per session, from one pass over the events, LEFT
+                 JOINed to the customer → nation → region dimension.  The
+                 dimension is unique on its key, so Catalyst removes the join
+                 where a query does not use its columns.  It is a lazy plan:
+                 every query that reads sessions pays for deriving them.
 * ``orders``   – one order per purchase event.
 * ``users`` / ``user_orders`` – customers and their order history.
 """
 
 from __future__ import annotations
 
-import weakref
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from journey.functions.exprs import PROPS_SCHEMA, whole_seconds_between
-from journey.session import materialize
+from journey.functions.exprs import whole_seconds_between
 from journey.sources.io import Tables
 
 RAW_TABLES = ("events", "customer", "orders", "nation", "region")
@@ -66,50 +66,36 @@ def read_raw(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(spark, sf_dir)
 
 
-def _k(raw_events: DataFrame):
-    # try_cast: under ANSI mode a malformed value must give NULL, not fail the job
-    return F.get_json_object(raw_events["props"], "$.k").try_cast("long")
+def _parsed(raw_events: DataFrame) -> DataFrame:
+    """The events with ``_k``, the number in ``props``; malformed text or values give NULL, not a failed job."""
+    return raw_events.withColumn("_k", F.from_json("props", "k BIGINT").getField("k"))
 
 
 def session_key(user_id, ts):
     return F.concat(F.col(user_id).cast("string"), F.lit("-"), F.date_format(F.to_date(F.col(ts)), "yyyyMMdd"))
 
 
-def _json_member(key: str, value, quoted: bool):
-    """``"key": value`` text, or NULL when the value is NULL (concat_ws then skips it)."""
-    v = value.cast("string")
-    return F.concat(F.lit(f'"{key}": "'), v, F.lit('"')) if quoted else F.concat(F.lit(f'"{key}": '), v)
-
-
 def adapt_events(raw_events: DataFrame) -> DataFrame:
-    """Journey events; ``event_properties`` is JSON text as in the original data.
-
-    The JSON object is assembled with ``concat_ws`` (members whose value is
-    NULL are left out, an empty object is ``{}``), which is several times
-    cheaper per row than the general struct-to-JSON generator; operators
-    parse it back with ``from_json``.
-    """
+    """Journey events; ``event_properties`` is a typed struct."""
     # k is parsed once in its own projection (Catalyst keeps a non-cheap
     # expression that is used several times out of the collapsed projection)
-    raw_events = raw_events.select("event_id", "ts", "user_id", "event_type", "value", _k(raw_events).alias("_k"))
+    raw_events = _parsed(raw_events).select("event_id", "ts", "user_id", "event_type", "value", "_k")
     k = F.col("_k")
     name = F.col("event_type")
-    is_product = name.isin(*PRODUCT_EVENTS)
-    members = [
-        F.when(is_product, _json_member("product_id", k, False)),
-        F.when(is_product, _json_member("category", F.concat(F.lit("c"), (k % 5).cast("string")), True)),
-        F.when(is_product, _json_member("price", F.col("value"), False)),
-        F.when(name.isin(*METHOD_EVENTS), _json_member("method", F.concat(F.lit("m"), (k % 4).cast("string")), True)),
-        F.when(name.isin(*REASON_EVENTS), _json_member("reason", F.concat(F.lit("r"), (k % 3).cast("string")), True)),
-    ]
-    assert {"product_id", "category", "price", "method", "reason"} <= {f.name for f in PROPS_SCHEMA.fields}
+    product, method, reason = name.isin(*PRODUCT_EVENTS), name.isin(*METHOD_EVENTS), name.isin(*REASON_EVENTS)
     return raw_events.select(
         F.col("event_id"),
         session_key("user_id", "ts").alias("session_id"),
         F.col("user_id"),
         F.col("ts").alias("event_timestamp"),
         name.alias("event_name"),
-        F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}")).alias("event_properties"),
+        F.struct(
+            F.when(product, k).alias("product_id"),
+            F.when(product, F.concat(F.lit("c"), (k % 5).cast("string"))).alias("category"),
+            F.when(product, F.col("value")).alias("price"),
+            F.when(method, F.concat(F.lit("m"), (k % 4).cast("string"))).alias("method"),
+            F.when(reason, F.concat(F.lit("r"), (k % 3).cast("string"))).alias("reason"),
+        ).alias("event_properties"),
         F.col("value"),
     )
 
@@ -118,31 +104,35 @@ def customer_dim(raw: dict[str, DataFrame]) -> DataFrame:
     """customer ⋈ nation ⋈ region, unique on c_custkey.
 
     nation and region are fixed-size dimensions (25 and 5 rows); Spark's
-    size-checked auto-broadcast handles them. The final dedup makes the key
-    unique for the optimizer, so an unused LEFT JOIN to it is dropped.
+    size-checked auto-broadcast handles them. A customer with several rows
+    is represented by the row with the smallest (nation, segment); the
+    aggregate also makes the key unique for the optimizer, so an unused LEFT
+    JOIN to it is dropped.
     """
     c = raw["customer"].select("c_custkey", "c_nationkey", "c_mktsegment")
     n = raw["nation"].select("n_nationkey", "n_name", "n_regionkey")
     r = raw["region"].select("r_regionkey", "r_name")
     d = c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
-    return d.select(
-        F.col("c_custkey").alias("d_user_id"),
-        F.col("c_mktsegment").alias("device_type"),
-        F.col("r_name").alias("traffic_source"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("state"),
-    ).dropDuplicates(["d_user_id"])
+    row = F.struct("c_nationkey", "c_mktsegment", "n_name", "r_name")
+    return d.groupBy(F.col("c_custkey").alias("d_user_id")).agg(F.min(row).alias("_d")).select(
+        "d_user_id",
+        F.col("_d.c_mktsegment").alias("device_type"),
+        F.col("_d.r_name").alias("traffic_source"),
+        F.col("_d.n_name").alias("city"),
+        F.col("_d.r_name").alias("state"),
+    )
 
 
 def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
-    core = events.groupBy("session_id").agg(
+    """One aggregate of the event log per session; the user's first date is a window over those sessions.
+
+    Events without a user or time have no session id and no session.
+    """
+    core = events.filter(F.col("session_id").isNotNull()).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("event_timestamp").alias("_start"),
         F.max("event_timestamp").alias("_end"),
     )
-    first = events.groupBy(F.col("user_id").alias("f_user_id")).agg(
-        F.to_date(F.min("event_timestamp")).alias("_first_date")
-    )
     s = core.select(
         "session_id",
         "user_id",
@@ -150,8 +140,8 @@ def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
         F.hour("_start").alias("session_hour"),
         F.weekday("_start").alias("session_day_of_week"),
         whole_seconds_between("_start", "_end").alias("session_duration_seconds"),
+        F.to_date(F.min("_start").over(Window.partitionBy("user_id"))).alias("_first_date"),
     )
-    s = s.join(first, s.user_id == first.f_user_id, "left")
     s = s.join(customer_dim(raw), s.user_id == F.col("d_user_id"), "left")
     return s.select(
         "session_id",
@@ -169,14 +159,13 @@ def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def adapt_orders(raw_events: DataFrame) -> DataFrame:
-    k = _k(raw_events)
-    return raw_events.filter(F.col("event_type") == PURCHASE_EVENT).select(
+    return _parsed(raw_events.filter(F.col("event_type") == PURCHASE_EVENT)).select(
         F.col("event_id").alias("order_id"),
         session_key("user_id", "ts").alias("session_id"),
         F.col("user_id"),
         F.col("ts").alias("order_date"),
         F.col("value").alias("gmv"),
-        F.concat(F.lit("m"), (k % 4).cast("string")).alias("payment_method"),
+        F.concat(F.lit("m"), (F.col("_k") % 4).cast("string")).alias("payment_method"),
     )
 
 
@@ -194,18 +183,15 @@ def adapt_user_orders(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 class DriverTables(Tables):
-    """Journey tables over the benchmark tables, each built on first access.
+    """Journey tables over the benchmark tables, each a lazy plan built on first access.
 
     A query that only needs ``events`` never constructs the session joins.
-    With ``materialize_sessions`` the derived sessions dimension is written
-    once as Parquet under the checkpoint folder (as a stored sessions table
-    would be), so segment queries read it instead of aggregating the event
-    log a second time; otherwise it stays a lazy plan.
+    To derive sessions once for several queries, write them with
+    ``journey.session.save_table`` and assign the result to ``sessions``.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize_sessions: bool = True):  # noqa: D107
+    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: D107
         self.raw = read_raw(spark, sf_dir)
-        self.materialize_sessions = materialize_sessions
 
     @cached_property
     def events(self) -> DataFrame:
@@ -213,8 +199,7 @@ class DriverTables(Tables):
 
     @cached_property
     def sessions(self) -> DataFrame:
-        s = adapt_sessions(self.events, self.raw)
-        return materialize(s, "sessions", bucket_by="session_id") if self.materialize_sessions else s
+        return adapt_sessions(self.events, self.raw)
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -229,17 +214,6 @@ class DriverTables(Tables):
         return adapt_user_orders(self.raw)
 
 
-_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def driver_tables(spark: SparkSession, sf_dir: str, materialize_sessions: bool = True) -> DriverTables:
-    """The journey tables of ``sf_dir``; plans (and the written sessions table) are reused per session.
-
-    Nothing is cached in memory: the events are re-read by every query, the
-    derived sessions dimension is read back from its Parquet files.
-    """
-    per_session = _PLANS.setdefault(spark, {})
-    key = (sf_dir, materialize_sessions)
-    if key not in per_session:
-        per_session[key] = DriverTables(spark, sf_dir, materialize_sessions)
-    return per_session[key]
+def driver_tables(spark: SparkSession, sf_dir: str) -> DriverTables:
+    """The journey tables of ``sf_dir``; nothing is kept between calls, so changed files are seen."""
+    return DriverTables(spark, sf_dir)

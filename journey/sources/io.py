@@ -7,12 +7,13 @@ from dataclasses import dataclass, fields
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from journey.sources import schemas
 
 # CSV written by pandas quotes fields and doubles inner quotes; the default
 # backslash escape would split JSON fields, so escape is the quote itself.
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 
 
 @dataclass
@@ -33,15 +34,29 @@ class Tables:
                 df.createOrReplaceTempView(prefix + f.name)
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Header CSV with a declared schema (no inference pass)."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def read_csv(spark: SparkSession, path: str, schema, mode: str = "FAILFAST") -> DataFrame:
+    """Header CSV with a declared schema (no inference pass), columns bound by header name.
+
+    The header gives the order; a declared column that it lacks is an error,
+    further columns are left out, and a file whose header differs from the
+    first one's fails (``enforceSchema=false``).  A value that does not fit its
+    type fails the job, unless ``mode="PERMISSIVE"`` asks for NULLs.
+    """
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    declared = {f.name: f for f in schema.fields}
+    missing = [n for n in declared if n not in header]
+    if missing:
+        raise ValueError(f"columns {missing} not in the header of {path}: {header}")
+    read = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header])
+    df = spark.read.schema(read).options(**CSV_OPTIONS, enforceSchema="false", mode=mode).csv(path)
+    return df.select(*declared)
 
 
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Tables:
     """S3: load sessions/events/orders/users from ``base/<name>.<fmt>``.
 
-    A missing path raises ``AnalysisException`` at load time.
+    A missing path raises ``AnalysisException`` at load time; only a missing
+    users table is fine (the rollups alone need it), an unreadable one is not.
     """
 
     def one(name):
@@ -52,7 +67,9 @@ def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Tables:
 
     try:
         users = one("users")
-    except AnalysisException:  # users is optional (only the rollups need it): a missing path is fine
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         users = None
     return Tables(sessions=one("sessions"), events=one("events"), orders=one("orders"), users=users)
 

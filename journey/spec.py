@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 
 @dataclass(frozen=True)
@@ -54,18 +53,6 @@ class FunnelSpec:
     def flag_cols(self) -> list[str]:
         return [self.flag(i) for i in range(self.n)]
 
-    def stage_frame(self, spark: SparkSession) -> DataFrame:
-        """The stage dimension as a tiny DataFrame (size = number of stages)."""
-        schema = T.StructType(
-            [
-                T.StructField("stage_idx", T.IntegerType(), False),
-                T.StructField("stage_name", T.StringType(), False),
-                T.StructField("stage_label", T.StringType(), False),
-            ]
-        )
-        rows = [(i, n, lbl) for i, (n, lbl) in enumerate(self.stages)]
-        return spark.createDataFrame(rows, schema)
-
     def with_stages(self, stages) -> "FunnelSpec":
         return FunnelSpec(
             tuple(stages), self.session_col, self.event_col, self.ts_col, self.order_col, self.props_col
@@ -86,6 +73,15 @@ class Roles:
     method_selected: str | None = "payment_method_selected"
 
 
+@dataclass(frozen=True)
+class Columns:
+    """Names of the order and session columns that differ between data sets."""
+
+    gmv: str = "gmv"
+    order_id: str = "order_id"
+    order_date: str = "order_date"
+
+
 # --- fixed values: stage vocabularies of the original project -------------
 SCRIPT_STAGES = (
     ("page_view", "Session Started"),
@@ -131,10 +127,12 @@ DRIVER_STAGES = (
 PRESETS = {
     "script": FunnelSpec(SCRIPT_STAGES),
     "generator": FunnelSpec(GENERATOR_STAGES),
-    "warehouse": FunnelSpec(WAREHOUSE_STAGES),
+    "warehouse": FunnelSpec(WAREHOUSE_STAGES, ts_col="timestamp"),
     "driver": FunnelSpec(DRIVER_STAGES),
 }
 
+# the warehouse tables name the order's amount differently
+WAREHOUSE_COLUMNS = Columns(gmv="order_value")
 SCRIPT_ROLES = Roles()
 WAREHOUSE_ROLES = Roles(
     product_view="product_view",

@@ -5,8 +5,11 @@ event timestamp; with a watermark, append mode emits each session's flags
 once, after the watermark has passed the end of its window, and drops its
 state.  State is therefore bounded by the sessions still open, not by
 history.  A session whose events are further apart than ``gap`` is emitted
-as several windows; ``funnel_from_flags`` merges them again by session id,
-so counts equal the batch funnel.
+as several windows; ``funnel_from_flags`` merges them again by session id.
+
+Events that arrive later than the watermark allows are dropped by Spark, as
+with any watermark: counts equal the batch funnel only as far as no event is
+later than that.  Events without a session id or time are left out.
 """
 
 from __future__ import annotations
@@ -16,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from journey.operators.flags import flag_sums, funnel_rows
-from journey.session import ensure_checkpoint_dir
 from journey.spec import FunnelSpec
 
 
@@ -38,14 +40,12 @@ def stream_session_flags(events: DataFrame, spec: FunnelSpec, gap: str = "30 min
     )
 
 
-def flags_sink(flags: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+def flags_sink(flags: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append closed sessions to a Parquet table; progress is kept in ``checkpoint``.
 
-    The checkpoint location defaults to a folder under the session's
-    ``spark.checkpoint.dir`` (shared storage on a cluster).
+    ``checkpoint`` belongs to this one stream: a shared folder that outlives
+    the application, and another one for each sink.
     """
-    if checkpoint is None:
-        checkpoint = ensure_checkpoint_dir(flags.sparkSession).rstrip("/") + "/journey-flags-stream"
     w = flags.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start(path)

@@ -100,7 +100,7 @@ def approx(x, nd=4):
     return None if x is None else round(x, nd)
 
 
-def write_journey_csv(d: str) -> None:
+def write_journey_csv(d: str, users: bool = True) -> None:
     """The fixture tables as CSV files with the full journey schemas (pandas-style quoting)."""
     import csv
     import os
@@ -120,5 +120,7 @@ def write_journey_csv(d: str) -> None:
                      for e in EVENTS])
     write("orders", [(o[0], o[1], o[2], o[3].strftime("%Y-%m-%d %H:%M:%S"), o[4], True, "SAVE20", 0.0, o[5], "010101",
                       "beauty", True, "mobile") for o in ORDERS])
+    if not users:
+        return
     write("users", [(u, "2023-10-02", "25-34", "F", "mobile", "beauty", True, False, 0.0, 0.0, 0.0, "new")
                     for u in ("u1", "u2", "u3", "u4")])

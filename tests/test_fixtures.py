@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from journey import operators as op
-from journey.functions.exprs import pooled_z, sample_size_per_variant, two_sided_p, power_delta
+from journey.functions.exprs import pooled_z_sql, sample_size_per_variant, two_sided_p_sql, power_delta
 from tests.conftest import STAGES, approx, rows
 
 
@@ -165,10 +167,12 @@ def test_dashboard_and_abandonment(fx):
 
 def test_z_test_formula(spark):
     df = spark.createDataFrame([(50, 1000, 30, 1000), (0, 10, 0, 10)], "xa INT, na INT, xb INT, nb INT")
-    r = df.select(pooled_z("xa", "na", "xb", "nb").alias("z")).withColumn("p", two_sided_p("z")).collect()
+    r = df.select(F.expr(pooled_z_sql("xa", "na", "xb", "nb")).alias("z")).withColumn("p", F.expr(two_sided_p_sql("z"))).collect()
     assert approx(r[0].z, 6) == 2.282177
     assert abs(r[0].p - 0.02247887) < 2e-7
     assert r[1].z is None and r[1].p is None  # p = 0: no standard error
+    tiny = spark.range(1).select(F.lit(12.0).alias("z")).select(F.expr(two_sided_p_sql("z")).alias("p")).first().p
+    assert abs(tiny / math.erfc(12 / math.sqrt(2)) - 1) < 2e-7  # relative accuracy far out
 
 
 def test_sample_size_formula(spark):

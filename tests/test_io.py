@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from journey.sources.driver_tables import driver_tables
 from journey.sources.io import read_csv, write_csv, write_parquet
@@ -28,7 +29,7 @@ def test_csv_read_keeps_json_and_nulls(spark):
     p = os.path.join(d, "e.csv")
     with open(p, "w") as f:
         f.write(CSV)
-    df = read_csv(spark, p, "event_id BIGINT, event_properties STRING, is_new BOOLEAN, coupon STRING, total DOUBLE")
+    df = read_csv(spark, p, StructType.fromDDL("event_id BIGINT, event_properties STRING, is_new BOOLEAN, coupon STRING, total DOUBLE"))
     r = df.orderBy("event_id").collect()
     assert r[0].event_properties == '{"product_id": 12, "category": "fashion", "price": 499}'
     assert (r[0].is_new, r[0].coupon, r[0].total) == (True, None, 1.0)
@@ -39,7 +40,7 @@ def test_csv_round_trip(spark):
     d = _scratch()
     src = spark.createDataFrame([(1, '{"a": "x, \\"y\\""}', None)], "id BIGINT, props STRING, c STRING")
     write_csv(src, os.path.join(d, "out"))
-    back = read_csv(spark, os.path.join(d, "out"), "id BIGINT, props STRING, c STRING").collect()
+    back = read_csv(spark, os.path.join(d, "out"), StructType.fromDDL("id BIGINT, props STRING, c STRING")).collect()
     assert [tuple(r) for r in back] == [(1, '{"a": "x, \\"y\\""}', None)]
 
 
@@ -59,44 +60,55 @@ def test_adapter_profile_sf001(spark):
     assert counts[0] == 1617 and counts[1] == 1601 and counts[3] == 1604
 
 
-def test_adapter_json_parses(spark):
+def test_adapter_props_are_a_struct(spark):
     t = driver_tables(spark, SF001)
-    from journey.functions.exprs import parse_props
+    errors = t.events.filter(F.col("event_name") == "error").select("event_properties.*")
+    assert errors.columns == ["product_id", "category", "price", "method", "reason"]
+    assert errors.filter("reason IS NULL OR method IS NULL OR price IS NOT NULL").count() == 0
 
-    parsed = t.events.filter(F.col("event_name") == "error").select(
-        parse_props("event_properties").getField("reason").alias("r"))
-    assert parsed.filter(F.col("r").isNull()).count() == 0
 
+def test_reader_binds_by_header_and_refuses_bad_values(spark):
+    import pytest
 
-def test_load_tables_csv_end_to_end(spark, fx):
-    """Journey tables as CSV files (pandas quoting) → declared schemas → funnel."""
-    import csv
+    d = _scratch()
+    with open(os.path.join(d, "o.csv"), "w") as f:
+        f.write("gmv,extra,order_id,session_id\n5.0,x,o1,s1\n")
+    schema = "order_id STRING, session_id STRING, gmv DOUBLE"
+    declared = StructType.fromDDL(schema)
+    assert tuple(read_csv(spark, os.path.join(d, "o.csv"), declared).first()) == ("o1", "s1", 5.0)
+    with open(os.path.join(d, "bad.csv"), "w") as f:
+        f.write("order_id,session_id,gmv\no1,s1,five\n")
+    with pytest.raises(Exception, match="MALFORMED|five"):
+        read_csv(spark, os.path.join(d, "bad.csv"), declared).collect()
+    assert read_csv(spark, os.path.join(d, "bad.csv"), declared, mode="PERMISSIVE").first().gmv is None
+    with open(os.path.join(d, "short.csv"), "w") as f:
+        f.write("order_id,gmv\no1,5\n")
+    with pytest.raises(ValueError, match="session_id"):
+        read_csv(spark, os.path.join(d, "short.csv"), declared)
+
+
+def test_only_a_missing_users_path_makes_users_optional(spark, fx):
+    import pytest
+    from pyspark.errors import AnalysisException
 
     from journey.sources.io import load_tables
-    from tests.conftest import EVENTS, ORDERS, SESSIONS, STAGES
 
     d = _scratch()
+    for name in ("sessions", "events", "orders"):
+        getattr(fx, name).write.parquet(os.path.join(d, f"{name}.parquet"))
+    assert load_tables(spark, d).users is None
+    os.makedirs(os.path.join(d, "users.parquet"))  # there, but without any file to read a schema from
+    with pytest.raises(AnalysisException):
+        load_tables(spark, d)
 
-    def write(name, header, rows):
-        with open(os.path.join(d, f"{name}.csv"), "w", newline="") as f:
-            w = csv.writer(f, quoting=csv.QUOTE_MINIMAL, doublequote=True)
-            w.writerow(header)
-            for r in rows:
-                w.writerow(["" if v is None else v for v in r])
-
-    from journey.sources import schemas
-
-    write("sessions", [f.name for f in schemas.SESSIONS.fields],
-          [(s[0], s[1], s[2].isoformat(), s[3], s[4], s[5], s[6], "homepage", s[7], None, s[8], False, s[9], None)
-           for s in SESSIONS])
-    write("events", ["event_id", "session_id", "user_id", "event_timestamp", "event_name", "event_properties",
-                     "page_url", "time_on_page_seconds"],
-          [(e[0], e[1], None, e[2].strftime("%Y-%m-%d %H:%M:%S"), e[3], e[4], "/" + e[3].replace("_", "-"), 10)
-           for e in EVENTS])
-    write("orders", ["order_id", "session_id", "user_id", "order_date", "gmv", "discount_applied", "coupon_code",
-                     "discount_amount", "payment_method", "delivery_pincode", "category", "is_first_order", "device_type"],
-          [(o[0], o[1], o[2], o[3].strftime("%Y-%m-%d %H:%M:%S"), o[4], True, "SAVE20", 0.0, o[5], "010101",
-            "beauty", True, "mobile") for o in ORDERS])
+
+def test_load_tables_csv_end_to_end(spark, fx):
+    """Journey tables as CSV files (pandas quoting) → declared schemas → funnel."""
+    from journey.sources.io import load_tables
+    from tests.conftest import STAGES, write_journey_csv
+
+    d = _scratch()
+    write_journey_csv(d, users=False)
     t = load_tables(spark, d, fmt="csv")
     assert t.users is None
     assert t.orders.filter("delivery_pincode = '010101'").count() == 3  # leading zero kept
