@@ -6,19 +6,23 @@ two sets of similarity t share a token among the first ``n - ceil(t n) + 1``
 of each, whatever the order is.  Three orders are used.  The first deals out the
 candidates: shingles with a rare word come first, then the others by their
 rarest word's count, and shingles that many documents hold come last, so that
-chance phrases and shared lines rarely stand in a prefix.  A candidate pair must also share a prefix token under the
-second and the third order, which is read from 16-bit fingerprints of those
-prefixes; equal tokens have equal fingerprints, so no pair is lost.  Only the
-classes of pairs that pass all three get their texts read again and compared.
+chance phrases and shared lines rarely stand in a prefix.  A candidate pair must also share tokens of the prefixes under
+the second and the third order, as many as ``least_shared`` says two similar
+sets always do; they are counted on 16-bit fingerprints, with what a set loses
+to equal fingerprints allowed for, so no pair is lost.  Only the classes of
+pairs that pass all three get their texts read again and compared.
 
 Only the components are asked for, so a long list of classes that share a
 token is not expanded into all pairs.  Lists of at most ``SMALL`` classes are.  In
 longer ones all members are first compared with one typical member (``pivot``);
 then, in lists that still hold several components, the members outside the
 largest one are compared with more of its members; at last every pair of one
-list whose sides are still in different components is compared.  That last
-step is exact: every pair that passes the prefix filter was compared or lies
-within one component already.
+list whose sides are still in different components is considered.  There the
+join's condition holds parity bitmaps against each other, whose differing bits
+are at most as many as the tokens that differ, so it puts out few pairs that
+are not links.  That last step is exact: every pair that passes the prefix
+filter was compared, is too far apart by its bitmaps, or lies within one
+component already.
 
 What is broadcast: the ``MAX_HEAVY`` most frequent tokens and ``MAX_WORDS`` most
 frequent words, which only order the tokens (any order gives the same links),
@@ -51,9 +55,9 @@ from journey.llm.wordhash import gram_hashes, mix, word_hashes
 SHINGLE = 4
 PERCENT = 85
 #: tokens counted this often within CHUNK shingles of a task are candidates for the frequent end of the order
-LOCAL_MIN, CHUNK, MAX_HEAVY = 3, 2_000_000, 50_000
+LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 5_000_000, 200_000
 #: words counted this often within CHUNK words of a task are candidates for the frequent words
-WORD_MIN, MAX_WORDS = 8, 200_000
+WORD_MIN, MAX_WORDS = 2, 500_000
 #: a frequent token's list is dealt to so many tasks in the first comparison
 SALTS = 16
 #: lists of so many classes are compared in full at once
@@ -63,7 +67,9 @@ BIG, PIVOTS, ROUNDS = 16, 4, 3
 #: another round is worth its cost if one in so many compared pairs was a link
 WORTH = 10
 ANCHORS = 8
-SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
+#: bits of a parity bitmap: eight for a token, at most this many
+MAX_BITS = 1 << 14
+SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 # -------------------------------------------------------------------------------------------
 
 _IS_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
@@ -104,6 +110,19 @@ def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == keys
 
 
+def parity_bits(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the bitmap's places an odd number of tokens falls on, as 64-bit words; and folded to half the length.
+
+    A token in one of two sets flips one bit, so bitmaps differ in at most as
+    many bits as the sets differ in tokens, also after folding.
+    """
+    size = min(MAX_BITS, max(128, 1 << int(8 * len(tokens) - 1).bit_length()))
+    places = (mix(tokens ^ np.uint64(SEEDS[3])) & np.uint64(size - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=size) & 1).astype(np.uint8)
+    whole = np.packbits(odd).view(np.int64)
+    return whole, whole[:len(whole) // 2] ^ whole[len(whole) // 2:]
+
+
 class FirstOrder:
     """The order that deals out candidates.
 
@@ -167,9 +186,10 @@ def scan(df: DataFrame, size: int, percent: int) -> DataFrame:
         def often(arrays, least, column, got):
             values, n = np.unique(np.concatenate(arrays), return_counts=True)
             arrays.clear()
-            for t, c in zip(_signed(values[n >= least]).tolist(), n[n >= least].tolist(), strict=True):
-                for k in got:
-                    got[k].append({"n": c, column: t}.get(k))
+            many = n >= least
+            fill = {"n": n[many].tolist(), column: _signed(values[many]).tolist()}
+            for k in got:
+                got[k].extend(fill.get(k) or [None] * int(many.sum()))
 
         def step(cols):
             got = {"id": [], "key": [], "n": [], "second": [], "third": [], "token": [], "word": []}
@@ -294,12 +314,34 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b)) >= percent * F.greatest(a, b)
 
 
-def passing(pairs: DataFrame, filters: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share a prefix token under the second and the third order as well; stored."""
-    side = lambda s: filters.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "second", "third")])
+def _share(n: Column, percent: int) -> Column:
+    """ceil(percent / 100 * n)"""
+    return F.ceil(n * percent / F.lit(100))
+
+
+def least_shared(a: Column, b: Column, percent: int) -> Column:
+    """How many prefix tokens two similar sets of sizes ``a`` and ``b`` share at least, whatever the order.
+
+    Similar sets share o >= t / (1 + t) * (a + b) tokens.  At most a - o of
+    a's tokens are not shared, so its prefix of a - ceil(t a) + 1 holds at least
+    o - ceil(t a) + 1 of the shared ones, and these are the first shared ones
+    in the order; likewise for b.
+    """
+    overlap = F.ceil((a + b) * percent / F.lit(100 + percent))
+    return F.greatest(F.lit(1), overlap - F.greatest(_share(a, percent), _share(b, percent)) + 1)
+
+
+def passing(pairs: DataFrame, filters: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share enough prefix tokens under the second and the third order as well; stored."""
+    side = lambda s: filters.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "second", "third")])
     both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
-    met = F.arrays_overlap("second_a", "second_b") & F.arrays_overlap("third_a", "third_b")
-    return stored(both.where(met).select("a", "b"), "join-pairs")
+
+    def met(order):
+        lost = [F.col(f"n_{s}") - _share(F.col(f"n_{s}"), percent) + 1 - F.size(f"{order}_{s}") for s in "ab"]
+        need = F.greatest(F.lit(1), least_shared(F.col("n_a"), F.col("n_b"), percent) - F.least(*lost))
+        return F.size(F.array_intersect(f"{order}_a", f"{order}_b")) >= need
+
+    return stored(both.where(met("second") & met("third")).select("a", "b"), "join-pairs")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -318,23 +360,25 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(df: DataFrame, names: DataFrame, size: int) -> DataFrame:
-    """Stored (key, n, tokens) of the texts whose id is among ``names``."""
+    """Stored (key, n, tokens, bits, half) of the texts whose id is among ``names``."""
     texts = df.withColumn("name", F.coalesce(F.col("id").cast("string"), F.lit("")))
     texts = join_checked(texts, names, "name", "left_semi").select("text_")
 
     def start():
         def step(cols):
-            got = {"key": [], "n": [], "tokens": []}
+            got = {"key": [], "n": [], "tokens": [], "bits": [], "half": []}
             for t in cols["text_"] if cols else ():
                 tokens = shingle_set(words_of(t), size)
                 if len(tokens):
-                    for k, v in (("key", class_key(tokens)), ("n", len(tokens)), ("tokens", _signed(tokens))):
+                    bits, half = parity_bits(tokens)
+                    for k, v in (("key", class_key(tokens)), ("n", len(tokens)), ("tokens", _signed(tokens)),
+                                 ("bits", bits), ("half", half)):
                         got[k].append(v)
             return got
 
         return step
 
-    return stored(_map_texts(texts, start, "key long, n long, tokens array<long>"), "join-sets")
+    return stored(_map_texts(texts, start, "key long, n long, tokens array<long>, bits array<long>, half array<long>"), "join-sets")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -355,8 +399,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tops = pivots.groupBy("token").agg(F.min("p").alias("top"))
     across = pivots.join(tops, "token").where(_close(F.col("p.other_n"), F.col("top.other_n"), percent))
     across = across.where("p.other <> top.other").select(*_pair(F.col("p.other"), F.col("top.other")))
-    filters = stored(found.where("second is not null").select("key", "second", "third").dropDuplicates(["key"]), "join-filters")
-    pairs = passing(pairs.unionByName(across).distinct(), filters)
+    filters = stored(found.where("second is not null").select("key", "n", "second", "third").dropDuplicates(["key"]), "join-filters")
+    pairs = passing(pairs.unionByName(across).distinct(), filters, percent)
     members = rows_of.where("long").select("key")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(members).distinct()
     names = stored(classes.join(wanted, "key", "left_semi").select("name").distinct(), "join-names")
@@ -418,27 +462,41 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
         probe = long.where("comp <> main").join(pivots, "token").select(
             "key", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
         probe = probe.where(_close(F.col("n"), F.col("p.n"), percent)).select(*_pair(F.col("key"), F.col("p.key")))
-        probe = passing(probe.distinct(), filters)
+        probe = passing(probe.distinct(), filters, percent)
         new = verified(probe, sets, percent)
         links = stored(links.unionByName(new), "join-links")
         last = new.count() * WORTH < probe.count()  # further pivots would mostly miss
     # exact step; a pair that shares several lists is taken from one of the longest that both sides are in
     anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
                                                           lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
-    live = live.join(anchors, "key")
-    left = live.where("comp <> main").select("token", *[F.col(c).alias(f"{c}_l") for c in ("key", "n", "comp", "anchors")])
-    right = live.select(F.col("token").alias("token_r"), *[F.col(c).alias(f"{c}_r") for c in ("key", "n", "comp", "main", "anchors")])
+    maps = sets.select("key", "bits", "half").dropDuplicates(["key"])
+    live = live.join(anchors.join(maps, "key"), "key")
+    carried = ("key", "n", "comp", "main", "anchors", "bits", "half")
+    left = live.where("comp <> main").select("token", *[F.col(c).alias(f"{c}_l") for c in carried])
+    right = live.select(F.col("token").alias("token_r"), *[F.col(c).alias(f"{c}_r") for c in carried])
     common = F.array_intersect("anchors_l", "anchors_r")
     once = (F.col("comp_r") == F.col("main_r")) | (F.col("key_l") < F.col("key_r"))
     wanted = (F.col("comp_l") != F.col("comp_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & once & (
-        (F.size(common) == 0) | (F.array_max(common) == F.col("token")))
+        (F.size(common) == 0) | (F.array_max(common) == F.col("token"))) & _near_bits(percent)
     rest = left.join(right, (F.col("token") == F.col("token_r")) & wanted)
-    rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters)
+    rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters, percent)
     if rest.isEmpty():
         return comps
     return connected_components(links.unionByName(verified(rest, sets, percent)))
 
 
+def _near_bits(percent: int) -> Column:
+    """Whether the bitmaps of sides ``l`` and ``r`` differ in no more bits than similar sets differ in tokens."""
+    def apart(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+    n = F.col("n_l") + F.col("n_r")
+    left, right = F.size("bits_l"), F.size("bits_r")
+    differ = F.when(left == right, apart("bits_l", "bits_r")).when(left > right, apart("half_l", "bits_r")).otherwise(
+        apart("bits_l", "half_r"))
+    return differ <= n - 2 * F.ceil(n * percent / F.lit(100 + percent))
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the one whose id names it; rows with a null id stay.
 
