@@ -55,9 +55,9 @@ from journey.llm.wordhash import gram_hashes, mix, word_hashes
 SHINGLE = 4
 PERCENT = 85
 #: tokens counted this often within CHUNK shingles of a task are candidates for the frequent end of the order
-LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 5_000_000, 200_000
+LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 5_000_000, 100_000
 #: words counted this often within CHUNK words of a task are candidates for the frequent words
-WORD_MIN, MAX_WORDS = 2, 500_000
+WORD_MIN, MAX_WORDS = 2, 200_000
 #: a frequent token's list is dealt to so many tasks in the first comparison
 SALTS = 16
 #: lists of so many classes are compared in full at once
@@ -420,10 +420,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def _first_order(found: DataFrame) -> FirstOrder:
-    """Ordering tables from the counts of all tasks, both cut to a fixed size."""
+    """Ordering tables from the counts of all tasks, both cut to a fixed size.
+
+    The cut is a count, found from a histogram of counts in eighths of a
+    power of two, so only what is kept reaches the driver.
+    """
     def most(column, limit):
         often = found.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n").alias("n"))
-        got = often.orderBy(F.col("n").desc(), column).limit(limit).toPandas()
+        often = stored(often.withColumn("step", F.floor(8 * F.log2("n"))), f"join-{column}s")
+        least, total = 1 << 30, 0
+        for r in sorted(often.groupBy("step").count().collect(), reverse=True):
+            total += r["count"]
+            if total > limit:
+                break
+            least = r["step"]
+        got = often.where(F.col("step") >= least).select(column, "n").toPandas()
+        got = got.sort_values(["n", column], ascending=[False, True])
         values, counts = got[column].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
         order = np.argsort(values)
         return values[order], counts[order], order
