@@ -35,6 +35,8 @@ def shape(df) -> dict:
         "joins": len(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)", pp)),
         "scalar subqueries": len(re.findall(r"\bSubquery subquery", pp)),
         "partial aggs": len(re.findall(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", pp)),
+        "sort aggs": len(re.findall(r"SortAggregate\(", pp)),
+        "windows": len(re.findall(r"\bWindow \[", pp)),
         "pushed event filter": events_filters[0][:60] if events_filters else "",
     }
 
@@ -54,11 +56,13 @@ def main():
         "# Physical plan shapes of the registered queries",
         "",
         f"Generated by `tools/plan_report.py` from `explain()` at `{Path(a.sf).name}` (initial plans, before AQE).",
-        "Event scans count passes over the event log (scalar subqueries such as the average order value scan the",
-        "purchase events again; AQE reuses identical shuffle stages at run time). Events are shuffled only after a",
-        "partial (map-side) aggregate; joins shuffle rows already reduced to one per session or user, or the sessions",
-        "dimension itself, which is read from its written Parquet table (see README) and adds no event scan. No query",
-        "plans a window, a cartesian product or a nested-loop join (tests/test_plans.py).",
+        "Event scans count passes over the event log: queries that read sessions derive them from the log with one",
+        "scan of their own, and scalar subqueries such as the average order value scan the purchase events again (AQE",
+        "reuses identical shuffle stages at run time). Events are shuffled only after a partial (map-side) aggregate;",
+        "joins shuffle rows already reduced to one per session or user. The one window is a user's first session date.",
+        "Sort aggregates have a string or struct buffer; over raw events there are none (tests/test_plans.py), they run",
+        "on rows already reduced per session, user or customer. No query plans a cartesian product or a nested-loop",
+        "join.",
         "",
         "| query | " + " | ".join(cols) + " |",
         "|---|" + "---|" * len(cols),
