@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -50,6 +51,14 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that an idle Python worker does not hold what its last task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` where ``fn(columns: dict[str, list]) -> dict[str, list]`` sees one bounded slice of a batch.
 
@@ -63,6 +72,7 @@ def map_rows(df: DataFrame, fn, schema: str) -> DataFrame:
             for piece in slices(batch):
                 got = fn({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in out], schema=out)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

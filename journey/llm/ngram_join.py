@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from journey.llm.common import free_name, join_checked, q, slices, stored
+from journey.llm.common import free_name, give_back, join_checked, q, slices, stored
 from journey.llm.components import connected_components
 from journey.llm.wordhash import gram_hashes, mix, word_hashes
 
@@ -55,7 +55,7 @@ from journey.llm.wordhash import gram_hashes, mix, word_hashes
 SHINGLE = 4
 PERCENT = 85
 #: tokens counted this often within CHUNK shingles of a task are candidates for the frequent end of the order
-LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 5_000_000, 100_000
+LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 2_500_000, 100_000
 #: words counted this often within CHUNK words of a task are candidates for the frequent words
 WORD_MIN, MAX_WORDS = 2, 200_000
 #: a frequent token's list is dealt to so many tasks in the first comparison
@@ -165,6 +165,7 @@ def _map_texts(df: DataFrame, start, ddl: str) -> DataFrame:
             for piece in slices(batch):
                 yield batch_of(step({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names)}))
         yield batch_of(step(None))
+        give_back()
 
     return df.mapInArrow(run, ddl)
 
@@ -302,6 +303,7 @@ def lists(posts: DataFrame, percent: int) -> DataFrame:
         close()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+        give_back()
 
     return stored(rows.mapInArrow(run, LISTS), "join-lists")
 
