@@ -84,13 +84,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shape(value: str) -> str:
-    """Coarse shape: runs of digits to 9, runs of letters to a, other characters as they are."""
-    out = []
-    for c in value:
-        k = "9" if c.isdigit() else "a" if c.isalpha() else c
-        if not out or out[-1] != k:
-            out.append(k)
-    return "".join(out)
+    """Coarse shape: the kinds of characters in it, 9 for digits, a for letters, others as they are, sorted."""
+    return "".join(sorted({"9" if c.isdigit() else "a" if c.isalpha() else c for c in value}))
 
 
 def _neighbours(text: str, start: int, end: int) -> tuple[str, str]:

@@ -123,7 +123,10 @@ def test_toxicity_on_held_out_rows(spark):
     toxic = got["toxic"].to_numpy(bool)
     s = got["score"].to_numpy()
     assert ((s >= 0) & (s <= 1)).all()
-    assert (s[toxic][:, None] > s[~toxic][None, :]).mean() > 0.7
+    pairs = np.sign(s[toxic][:, None] - s[~toxic][None, :])
+    assert (pairs.mean() + 1) / 2 > 0.75  # AUC; few of the small table's toxic words are in its training fold
+    found = got["predicted"].to_numpy(bool)
+    assert (found & toxic).sum() > 0.8 * found.sum()
     folds = {r["doc_id"]: r["held_out"] for r in toxicity.score(docs, labels).collect()}
     assert all(h == (zlib.crc32(str(i).encode()) % 4 == 2) for i, h in folds.items())
 
