@@ -32,6 +32,8 @@ FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
 MAX_LEARN = 20_000
 TREES, DEPTH, BINS, RATE, LEAF, LAMBDA = 60, 4, 64, 0.15, 20, 1.0
+#: bytes handed to the deflater at once
+PIECE = 1 << 16
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SYMBOLS = b"#*$%&|<>"
 # ------------------------------------------------------------------------------------------
@@ -41,6 +43,13 @@ STATS = ("n_bytes", "n_words", "mean_word", "long_words", "distinct_words", "top
          "capital_words", "end_marks", "stops", "compression", "same_next")
 
 
+def deflated(raw: bytes) -> int:
+    """Bytes of the whole of ``raw`` when deflated, fed piece by piece so that no output is held."""
+    packer = zlib.compressobj(1)
+    view = memoryview(raw)
+    return sum(len(packer.compress(view[i:i + PIECE])) for i in range(0, len(raw), PIECE)) + len(packer.flush())
+
+
 def statistics(text: str | None) -> list[float]:
     """The statistics of one text, in ``STATS`` order; shares are of words, lines or bytes."""
     raw = (text or "").encode()
@@ -52,9 +61,6 @@ def statistics(text: str | None) -> list[float]:
     kept = lambda chars: (len(raw) - len(raw.translate(None, chars))) / size
     per = 1 / max(1, n)
     longest = sum(1 for w in words if len(w) > 15)
-    # the share that a bounded, evenly spaced choice of chunks keeps when deflated
-    step = max(1, len(raw) // 16)
-    chunk = raw if len(raw) <= 16_384 else b"".join(raw[i:i + 1024] for i in range(0, len(raw), step))
     return [
         np.log1p(len(raw)), np.log1p(n), sum(map(len, words)) * per, longest * per, len(count) * per,
         max(count.values(), default=0) * per, sum(c for c in pairs.values() if c > 1) / max(1, n - 1),
@@ -62,7 +68,7 @@ def statistics(text: str | None) -> list[float]:
         kept(b"!"), kept(bytes(range(128, 256))), len(lines) * per, n / max(1, len(lines)),
         len(set(lines)) / max(1, len(lines)), sum(1 for x in lines if len(x) < 20) / max(1, len(lines)),
         sum(1 for w in words if w[:1].isupper()) * per, raw.count(b".") * per, raw.count(b",") * per,
-        len(zlib.compress(chunk, 1)) / max(1, len(chunk)),
+        deflated(raw) / size,
         sum(1 for a, b in zip(words, words[1:], strict=False) if a == b) * per,
     ]
 

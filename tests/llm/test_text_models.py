@@ -163,6 +163,19 @@ def test_quality_edges(spark):
     assert quality_model.score(documents(spark, []).limit(0), labels.limit(0)).count() == 0
 
 
+def test_compression_is_of_the_whole_text():
+    at = quality_model.STATS.index("compression")
+    for n in (0, 1, 16_384, 16_385, 3 * quality_model.PIECE + 1):
+        raw = np.random.default_rng(n).bytes(n).hex()[:n].encode()
+        assert quality_model.deflated(raw) == len(zlib.compress(raw, 1))
+    # junk between the beginnings of the sixteenths of a text
+    junk = "".join("a" * 1024 + np.random.default_rng(i).bytes(4096).hex() for i in range(16))
+    assert len(junk) > 16_384 and quality_model.statistics(junk)[at] > 0.4
+    line = np.random.default_rng(5).bytes(250).hex()
+    below, over = (quality_model.statistics((line * 40)[:n])[at] for n in (16_384, 16_400))
+    assert abs(below - over) < 0.001
+
+
 def test_trees_walk_like_a_plain_descent():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(900, 4))
