@@ -48,6 +48,31 @@ def test_pii_context_adds_unseen_identifiers_and_keeps_the_base(spark):
     assert got[101] == ""
 
 
+def test_pii_context_reaches_other_notations_with_production_parameters(spark):
+    card = [c for c in (f"4539 1488 0343 {i:04}" for i in range(6000, 7000)) if pii.luhn(c.replace(" ", ""))][:30]
+    seeds = [(i, f"please ring phone +1 ({700 + i}) 555-38{i:02} today") for i in range(30)]
+    seeds += [(100 + i, f"paid by card {c} then") for i, c in enumerate(card)]
+    seeds += [(200 + i, f"write to mailbox u{i}@ex{i}.org soon") for i in range(30)]
+    seeds += [(300 + i, f"host 10.0.{i}.7 answered") for i in range(30)]
+    odd = [(400, "phone", "(743) 555-3824", "phone"), (401, "phone", "06 12 34 56 78", "phone"),
+           (402, "card", "4539 1488 0343 6468", "card"), (403, "card", "4539-1488-0343-6468", "card"),
+           (404, "mailbox", "jane.doe@localhost", "email"), (405, "mailbox", "alice[at]example.org", "email"),
+           (406, "host", "10.0.300.7", "ip"), (407, "phone", "06-12-34-56-79", "phone")]
+    texts = seeds + [(i, f"one {word} {value}, she said") for i, word, value, _ in odd]
+    texts += [(500, "in volume 06 12 34 56 78, AB-1234 and x@y"), (501, "phone number AB-1234 is")]
+    got = {r["doc_id"]: r["spans"] for r in pii.extract(documents(spark, texts)).collect()}
+    for i, word, value, kind in odd:
+        assert got[i] == f"{kind}_context:{5 + len(word)}:{5 + len(word) + len(value)}"
+    assert got[0] == "phone:18:35" and got[500] == got[501] == ""
+
+
+def test_pii_one_context_of_two_kinds_speaks_for_neither(spark):
+    texts = [(i, f"see +1 ({700 + i}) 555-38{i:02} or") for i in range(20)]
+    texts += [(100 + i, f"see 10.0.{i}.7 or") for i in range(20)] + [(200, "see 06 12 34 56 78 or")]
+    got = {r["doc_id"]: r["spans"] for r in pii.extract(documents(spark, texts)).collect()}
+    assert got[200] == ""
+
+
 def test_secrets_base_and_ledger(spark):
     ledger, cols = shared_dir(spark, "t"), ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"]
     docs = documents(spark, texts())
