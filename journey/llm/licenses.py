@@ -3,9 +3,9 @@
 The templates' word k-grams are hashed, the smallest hash of each window of
 consecutive k-grams is kept (winnowing), and an inverted index maps each kept
 hash to templates and positions.  A text's hashes are looked up in the index;
-hits of one template on nearby diagonals form a candidate region, in which a
-banded alignment of template against text counts matched words and finds the
-span.  The index is built from the given templates only and is broadcast;
+hits of one template on nearby diagonals form a candidate region, in which
+banded alignments of template against text count matched words and find the
+span of each occurrence.  The index is built from the given templates only and is broadcast;
 ``MAX_TEMPLATE_WORDS`` bounds it, larger template sets are refused.
 
 Because both sides keep the minimum of every window, a run of ``GRAM + KEEP - 1``
@@ -19,6 +19,7 @@ Defined cases
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 
@@ -171,25 +172,50 @@ def align(template: np.ndarray, words: np.ndarray, first: int, last: int, band:
     return best[1], best[2], best[3]
 
 
+def windows(n_template: int, n_words: int, first: int, last: int):
+    """(start, end, first diagonal, last diagonal) of the text windows of a region.
+
+    Matches less half the extras are above 0, so an alignment spans less than
+    three templates and lies in one of the overlapping windows as a whole.
+    """
+    start, end, reach = max(0, first - BAND), min(n_words, last + BAND + n_template), 3 * n_template
+    for a in range(start, max(start, end - 2 * reach) + reach, reach):
+        yield a, min(end, a + 2 * reach), first - BAND, last + BAND
+
+
 def matches_of(text: str, index: TemplateIndex, min_coverage: float = MIN_COVERAGE) -> list[tuple[str, float, int, int]]:
-    """(template, coverage, start, end) in code points, by start; matches do not overlap."""
+    """(template, coverage, start, end) in code points, by start; matches do not overlap.
+
+    Whatever a chosen match leaves free of a window is aligned again, until nothing
+    there reaches the coverage, so repeated notices are found one by one.
+    """
     words = hashes_of(text)
-    found = []
-    for t, first, last in index.regions(words):
+    found: list[tuple] = []
+
+    def look(t, a, b, low, high):
         template = index.words[t]
-        n, s, e = align(template, words, first, last)
-        coverage = n / len(template)
-        if coverage >= min_coverage:
-            found.append((n, s, e, index.names[t], coverage))
+        if b - a < min_coverage * len(template):
+            return
+        low, high = max(low, a - len(template) + 1), min(high, b - 1)
+        n, s, e = align(template, words[a:b], low - a, high - a, 0) if low <= high else (0, 0, 0)
+        if n and n >= min_coverage * len(template):
+            heapq.heappush(found, (-n, a + s, index.names[t], a + e, t, (a, b, low, high)))
+
+    for t, first, last in index.regions(words):
+        for window in windows(len(index.words[t]), len(words), first, last):
+            look(t, *window)
     if not found:
         return []
-    found.sort(key=lambda x: (-x[0], x[1], x[3]))
     chosen: list[tuple] = []
     taken = np.zeros(len(words), bool)
-    for n, s, e, name, coverage in found:
+    while found:
+        n, s, name, e, t, (a, b, low, high) = heapq.heappop(found)
         if not taken[s:e].any():
             taken[s:e] = True
-            chosen.append((s, e, name, coverage))
+            chosen.append((s, e, name, -n / len(index.words[t])))
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], taken[a:b], [True]]))) + a
+        for free in edges.reshape(-1, 2).tolist():
+            look(t, *free, low, high)
     places = [m.span() for m in _WORD.finditer(text)]
     return [(name, coverage, places[s][0], places[e - 1][1]) for s, e, name, coverage in sorted(chosen)]
 

@@ -134,6 +134,27 @@ def test_licenses_spans_and_coverage(spark):
     assert [got[i]["n_matches"] for i in (93, 94, 95)] == [0, 0, 0]
 
 
+@pytest.mark.parametrize("copies", [2, 3, 40])
+def test_licenses_repeated_without_a_gap(copies):
+    index = licenses.TemplateIndex(licenses.TEMPLATES)
+
+    def spans(text):
+        return [(name, text[s:e]) for name, _, s, e in licenses.matches_of(text, index)]
+
+    stack = " ".join(f"(c) {2000 + i} name{i}. All rights reserved." for i in range(copies))
+    assert spans(stack) == [("all-rights-reserved", "All rights reserved")] * copies
+    mit = licenses.TEMPLATES["mit-notice"]
+    assert spans("\n".join([mit] * copies)) == [("mit-notice", mit[:-1])] * copies
+    long = licenses.TEMPLATES["mpl-2.0-header"]
+    edited = long.replace("terms of", "terms out of")
+    assert spans(f"{long} {edited} " * copies) == [("mpl-2.0-header", x.rstrip("/.")) for x in (long, edited)] * copies
+    # the first occurrence belongs to a longer template
+    head = licenses.TEMPLATES["apache-2.0-header"]
+    note = licenses.TEMPLATES["apache-2.0-notice"]
+    assert spans(f"{note} {head} {note}") == [
+        ("apache-2.0-notice", note[:-1]), ("apache-2.0-header", head[:-1]), ("apache-2.0-notice", note[:-1])]
+
+
 def test_empty_tables(spark):
     none = documents(spark, []).limit(0)
     assert pii.extract(none).count() == 0
