@@ -15,7 +15,9 @@ Defined cases
     row gets its blob's findings.  Empty tables: empty ledger batch and result.
     A rerun with the same rule version scans nothing; a new rule version scans
     every blob again.  A run that died before its batch was complete leaves
-    no committed batch and is repeated in full.
+    no committed batch and is repeated in full.  Secrets have no upper length.
+    A private key is all from its BEGIN marker to its END marker (header lines,
+    escaped line ends and prefixes too); a BEGIN without an END is no finding.
 """
 
 from __future__ import annotations
@@ -34,19 +36,33 @@ from journey.llm.common import free_name, map_rows, q, stored
 # --- fixed values: the contract's base kinds in order, then this scanner's own kinds
 KINDS = ("assign", "access", "hex", "private_key", "jwt", "provider_token")
 BASE = 3
-RULE_VERSION = "1"
+RULE_VERSION = "1.1"
 _ASSIGN = re.compile(
     r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,20000}-----END [A-Z ]{0,40}PRIVATE KEY-----")
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,255}|xox[abprs]-[A-Za-z0-9-]{10,255})")
+_BEGIN = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+_END = re.compile(r"-----END [A-Z ]*PRIVATE KEY-----")
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+)")
 # ---------------------------------------------------------------------------------------
 
 LEDGER = "blob string, rule_version string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
 
+def _key_blocks(text: str):
+    """(start, end) of the private keys: each END marker with the last BEGIN marker since the END before it."""
+    begins, last = _BEGIN.finditer(text), 0
+    begin = next(begins, None)
+    for end in _END.finditer(text):
+        own = None
+        while begin and begin.end() <= end.start():
+            own, begin = begin if begin.start() >= last else own, next(begins, None)
+        if own:
+            yield own.start(), end.end()
+        last = end.end()
+
+
 def find_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of all kinds, sorted; code points, end exclusive.
 
@@ -60,7 +76,7 @@ def find_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     if "PRIVATE KEY-----" in text:
-        out += [(m.start(), 3, m.end()) for m in _KEY.finditer(text)]
+        out += [(s, 3, e) for s, e in _key_blocks(text)]
     if "eyJ" in text:
         out += [(m.start(), 4, m.end()) for m in _JWT.finditer(text)]
     if "gh" in low or "xox" in low:

@@ -90,6 +90,28 @@ def test_secrets_base_and_ledger(spark):
     assert secret_scan.read_ledger(spark, ledger).count() == 2 * blobs + 1
 
 
+LONG = [
+    f"eyJ{'h' * 5000}.{'p' * 90_000}.{'s' * 6000}", f"ghp_{'a1' * 400}", f"xoxb-{'1-a' * 300}",
+    f"-----BEGIN RSA PRIVATE KEY-----\n{('A' * 64 + chr(10)) * 900}-----END RSA PRIVATE KEY-----",
+    "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nQUJD\n-----END RSA PRIVATE KEY-----",
+    r"-----BEGIN PRIVATE KEY-----\nQUJD\n-----END PRIVATE KEY-----",
+]
+
+
+@pytest.mark.parametrize("secret", LONG, ids=range(len(LONG)))
+def test_secrets_have_no_upper_length(secret):
+    text = f"before {secret} after"
+    spans = secret_scan.label(x for x in secret_scan.find_spans(text) if x[1] >= secret_scan.BASE)
+    assert secret_scan.redact(text, spans) == "before [SECRET] after"
+
+
+def test_private_keys_pair_markers():
+    begin, end = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    found = lambda text: [text[s:e] for s, k, e in secret_scan.find_spans(text) if k == 3]
+    assert found(f"{end} {begin} a {begin} b {end} c {end} {begin}{end} {begin} d") == [f"{begin} b {end}", begin + end]
+    assert len(found((begin + "x" + end) * 3000)) == 3000 and found(begin * 20_000) == found(end * 20_000) == []
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     docs = documents(spark, [(1, "a token=abcdefgh b"), (2, "clean"), (3, None), (3, "AKIA" + "Z" * 16)])
     out = secret_scan.redact_documents(docs, shared_dir(spark, "t"))
