@@ -6,10 +6,13 @@ starts with the shorter one, the rest is the new turn's piece.  Where it does
 not, the template rewrites history and the turn is marked.  Rendering a turn
 once more with a marker for its text locates the text inside the piece.
 
-Conversations are cut into blocks of ``BLOCK`` turns, each with the last
-``CONTEXT`` turns before it as history, so a conversation of any length is
-rendered by many tasks in bounded memory.  The template may therefore look
-back over ``CONTEXT`` turns and at whether a turn has history at all.
+A template may look at anything in the messages, so a conversation's turns
+stream in order through one task with the whole history; that takes a
+conversation's memory, and two renders of the history for each turn.  Only where
+the caller declares how many turns a template looks back over (``looks_back``) are
+conversations cut into blocks of at least ``BLOCK`` turns, each with so many turns
+and one more before it as history (the shorter prefix looks back too), and one of
+any length is rendered by many tasks in bounded memory.
 
 Defined cases
     null text or role: empty.  Turns are ordered by ``turn`` (null first), ties
@@ -33,7 +36,9 @@ from journey.llm.common import q, slices
 # --- fixed values: the chat template's control strings, and the operator's parameters
 START, END = "<|im_start|>", "<|im_end|>\n"
 TRAINED_ROLE = "assistant"
-BLOCK, CONTEXT = 16, 2
+BLOCK = 16
+#: ``chatml`` renders every turn by itself
+CHATML_LOOKS_BACK = 0
 MARK = "text"
 # ----------------------------------------------------------------------------------------
 
@@ -69,37 +74,57 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return [(unescape_role(r), unescape(t)) for r, t in _TURN.findall(formatted)]
 
 
-def render_block(render, context: list[dict], turns: list[dict]) -> list[dict]:
-    """For each turn: its piece, where its text lies in the piece, whether the render rewrote history."""
-    history, before = list(context), render(list(context))
-    out = []
-    for t in turns:
-        after = render([*history, t])
+class Renderer:
+    """Renders one conversation turn by turn; ``history`` are the turns so far."""
+
+    def __init__(self, render):
+        self.render = render
+        self.history: list[dict] = []
+        self.before: str | None = None
+
+    def skip(self, t: dict) -> None:
+        """Take ``t`` as history without a piece of its own."""
+        self.history.append(t)
+        self.before = None
+
+    def add(self, t: dict) -> dict:
+        """The turn's piece, where its text lies in the piece, whether the render rewrote history."""
+        before = self.render(list(self.history)) if self.before is None else self.before
+        after = self.render([*self.history, t])
         kept = len(before)
         rewrites = not after.startswith(before)
         if rewrites:
             limit = min(len(before), len(after))
             kept = next((i for i in range(limit) if before[i] != after[i]), limit)
-        probe = render([*history, {**t, "text": MARK}])
+        probe = self.render([*self.history, {**t, "text": MARK}])
         at = probe.rfind(MARK)
         start, tail = at, len(probe) - at - len(MARK)
         if at < kept:  # the text does not reach the output, or stands in rewritten history
             start, tail = len(after), 0
-        out.append({"piece": after[kept:], "text_start": start - kept, "text_end": max(start, len(after) - tail) - kept,
-                    "rewrites": rewrites})
-        history.append(t)
-        before = after
-    return out
+        self.history.append(t)
+        self.before = after
+        return {"piece": after[kept:], "text_start": start - kept, "text_end": max(start, len(after) - tail) - kept,
+                "rewrites": rewrites}
+
+
+def render_block(render, context: list[dict], turns: list[dict]) -> list[dict]:
+    """For each turn after ``context``: its piece, where its text lies in the piece, whether the render rewrote history."""
+    one = Renderer(render)
+    for t in context:
+        one.skip(t)
+    return [one.add(t) for t in turns]
 
 
 PIECES = ("pos long, role string, piece string, text_start long, text_end long, trained boolean, rewrites boolean")
 
 
 def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-                 render=chatml, trained_role: str = TRAINED_ROLE, block: int = BLOCK,
-                 context: int = CONTEXT) -> DataFrame:
+                 render=chatml, trained_role: str = TRAINED_ROLE, looks_back: int | None = None) -> DataFrame:
     """One row per turn: ``conv``, position, formatted piece, the text's span in it, loss mask, rewrite mark.
 
+    ``looks_back``: over how many turns before the last ``render`` looks back or rewrites, beyond whether there are any;
+    unknown by default, then every turn is rendered with its whole history.
+
     A conversation's formatted text is its pieces in order; the loss mask
     covers [text_start, text_end) of the pieces with ``trained``.
     """
@@ -108,36 +133,36 @@ def format_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
                         F.coalesce(q(role).cast("string"), F.lit("")).alias("role"),
                         F.coalesce(q(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("pos", (F.row_number().over(order) - 1).cast("long")).drop("turn")
-    own = F.struct(F.floor(F.col("pos") / block).cast("long").alias("block"), F.lit(False).alias("context"))
-    next_ = F.struct((F.floor(F.col("pos") / block) + 1).cast("long").alias("block"), F.lit(True).alias("context"))
-    both = F.when(F.pmod("pos", F.lit(block)) >= block - context, F.array(own, next_)).otherwise(F.array(own))
-    rows = rows.select("conv", "pos", "role", "text", F.explode(both).alias("b")).select("conv", "pos", "role", "text", "b.*")
+    if looks_back is None:
+        rows = rows.select("conv", "pos", "role", "text", F.lit(0).cast("long").alias("block"), F.lit(False).alias("context"))
+    else:
+        context = looks_back + 1
+        block = max(BLOCK, context)
+        own = F.struct(F.floor(F.col("pos") / block).cast("long").alias("block"), F.lit(False).alias("context"))
+        next_ = F.struct((F.floor(F.col("pos") / block) + 1).cast("long").alias("block"), F.lit(True).alias("context"))
+        both = F.when(F.pmod("pos", F.lit(block)) >= block - context, F.array(own, next_)).otherwise(F.array(own))
+        rows = rows.select("conv", "pos", "role", "text", F.explode(both).alias("b"))
+        rows = rows.select("conv", "pos", "role", "text", "b.*")
     rows = rows.repartition("conv", "block").sortWithinPartitions("conv", "block", "pos")
     ddl = f"conv {rows.schema['conv'].dataType.simpleString()}, {PIECES}"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
-    def emit(key, group):
-        past = [g for g in group if g["context"]]
-        own = [g for g in group if not g["context"]]
-        found = render_block(render, [{"role": g["role"], "text": g["text"]} for g in past],
-                             [{"role": g["role"], "text": g["text"]} for g in own])
-        return [{"conv": key[0], "pos": g["pos"], "role": g["role"], "trained": g["role"] == trained_role, **f}
-                for g, f in zip(own, found, strict=True)]
-
     def run(batches):
-        key, group, out = None, [], []
+        key, one = None, None
         for batch in batches:
-            for piece in slices(batch):
-                for g in piece.to_pylist():
-                    if key != (g["conv"], g["block"]):
-                        out += emit(key, group) if group else []
-                        key, group = (g["conv"], g["block"]), []
-                    group.append(g)
+            for part in slices(batch):
+                out = []
+                for g in part.to_pylist():
+                    if one is None or key != (g["conv"], g["block"]):
+                        key, one = (g["conv"], g["block"]), Renderer(render)
+                    t = {"role": g["role"], "text": g["text"]}
+                    if g["context"]:
+                        one.skip(t)
+                    else:
+                        out.append({"conv": g["conv"], "pos": g["pos"], "role": g["role"],
+                                    "trained": g["role"] == trained_role, **one.add(t)})
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema)
-                    out = []
-        if group:
-            yield pa.RecordBatch.from_pylist(emit(key, group), schema)
 
     return rows.mapInArrow(run, ddl)
 

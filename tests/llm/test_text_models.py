@@ -60,6 +60,39 @@ def test_chat_finds_rewritten_history_and_spans():
     assert plain[0]["piece"] == "<|im_start|>assistant\nthink|b<|im_end|>\n"
 
 
+def rewriting(messages):
+    """Numbers turns, repeats the first text, has a default system message, drops the tenth text before the last."""
+    head = "" if messages and messages[0]["role"] == "system" else "[system]default;"
+    out = [f"[{i}/{messages[0]['text']}/{m['role']}]{m['text'] if i != len(messages) - 10 else '-'};" for i, m in enumerate(messages)]
+    return head + "".join(out)
+
+
+def test_chat_templates_see_the_whole_history(spark):
+    rows = [(c, i, ("user", "assistant")[i % 2], f"turn {c} {i} words") for c in (1, 2) for i in range(41)]
+    turns = spark.createDataFrame(rows, TURN_DDL)
+    cols = ("piece", "text_start", "text_end", "rewrites")
+    for c in (1, 2):
+        got = chat.format_turns(turns, render=rewriting).where(f"conv = {c}").orderBy("pos").collect()
+        messages = [{"role": r, "text": t} for k, _, r, t in rows if k == c]
+        assert [{k: r[k] for k in cols} for r in got] == chat.render_block(rewriting, [], messages)
+        assert [r["rewrites"] for r in got] == [i >= 9 for i in range(41)]
+        assert got[40]["piece"].endswith(rewriting(messages)[-40:])
+    whole, blocks = (sorted(map(tuple, chat.format_turns(turns, looks_back=n).collect())) for n in (None, 0))
+    assert whole == blocks
+
+
+@pytest.mark.parametrize("back", [1, 3, 20])
+def test_chat_blocks_hold_the_declared_history(spark, back):
+    def window(messages):
+        return "".join(f"{'-' if i < len(messages) - back else m['text']};" for i, m in enumerate(messages[-back - 1:], max(
+            0, len(messages) - back - 1)))
+
+    rows = [(1, i, "user", f"{i} text") for i in range(60)]
+    turns = spark.createDataFrame(rows, TURN_DDL)
+    want, got = (sorted(map(tuple, chat.format_turns(turns, render=window, looks_back=n).collect())) for n in (None, back))
+    assert got == want
+
+
 def test_packing_round_trip(spark):
     texts = EDGE + [(50 + i, " ".join(prose(i, 37 * i % 900))) for i in range(120)] + [(300, "<|endoftext|> Σ'S I'm ²³")]
     tok = Tokenizer.from_file(TOKENIZER)
