@@ -12,7 +12,7 @@ sets always do; they are counted on 16-bit fingerprints, with what a set loses
 to equal fingerprints allowed for, so no pair is lost.  Only the classes of
 pairs that pass all three get their texts read again and compared.
 
-Only the components are asked for, so a long list of classes that share a
+Where only the components are asked for, a long list of classes that share a
 token is not expanded into all pairs.  Lists of at most ``SMALL`` classes are.  In
 longer ones all members are first compared with one typical member (``pivot``);
 then, in lists that still hold several components, the members outside the
@@ -24,6 +24,10 @@ are not links.  That last step is exact: every pair that passes the prefix
 filter was compared, is too far apart by its bitmaps, or lies within one
 component already.
 
+Where links are counted (``links``), every pair of a long list that the filters
+and the bitmaps let pass is compared, also within one component; the links of two
+classes count for all their rows.
+
 What is broadcast: the ``MAX_HEAVY`` most frequent tokens and ``MAX_WORDS`` most
 frequent words, which only order the tokens (any order gives the same links),
 and ids and keys behind a check of their size.
@@ -67,6 +71,8 @@ BIG, PIVOTS, ROUNDS = 16, 4, 3
 #: another round is worth its cost if one in so many compared pairs was a link
 WORTH = 10
 ANCHORS = 8
+#: so many members of a list are compared with the whole list by one task where links are counted
+PART = 512
 #: bits of a parity bitmap: eight for a token, at most this many
 MAX_BITS = 1 << 14
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
@@ -388,8 +394,11 @@ def _sets(df: DataFrame, names: DataFrame, size: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+                    percent: int = PERCENT, links: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+
+    With ``links`` also ``n_links``: how many other rows are similar enough to the row.
+    """
     spark = docs.sparkSession
     df = docs.select(q(doc_id).alias("id"), q(text).cast("string").cast("binary").alias("text_"))
     found = scan(df, size, percent)
@@ -412,17 +421,37 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = stored(classes.join(wanted, "key", "left_semi").select("name").distinct(), "join-names")
     if names.isEmpty():
         comps = spark.createDataFrame([], "node long, comp long")
+        linked = spark.createDataFrame([], "a long, b long")
     else:
         sets = _sets(df, names, size)
-        comps = _merge(rows_of.where("long").select("token", "key", "n").distinct(), verified(pairs, sets, percent),
-                       filters, sets, percent)
+        long_lists = rows_of.where("long").select("token", "key", "n").distinct()
+        linked = verified(pairs, sets, percent)
+        comps = _merge(long_lists, linked, filters, sets, percent)
+        if links:
+            linked = linked.unionByName(_within(long_lists, filters, sets, percent)).distinct()
     named = classes.join(comps.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "low", F.coalesce("comp", "key").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low").alias("component_id"))
     of_class = named.join(least, "comp").select("key", "component_id")
-    full = rows.where("key is not null").join(of_class, "key").select("id", "n", "component_id")
-    bare = rows.where("key is null").select("id", "n", F.col("id").alias("component_id"))
-    return full.unionByName(bare).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id")
+    counts = []
+    if links:
+        # links between classes, weighted by the classes' rows; equal sets are linked with each other
+        of_class = of_class.join(_links_of(rows, linked), "key")
+        counts = ["n_links"]
+    full = rows.where("key is not null").join(of_class, "key").select("id", "n", "component_id", *counts)
+    bare = rows.where("key is null").select("id", "n", F.col("id").alias("component_id"),
+                                            *[F.lit(0).cast("long").alias(c) for c in counts])
+    return full.unionByName(bare).select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", *counts)
+
+
+def _links_of(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """(key, n_links) of every class from the pairs (a, b) of linked classes."""
+    sizes = rows.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    both = linked.select(F.col("a").alias("key"), F.col("b").alias("other")).union(linked.select("b", "a"))
+    others = both.join(sizes.select(F.col("key").alias("other"), "size"), "other").groupBy("key").agg(
+        F.sum("size").alias("others"))
+    return sizes.join(others, "key", "left").select(
+        "key", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"))
 
 
 def _first_order(found: DataFrame) -> FirstOrder:
@@ -484,18 +513,14 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
         new = verified(probe, sets, percent)
         links = stored(links.unionByName(new), "join-links")
         last = new.count() * WORTH < probe.count()  # further pivots would mostly miss
-    # exact step; a pair that shares several lists is taken from one of the longest that both sides are in
-    anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
-                                                          lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
-    maps = sets.select("key", "bits", "half").dropDuplicates(["key"])
-    live = live.join(anchors.join(maps, "key"), "key")
+    # exact step
+    live = _anchored(live, sets)
     carried = ("key", "n", "comp", "main", "anchors", "bits", "half")
     left = live.where("comp <> main").select("token", *[F.col(c).alias(f"{c}_l") for c in carried])
     right = live.select(F.col("token").alias("token_r"), *[F.col(c).alias(f"{c}_r") for c in carried])
-    common = F.array_intersect("anchors_l", "anchors_r")
     once = (F.col("comp_r") == F.col("main_r")) | (F.col("key_l") < F.col("key_r"))
     wanted = (F.col("comp_l") != F.col("comp_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & once & (
-        (F.size(common) == 0) | (F.array_max(common) == F.col("token"))) & _near_bits(percent)
+        _in_anchor()) & _near_bits(percent)
     rest = left.join(right, (F.col("token") == F.col("token_r")) & wanted)
     rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters, percent)
     if rest.isEmpty():
@@ -503,6 +528,35 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
     return connected_components(links.unionByName(verified(rest, sets, percent)))
 
 
+def _anchored(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """``live`` (token, m, key, ..) with each class's longest lists and bitmaps."""
+    anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
+                                                          lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
+    maps = sets.select("key", "bits", "half").dropDuplicates(["key"])
+    return live.join(anchors.join(maps, "key"), "key")
+
+
+def _in_anchor() -> Column:
+    """A pair that shares several lists is taken from one of the longest that both sides are in."""
+    common = F.array_intersect("anchors_l", "anchors_r")
+    return (F.size(common) == 0) | (F.array_max(common) == F.col("token"))
+
+
+def _within(long_lists: DataFrame, filters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked pairs (a, b) of all long lists, whatever component they are in; each list is dealt out by its length."""
+    count = long_lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+    live = stored(_anchored(long_lists.join(count, "token"), sets), "join-within")
+    parts = F.ceil(F.col("m") / PART).cast("int")
+    carried = ("key", "n", "anchors", "bits", "half")
+    left = live.select("token", F.pmod(F.xxhash64("key"), parts).cast("int").alias("part"),
+                       *[F.col(c).alias(f"{c}_l") for c in carried])
+    right = live.select(F.col("token").alias("token_r"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part_r"),
+                        *[F.col(c).alias(f"{c}_r") for c in carried])
+    wanted = (F.col("key_l") < F.col("key_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & _in_anchor() & _near_bits(percent)
+    near = left.join(right, (F.col("token") == F.col("token_r")) & (F.col("part") == F.col("part_r")) & wanted)
+    return verified(passing(near.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters, percent), sets, percent)
+
+
 def _near_bits(percent: int) -> Column:
     """Whether the bitmaps of sides ``l`` and ``r`` differ in no more bits than similar sets differ in tokens."""
     def apart(a, b):

@@ -50,6 +50,22 @@ def test_components_match_all_pairs(spark, big, monkeypatch):
     assert got == brute.components(docs)
 
 
+@pytest.mark.parametrize(("heavy", "part"), [(100_000, 512), (3, 512), (100_000, 7)])
+def test_links_match_all_pairs(spark, heavy, part, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MAX_HEAVY", heavy)
+    monkeypatch.setattr(ngram_join, "PART", part)
+    docs = corpus() + [(None, "A b c d e f"), *[(7000 + i, t) for i, (_, t) in enumerate(family(1, 9, 120, 6))]]
+    sets = [brute.shingles(t) for _, t in docs]
+    want = [sum(1 for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 85 * len(a | b))
+            for i, a in enumerate(sets)]
+    out = ngram_join.near_duplicates(documents(spark, docs), links=True)
+    assert out.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    got = sorted(((r["doc_id"], r["n_links"]) for r in out.collect()), key=repr)
+    assert got == sorted(((i, n) for (i, _), n in zip(docs, want, strict=True)), key=repr)
+    assert max(want) > 20
+    assert ngram_join.near_duplicates(documents(spark, []).limit(0), links=True).count() == 0
+
+
 def test_orders_do_not_change_the_links(spark, monkeypatch):
     docs = corpus()
     monkeypatch.setattr(ngram_join, "MAX_HEAVY", 3)
