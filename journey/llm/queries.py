@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from journey.llm import chat, decontam, licenses, ngram_join, packing, pii, quality_model, quality_rules, secret_scan, toxicity
+from pyspark.sql import functions as F
+
+from journey.llm import (
+    alignment, chat, decontam, licenses, ngram_join, packing, periodic, pii, quality_model, quality_rules, secret_scan,
+    token_counts, toxicity,
+)
 from journey.llm.common import shared_dir
 from journey.llm.oracle import ORACLE_SQL
 
@@ -73,6 +80,44 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def planted_words(row: dict) -> list[bytes]:
+    """The words of a document; by contract every tenth document by the checksum of its id is made periodic."""
+    words = periodic.split_words(row)
+    n = len(words)
+    if row["doc_id"] is None or not n:
+        return words
+    h = zlib.crc32(str(row["doc_id"]).encode())
+    if h % 10:
+        return words
+    g = h // 10
+    a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.runs(docs, words=planted_words)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start AS before, -r.period AS short)))")
+    rows = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.expr("-best.before").alias("start"),
+        F.col("best.length").alias("length"), F.expr("-best.short").alias("period"),
+        F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        F.sha2(rows, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_align_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path
+    return alignment.align(docs, path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii_bootstrap, op2_ngram_jaccard, op3_chat_format, op4_pack_spf, op5_toxicity_nnpu, op6_host_rules, op7_wu_manber,
-    op8_blob_ledger, op9_quality_trees, op10_license_scan)}
+    op8_blob_ledger, op9_quality_trees, op10_license_scan, op11_periodic_runs, op12_align_cuts, op13_token_counts)}
