@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from journey.functions.sqltext import ident, lit
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -188,7 +190,7 @@ def props_of(df, col: str, schema: T.StructType = PROPS_SCHEMA) -> Column:
 
     A typed struct ``df[col]`` is used as it is: no parsing, and Parquet reads
     only the nested fields a query touches.  JSON text is parsed
-    (schema-on-read).  Without a column ``col`` the properties are plain
+    (schema-on-read); of a VARIANT the wanted keys are taken.  Without a column ``col`` the properties are plain
     columns of ``df``; a property that is no column is NULL.  The choice is
     made from the DataFrame's schema.
     """
@@ -198,9 +200,35 @@ def props_of(df, col: str, schema: T.StructType = PROPS_SCHEMA) -> Column:
         if not any(f.name in df.columns for f in schema.fields):
             raise ValueError(f"neither {col} nor any of {schema.names} in {df.columns}")
         return F.struct(*[c.alias(f.name) for c, f in zip(plain, schema.fields)])
+    if dtype == "variant":
+        return variant_props(col, schema)
     return F.col(col) if dtype.startswith("struct") else parse_props(col, schema)
 
 
+def parse_variant(col) -> Column:
+    """JSON text → VARIANT, parsed once when the events are stored; malformed text gives NULL."""
+    return F.try_parse_json(_c(col))
+
+
+def variant_props(col: str, schema: T.StructType = PROPS_SCHEMA) -> Column:
+    """The keys of ``schema`` out of the VARIANT column ``col``, as a struct; other keys are left alone.
+
+    As with JSON text, a number is only taken from a JSON number (an integer
+    from one without a fraction) and anything else in its place is NULL; a text key
+    takes numbers and booleans in their JSON form.  What is no object has no keys.
+    """
+    fields = []
+    for f in schema.fields:
+        path, kind = lit("$." + f.name), f.dataType.simpleString()
+        value = f"try_variant_get({ident(col)}, {path}, {lit(kind)})"
+        if kind != "string":
+            of = f"schema_of_variant(try_variant_get({ident(col)}, {path}, 'variant'))"
+            number = "'BIGINT'" if kind in ("bigint", "int") else "'^(BIGINT|DECIMAL|DOUBLE|FLOAT)'"
+            value = f"CASE WHEN {of} RLIKE {number} THEN {value} END"
+        fields.append(f"{value} AS {ident(f.name)}")
+    return F.expr(f"struct({', '.join(fields)})")
+
+
 def prop_of(df, col: str, key: str, default=None) -> Column:
     """One property of ``df`` (see ``props_of``) with a default for missing values."""
     v = props_of(df, col).getField(key)

@@ -58,6 +58,35 @@ def session_flags(events: DataFrame, spec: FunnelSpec, all_sessions: bool = Fals
     )
 
 
+def session_facts(events: DataFrame, spec: FunnelSpec, names, *attributes: Column) -> DataFrame:
+    """One row per session id with ``attributes`` (aggregate columns) and ``flag:<event>`` for each of ``names``.
+
+    Session row and stage flags come from the same aggregate: one scan of the
+    event log and one exchange on the session key, where deriving them apart
+    costs two of each and a join.  Operators that take a session table and
+    the events read both from this one table (see ``has_flags``).  Events
+    without a session id are left out.
+    """
+    require_columns(events, spec.session_col, spec.event_col)
+    e = ident(spec.event_col)
+    flags = [F.expr(f"max(CASE WHEN {e} = {lit(n)} THEN 1 ELSE 0 END) AS {ident(FLAG + n)}") for n in dict.fromkeys(names)]
+    return events.filter(F.col(spec.session_col).isNotNull()).groupBy(spec.session_col).agg(*attributes, *flags)
+
+
+def has_flags(sessions: DataFrame, spec: FunnelSpec) -> bool:
+    """Whether ``sessions`` carries the flags of all stages itself.
+
+    Such a table has one row per session, as ``session_facts`` and
+    ``flag_table`` make it; no events need to be joined to it.
+    """
+    return {FLAG + n for n in spec.names} <= set(sessions.columns)
+
+
+def own_flags(spec: FunnelSpec) -> list[str]:
+    """The flags that a table carries itself, as ``s0..s{n-1}`` (SQL text)."""
+    return [f"{ident(FLAG + n)} AS {spec.flag(i)}" for i, n in enumerate(spec.names)]
+
+
 def count_cols(spec: FunnelSpec) -> list[str]:
     return [f"c{i}" for i in range(spec.n)]
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from journey.functions.exprs import city_tier, money_sum, pct, safe_div, TIER1_CITIES, TIER2_CITIES
 from journey.functions.sqltext import array, div, ident, lit, named_struct
-from journey.operators.flags import flag_sums, mark_best, session_flags
+from journey.operators.flags import flag_sums, has_flags, mark_best, own_flags, session_flags
 from journey.spec import FunnelSpec, require_columns
 
 
@@ -22,8 +22,15 @@ def segment_counts(
     ``total_sessions`` counts session rows, the stages count distinct
     sessions: repeated rows of a session are merged after the join, where
     they lie in one partition already, before one ``groupBy(segment)``.
+
+    Sessions that carry their stage flags (``session_facts``) are counted as
+    they are: no join, and ``events`` is not read.
     """
     require_columns(sessions, spec.session_col, segment_col)
+    if has_flags(sessions, spec):
+        own = sessions.selectExpr(f"{ident(segment_col)} AS segment", *own_flags(spec))
+        own = own if keep_null else own.filter("segment IS NOT NULL")
+        return own.groupBy("segment").agg(F.expr("count(1) AS total_sessions"), *flag_sums(spec))
     s = sessions.selectExpr(ident(spec.session_col), f"{ident(segment_col)} AS segment")
     if not keep_null:
         s = s.filter("segment IS NOT NULL")
@@ -112,14 +119,15 @@ def payment_mix_by_segment(sessions, orders, segment_col: str, method: str,
 
     A segment's orders are those with a session among the segment's sessions
     (a left semi join per segment): each order counts once however often its
-    session's row is repeated.
+    session's row is repeated.  Orders are counted per session before the
+    join; repeated session rows are merged after it, where they lie in one
+    partition already.
     """
     s = sessions.selectExpr(ident(session_col), f"{ident(segment_col)} AS segment").filter("segment IS NOT NULL")
-    s = s.repartition(session_col).distinct()  # one exchange serves the distinct and the join
-    j = orders.select(session_col, method_col).join(s, session_col, "inner")
-    agg = j.groupBy("segment").agg(
-        F.expr("count(1) AS orders"), F.expr(f"count_if({ident(method_col)} = {lit(method)}) AS method_orders")
-    )
+    per = orders.filter(F.col(session_col).isNotNull()).groupBy(session_col).agg(
+        F.expr("count(1) AS _n"), F.expr(f"count_if({ident(method_col)} = {lit(method)}) AS _m"))
+    once = s.join(per, session_col, "inner").groupBy(session_col, "segment").agg(F.max("_n").alias("_n"), F.max("_m").alias("_m"))
+    agg = once.groupBy("segment").agg(F.expr("sum(_n) AS orders"), F.expr("sum(_m) AS method_orders"))
     return agg.selectExpr("segment", "orders", "method_orders",
                           f"coalesce({div('method_orders', 'orders')}, 0.0D) AS method_rate")
 
@@ -174,10 +182,13 @@ def device_dropoff(sessions, events, segment_col: str, product_view: str, add_to
     base = spec or FunnelSpec((("_", "_"),))
     sub = base.with_stages([(product_view, "product_views"), (add_to_cart, "cart_adds"),
                             (checkout, "checkouts"), (purchase, "purchases")])
-    flags = session_flags(events, sub, all_sessions=True)
-    s = sessions.select(sub.session_col, segment_col)
-    j = flags.join(s, sub.session_col, "inner").groupBy(sub.session_col, segment_col).agg(
-        *[F.max(c).alias(c) for c in sub.flag_cols()])
+    if has_flags(sessions, sub):
+        j = sessions.selectExpr(ident(segment_col), *own_flags(sub))
+    else:
+        flags = session_flags(events, sub, all_sessions=True)
+        s = sessions.select(sub.session_col, segment_col)
+        j = flags.join(s, sub.session_col, "inner").groupBy(sub.session_col, segment_col).agg(
+            *[F.max(c).alias(c) for c in sub.flag_cols()])
     agg = j.groupBy(segment_col).agg(
         F.count(F.lit(1)).alias("total_sessions"),
         *[F.coalesce(F.sum(sub.flag(i)), F.lit(0)).cast("long").alias(lbl) for i, lbl in enumerate(sub.labels)],

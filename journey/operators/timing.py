@@ -119,6 +119,62 @@ def bounce_rate(sessions, orders, threshold: int = 30, duration_col: str = "sess
     return m.agg(F.expr(f"{div(f'sum(CASE WHEN {hit} THEN {W_ROWS} ELSE 0 END)', f'sum({W_ROWS})')} AS bounce_rate"))
 
 
+#: the groupings of ``time_cube``: name -> columns
+CUBE = {"hour": ("hour",), "weekday": ("weekday",), "hour_weekday": ("hour", "weekday"), "month": ("month",),
+        "duration": ("bucket",), "all": ()}
+
+
+def time_cube(sessions, orders, hour_col: str = "session_hour", day_col: str = "session_day_of_week",
+              date_col: str = "session_date", duration_col: str = "session_duration_seconds", threshold: int = 30,
+              edges=DURATION_EDGES, session_col: str = "session_id") -> DataFrame:
+    """A16 / Q16–Q22 in one pass: the merge's sums by hour, weekday, hour × weekday, month, duration bucket and overall.
+
+    Columns ``grouping`` (a name of ``CUBE``), ``hour``, ``weekday``, ``month``, ``bucket`` (NULL where not
+    grouped by), ``merged`` and ``sessions`` (merged rows, and those with a session id), ``conversions``, ``gmv``,
+    ``bounces``.  Sessions are summed to the finest cells first (hours × weekdays × months × buckets), so
+    the grouping sets multiply those cells and never the sessions.
+    """
+    m = merged_sessions(sessions.select(session_col, hour_col, day_col, date_col, duration_col), orders, session_col)
+    d = ident(duration_col)
+    bucket = " ".join(f"WHEN {d} < {e} THEN {i}" for i, e in enumerate(edges))
+    has_id = f"CASE WHEN {ident(session_col)} IS NOT NULL THEN {W_ROWS} ELSE 0 END"
+    bounce = f"CASE WHEN coalesce({d} < {int(threshold)}, false) THEN {W_ROWS} ELSE 0 END"
+    cells = m.withColumns({"_month": month_key(F.col(date_col)), "_bucket": F.expr(f"CASE {bucket} ELSE {len(edges)} END")}).groupBy(
+        F.col(hour_col).alias("hour"), F.col(day_col).alias("weekday"), F.col("_month").alias("month"), F.col("_bucket").alias("bucket")
+    ).agg(F.sum(W_ROWS).alias("merged"), F.expr(f"sum({has_id}) AS sessions"), F.sum(W_CONV).alias("conversions"),
+          F.sum(W_GMV).alias("gmv"), F.expr(f"sum({bounce}) AS bounces"))
+    dims = ("hour", "weekday", "month", "bucket")
+    masks = {sum(1 << (len(dims) - 1 - i) for i, c in enumerate(dims) if c not in cols): n for n, cols in CUBE.items()}
+    sums = [F.sum(c).cast("double" if c == "gmv" else "long").alias(c) for c in ("merged", "sessions", "conversions", "gmv", "bounces")]
+    cube = cells.groupingSets([[F.col(c) for c in cols] for cols in CUBE.values()], *dims).agg(
+        F.grouping_id().cast("int").alias("_g"), *sums)
+    name = F.expr("CASE _g " + " ".join(f"WHEN {k} THEN {lit(v)}" for k, v in masks.items()) + " END")
+    return cube.select(name.alias("grouping"), *dims, "merged", "sessions", "conversions",
+                       F.coalesce("gmv", F.lit(0.0)).alias("gmv"), "bounces")
+
+
+def cube_tables(cube: DataFrame, labels=DURATION_BUCKETS) -> dict[str, DataFrame]:
+    """Q16, Q18–Q22 out of a (stored) ``time_cube``, with the columns of the single queries."""
+    of = {n: cube.filter(F.col("grouping") == n) for n in CUBE}
+    merged, known = F.expr(div("conversions", "merged")), F.expr(div("conversions", "sessions"))
+    hours = of["hour"].filter("hour IS NOT NULL")
+    days = of["weekday"].filter("weekday IS NOT NULL")
+    cells = of["hour_weekday"].filter("hour IS NOT NULL AND weekday IS NOT NULL").groupBy("hour").agg(
+        *[F.max(F.when(F.col("weekday") == d, merged)).alias(f"d{d}") for d in range(7)])
+    buckets = cube.sparkSession.createDataFrame(list(enumerate(labels)), "bucket_idx int, duration_bucket string")
+    rates = of["duration"].select(F.col("bucket").alias("bucket_idx"), merged.alias("conv_rate"))
+    return {
+        "hourly_conversion": hours.select(F.col("hour").alias("session_hour"), "sessions", "conversions", known.alias("conv_rate")),
+        "hour_day_matrix": cells.withColumnRenamed("hour", "session_hour"),
+        "weekday_conversion": mark_best(days.select(
+            F.col("weekday").alias("session_day_of_week"), weekday_name(F.col("weekday")).alias("day_name"),
+            merged.alias("conv_rate")), "session_day_of_week", "conv_rate"),
+        "monthly_trend": of["month"].select("month", "sessions", "conversions", "gmv", known.alias("conv_rate")),
+        "duration_conversion": buckets.join(rates, "bucket_idx", "left"),
+        "bounce_rate": of["all"].select(F.expr(div("bounces", "merged")).alias("bounce_rate")),
+    }
+
+
 def time_to_purchase(events, purchase: str, session_col: str = "session_id", event_col: str = "event_name",
                      ts_col: str = "event_timestamp") -> DataFrame:
     """Q31: mean minutes from a session's first event to its last purchase, 2 dp.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import campaign_tag as _campaign_tag
@@ -55,26 +55,31 @@ def first_seen(users, sessions, default_date: str | _dt.date | None = None, user
     )
 
 
+def first_sessions(sessions, user_col: str = "user_id", session_col: str = "session_id",
+                   order_cols=("session_date", "session_hour")) -> DataFrame:
+    """Each user's first session (by date, hour, then session id); an unknown date or hour comes first.
+
+    A row number of which only the first is kept: Spark limits every task to
+    one row per user before the shuffle, so a user with a third of all sessions costs
+    one row per task.
+    """
+    order = Window.partitionBy(user_col).orderBy(*[F.col(c).asc_nulls_first() for c in (*order_cols, session_col)])
+    known = sessions.filter(F.col(user_col).isNotNull())
+    return known.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
+
+
 def new_session_flag(sessions, user_col: str = "user_id", session_col: str = "session_id",
                      order_cols=("session_date", "session_hour")) -> DataFrame:
-    """Q42: ``is_new_user`` — the session is its user's first (by date, hour, then session id).
+    """Q42: ``is_new_user`` — the session is its user's first (``first_sessions``); sessions without a user are not.
 
-    Date and hour are packed into one number, so the first aggregate over all
-    sessions is a hash aggregate on a fixed-width buffer; session ids are
-    compared only among the sessions of a user's first hour.  Rows without a
-    user stay out of both joins.  An unknown date or hour comes first.
+    The first sessions meet the sessions on the session id, not on the user, so
+    no task gets all sessions of one user.
     """
-    date, hour = order_cols
-    at = F.coalesce(F.unix_date(F.col(date).cast("date")), F.lit(-1_000_000)).cast("long") * 100 + F.coalesce(
-        F.col(hour).cast("long"), F.lit(-1))
-    known = sessions.filter(F.col(user_col).isNotNull()).select(session_col, user_col, at.alias("_at"))
-    first = known.groupBy(user_col).agg(F.min("_at").alias("_first"))
-    tied = known.join(first, user_col).filter("_at = _first")
-    chosen = tied.groupBy(user_col).agg(F.min(session_col).alias("_session"))
-    flagged = known.join(chosen, user_col, "left").select(
-        session_col, user_col, F.coalesce(F.col(session_col) == F.col("_session"), F.lit(False)).alias("is_new_user"))
-    guests = sessions.filter(F.col(user_col).isNull()).select(session_col, user_col, F.lit(False).alias("is_new_user"))
-    return flagged.unionByName(guests)
+    known = sessions.select(session_col, user_col, *order_cols)
+    first = first_sessions(known, user_col, session_col, order_cols).select(
+        F.col(session_col).alias("_first"), F.col(user_col).alias("_user"))
+    flagged = known.join(first, F.col(session_col) == F.col("_first"), "left")
+    return flagged.select(session_col, user_col, F.coalesce(F.col(user_col) == F.col("_user"), F.lit(False)).alias("is_new_user"))
 
 
 def campaign_tag(sessions, paid_sources, source_col: str = "traffic_source", date_col: str = "session_date",

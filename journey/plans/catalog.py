@@ -18,6 +18,8 @@ from journey import operators as op
 from journey.functions import exprs as X
 from journey.session import ensure_checkpoint_dir
 from journey.sources import schemas
+from journey.sources.bucketed import store_bucketed
+from journey.sources.checked import load_with_report
 from journey.sources.driver_tables import driver_tables
 from journey.sources.io import dataset_summary, read_csv, write_csv, write_parquet
 from journey.spec import DRIVER_ROLES, PRESETS
@@ -36,6 +38,7 @@ PRICE_BIN = 50.0
 ABANDON_MIN_SESSIONS, ABANDON_TOP_K = 15, 20
 LIFT = 0.05
 ROUND_DP = 6
+STORE_BUCKETS = 8
 # ---------------------------------------------------------------------------
 
 FLAGSHIP = "q01_overall_funnel"
@@ -80,7 +83,7 @@ def _properties_json(t):
 
 def _count_arrays(t):
     """The per-segment count and rate arrays, one row per element."""
-    w = op.segment_count_arrays(t.sessions, t.events, SPEC, DEVICE)
+    w = op.segment_count_arrays(t.facts, t.facts, SPEC, DEVICE)
     return w.select("segment", "total_sessions", F.posexplode(F.arrays_zip("counts", "conv_rates")).alias("stage_idx", "z")).select(
         "segment", "total_sessions", "stage_idx", F.col("z.counts").alias("session_count"), F.col("z.conv_rates").alias("conv_rate"))
 
@@ -118,6 +121,75 @@ def _named_tables(t):
                      f"JOIN {prefix}sessions s ON e.session_id = s.session_id GROUP BY s.{DEVICE}")
 
 
+def _scratch(t, name: str) -> str:
+    return f"{ensure_checkpoint_dir(t.raw.spark).rstrip('/')}/journey-{name}-{uuid.uuid4().hex}"
+
+
+def _bucketed(fn):
+    """The query over sessions, events and orders that are stored bucketed by session first."""
+    def run(t):
+        log = ["session_id", "event_name"]
+        return fn(store_bucketed(t, SPEC, _scratch(t, "bucketed"), buckets=STORE_BUCKETS, event_cols=log))
+
+    return run
+
+
+def _tiers_of(b):
+    return op.with_city_tier(b.sessions, TIER_COL, TIER1, TIER2)
+
+
+def _updates(t):
+    """The event log stored by day, taken in by two updates: the days before the middle one, then all."""
+    days = _scratch(t, "days")
+    write_parquet(t.events.select("session_id", "event_name", F.to_date("event_timestamp").alias("day")), days, ["day"])
+    log = t.raw.spark.read.schema("session_id string, event_name string, day date").parquet(days)
+    middle = log.agg(F.expr("date_add(min(day), CAST(floor(datediff(max(day), min(day)) / 2) AS INT))")).scalar()
+    state = op.FunnelState(t.raw.spark, _scratch(t, "state"), SPEC)
+    state.update(log.filter(F.col("day") < middle), "day")
+    state.update(log, "day")
+    return state
+
+
+def _incremental_ledger(t):
+    """The days and the sessions a day that each update read."""
+    return _updates(t).ledger().groupBy(F.col("seq").alias("update")).agg(
+        F.count(F.lit(1)).alias("days"), F.sum("sessions").alias("sessions"))
+
+
+def _load_report(t):
+    """S3: CSV tables with planted faults, loaded with a report; one row per fault kind, bad rows and good rows counted."""
+    base = _scratch(t, "faulty")
+
+    def put(df, name, schema, mode="overwrite", drop=(), **planted):
+        columns = [planted.get(f.name, F.col(f.name) if f.name in df.columns else F.lit(None)).cast("string").alias(f.name)
+                   for f in schema.fields if f.name not in drop]
+        columns += [c.alias(n) for n, c in planted.items() if n not in schema.names]
+        df.select(*columns).write.mode(mode).options(header="true", escape='"', quote='"').csv(f"{base}/{name}.csv")
+
+    nth = F.pmod(F.col("order_id"), F.lit(50))
+    faults = {"gmv": F.when(nth == 0, "n/a").otherwise(F.col("gmv").cast("string")),
+              "order_date": F.when(nth == 1, "yesterday").otherwise(F.col("order_date").cast("string"))}
+    even = F.pmod(F.col("order_id"), F.lit(2)) == 0
+    put(t.orders.filter(even), "orders", schemas.ORDERS, **faults)
+    put(t.orders.filter(~even), "orders", schemas.ORDERS, "append", drop=("coupon_code",), **faults)
+    put(t.sessions, "sessions", schemas.SESSIONS, drop=("utm_campaign",), campaign=F.lit("none"))
+    put(t.events.withColumn("event_properties", F.to_json("event_properties")), "events", schemas.EVENTS)
+    loaded, report = load_with_report(t.raw.spark, base)
+    faults = report.filter("problem <> 'bad row'").select("table", "problem", F.when(
+        F.col("problem") != "missing table", F.col("detail")).alias("detail")).distinct().withColumn("n", F.lit(1).cast("long"))
+    bad = report.filter("problem = 'bad row'").groupBy("table", "problem").agg(F.count(F.lit(1)).alias("n"))
+    out = faults.unionByName(bad.withColumn("detail", F.lit(None).cast("string")))
+    for name in ("sessions", "events", "orders"):
+        out = out.unionByName(getattr(loaded, name).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("table"), F.lit("loaded").alias("problem"), F.lit(None).cast("string").alias("detail"), "n"))
+    return out.withColumnRenamed("table", "table_name")
+
+
+def _variant_events(t):
+    """The events with their properties as VARIANT, parsed from JSON text."""
+    return t.events.withColumn("event_properties", X.parse_variant(F.to_json("event_properties")))
+
+
 def _tiered(t):
     return op.with_city_tier(t.sessions, TIER_COL, TIER1, TIER2)
 
@@ -131,10 +203,10 @@ QUERIES = {
     "q06_conversion_waterfall": _q(lambda t: op.conversion_waterfall(t.events, SPEC)),
     "q07_payment_failure_rate": _q(lambda t: op.payment_failure_rate(t.events, R.initiated, R.failed)),
     "q08_failure_reasons": _q(lambda t: op.failure_reasons(t.events, R.failed)),
-    "q09_segment_funnel": _q(lambda t: op.segment_funnel(t.sessions, t.events, SPEC, DEVICE)),
-    "q10_segment_gap": _q(lambda t: op.segment_gap(t.sessions, t.events, SPEC, DEVICE, SEG_A, SEG_B)),
-    "q11_segment_conversion": _q(lambda t: op.segment_conversion(t.sessions, t.events, SPEC, SOURCE)),
-    "q12_city_tier_funnel": _q(lambda t: op.city_tier_funnel(t.sessions, t.events, SPEC, TIER_COL, TIER1, TIER2)),
+    "q09_segment_funnel": _q(lambda t: op.segment_funnel(t.facts, t.facts, SPEC, DEVICE)),
+    "q10_segment_gap": _q(lambda t: op.segment_gap(t.facts, t.facts, SPEC, DEVICE, SEG_A, SEG_B)),
+    "q11_segment_conversion": _q(lambda t: op.segment_conversion(t.facts, t.facts, SPEC, SOURCE)),
+    "q12_city_tier_funnel": _q(lambda t: op.city_tier_funnel(t.facts, t.facts, SPEC, TIER_COL, TIER1, TIER2)),
     "q13_payment_mix_by_tier": _q(lambda t: op.payment_mix_by_segment(_tiered(t), t.orders, "city_tier", MIX_METHOD)),
     "q14_conversion_matrix": _q(lambda t: op.conversion_matrix(t.sessions, t.orders, SOURCE, DEVICE, DEVICE_VALUES)),
     "q15_matrix_extremes": _q(lambda t: op.matrix_extremes(t.sessions, t.orders, SOURCE, DEVICE)),
@@ -151,13 +223,13 @@ QUERIES = {
     "q25_method_failure_rate_selected": _q(
         lambda t: op.method_failure_rate(t.events, R.initiated, R.success, R.failed, method_stage=R.method_selected)
     ),
-    "q26_ab_significance_device": _q(lambda t: op.ab_significance(t.sessions, t.events, SPEC, DEVICE, SEG_A, SEG_B)),
-    "q26_ab_significance_new_user": _q(lambda t: op.ab_significance(t.sessions, t.events, SPEC, "is_new_user", True, False)),
-    "q27_priority_matrix": _q(lambda t: op.priority_matrix(t.sessions, t.events, t.orders, SPEC, DEVICE, EFFORT)),
-    "q28_experiment_sample_size": _q(lambda t: op.experiment_sample_size(t.sessions, t.events, SPEC, SOURCE, LIFT)),
+    "q26_ab_significance_device": _q(lambda t: op.ab_significance(t.facts, t.facts, SPEC, DEVICE, SEG_A, SEG_B)),
+    "q26_ab_significance_new_user": _q(lambda t: op.ab_significance(t.facts, t.facts, SPEC, "is_new_user", True, False)),
+    "q27_priority_matrix": _q(lambda t: op.priority_matrix(t.facts, t.facts, t.orders, SPEC, DEVICE, EFFORT)),
+    "q28_experiment_sample_size": _q(lambda t: op.experiment_sample_size(t.facts, t.facts, SPEC, SOURCE, LIFT)),
     "q29_wide_funnel": _q(lambda t: op.wide_funnel(t.events, SPEC)),
     "q30_device_dropoff": _q(
-        lambda t: op.device_dropoff(t.sessions, t.events, DEVICE, R.product_view, R.add_to_cart, R.checkout, R.purchase)
+        lambda t: op.device_dropoff(t.facts, t.facts, DEVICE, R.product_view, R.add_to_cart, R.checkout, R.purchase)
     ),
     "q31_time_to_purchase": _q(lambda t: op.time_to_purchase(t.events, R.purchase)),
     "q32_abandoned_products": _q(
@@ -173,7 +245,7 @@ QUERIES = {
     "q35_daily_revenue": _q(lambda t: op.daily_revenue(t.orders)),
     "q36_dashboard_funnel": _q(lambda t: op.dashboard_funnel(t.events, SPEC)),
     "q37_abandonment_rates": _q(lambda t: op.abandonment_rates(t.events, SPEC, R.add_to_cart, R.checkout, R.purchase)),
-    "q38_dashboard_segment_funnel": _q(lambda t: op.dashboard_segment_funnel(t.sessions, t.events, SPEC, SOURCE)),
+    "q38_dashboard_segment_funnel": _q(lambda t: op.dashboard_segment_funnel(t.facts, t.facts, SPEC, SOURCE)),
     "q39_user_rollup": _q(lambda t: op.user_rollup(t.users, t.sessions, t.user_orders)),
     "q40_loyalty_tiers": _q(lambda t: op.loyalty_tiers(t.users, t.sessions, t.user_orders)),
     "q41_first_seen": _q(lambda t: op.first_seen(t.users, t.sessions)),
@@ -189,6 +261,21 @@ QUERIES = {
     "c24_count_arrays": _q(_count_arrays),
     "s04_named_tables": _q(_named_tables),
     "s07_csv_round_trip": _q(_csv_round_trip),
+    "s03_load_report": _q(_load_report),
+    "b09_bucketed_segment_funnel": _q(_bucketed(lambda b: op.segment_funnel(b.sessions, b.flags, SPEC, DEVICE))),
+    "b13_bucketed_payment_mix": _q(_bucketed(lambda b: op.payment_mix_by_segment(_tiers_of(b), b.orders, "city_tier", MIX_METHOD))),
+    "b30_bucketed_device_dropoff": _q(_bucketed(lambda b: op.device_dropoff(
+        b.sessions, b.events, DEVICE, R.product_view, R.add_to_cart, R.checkout, R.purchase))),
+    "b33_bucketed_channel_roi": _q(_bucketed(lambda b: op.channel_roi(b.sessions, b.events, b.orders, SOURCE, R.purchase))),
+    "b45_bucketed_segment_share": _q(_bucketed(lambda b: op.segment_share(b.sessions, b.orders, DEVICE))),
+    "a03_incremental_funnel": _q(lambda t: op.overall_funnel(_updates(t).flags(), SPEC)),
+    "a03_incremental_ledger": _q(_incremental_ledger),
+    "a16_time_cube": _q(lambda t: op.time_cube(t.sessions, t.orders)),
+    "w05_first_sessions": _q(lambda t: op.first_sessions(t.sessions.select("session_id", "user_id", "session_date", "session_hour"))),
+    "v08_variant_failure_reasons": _q(lambda t: op.failure_reasons(_variant_events(t), R.failed)),
+    "v23_variant_price_histogram": _q(lambda t: op.price_cart_histogram(_variant_events(t), R.product_view, R.add_to_cart, PRICE_BIN)),
+    "v24_variant_category_cart_rate": _q(lambda t: op.category_cart_rate(_variant_events(t), R.product_view, R.add_to_cart)),
+    "v25_variant_method_failure_rate": _q(lambda t: op.method_failure_rate(_variant_events(t), R.initiated, R.success, R.failed)),
 }
 
 for _name, _fn in QUERIES.items():

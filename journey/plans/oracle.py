@@ -575,4 +575,51 @@ ORACLE["s07_csv_round_trip"] = W() + f"""
 SELECT payment_method, COUNT(*) AS orders, {RND(GMV)} AS gmv, CAST(MIN(order_date) AS DATE) AS first_date,
        CAST(MAX(order_date) AS DATE) AS last_date FROM od GROUP BY 1"""
 
+# --- stored and incremental forms -------------------------------------------------
+
+ORACLE["b09_bucketed_segment_funnel"] = ORACLE["q09_segment_funnel"]
+ORACLE["b13_bucketed_payment_mix"] = ORACLE["q13_payment_mix_by_tier"]
+ORACLE["b30_bucketed_device_dropoff"] = ORACLE["q30_device_dropoff"]
+ORACLE["b33_bucketed_channel_roi"] = ORACLE["q33_channel_roi"]
+ORACLE["b45_bucketed_segment_share"] = ORACLE["q45_segment_share"]
+ORACLE["v08_variant_failure_reasons"] = ORACLE["q08_failure_reasons"]
+ORACLE["v23_variant_price_histogram"] = ORACLE["q23_price_cart_histogram"]
+ORACLE["v24_variant_category_cart_rate"] = ORACLE["q24_category_cart_rate"]
+ORACLE["v25_variant_method_failure_rate"] = ORACLE["q25_method_failure_rate"]
+ORACLE["a03_incremental_funnel"] = ORACLE["q01_overall_funnel"]
+
+ORACLE["a03_incremental_ledger"] = W("""dy AS (SELECT session_id, CAST(event_timestamp AS DATE) AS day FROM ev)""",
+    """mid AS (SELECT min(day) + CAST(floor(date_diff('day', min(day), max(day)) / 2) AS INTEGER) AS m FROM dy)""") + """
+SELECT CAST(CASE WHEN day < (SELECT m FROM mid) THEN 1 ELSE 2 END AS BIGINT) AS "update",
+       COUNT(DISTINCT day) AS days, COUNT(DISTINCT session_id || CAST(day AS VARCHAR)) AS sessions
+FROM dy WHERE day IS NOT NULL GROUP BY 1"""
+
+ORACLE["w05_first_sessions"] = W() + """
+SELECT session_id, user_id, session_date, session_hour FROM se WHERE user_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY session_date, session_hour, session_id) = 1"""
+
+ORACLE["s03_load_report"] = W() + """
+SELECT * FROM (VALUES ('users', 'missing table', NULL, 1), ('orders', 'missing column', 'coupon_code', 1),
+                      ('sessions', 'missing column', 'utm_campaign', 1), ('sessions', 'unknown column', 'campaign', 1)
+              ) f(table_name, problem, detail, n)
+UNION ALL SELECT 'orders', 'bad row', NULL, COUNT(*) FROM od WHERE order_id % 50 IN (0, 1)
+UNION ALL SELECT 'orders', 'loaded', NULL, COUNT(*) FROM od WHERE order_id % 50 NOT IN (0, 1)
+UNION ALL SELECT 'sessions', 'loaded', NULL, COUNT(*) FROM se
+UNION ALL SELECT 'events', 'loaded', NULL, COUNT(*) FROM ev"""
+
+
+def _cube(grouping: str, cols: str) -> str:
+    group = f" GROUP BY {cols}" if cols else ""
+    pick = ", ".join(x if x in cols.split(", ") else f"NULL AS {x}" for x in ("hour", "weekday", "month", "bucket"))
+    return (f"SELECT {q(grouping)} AS \"grouping\", {pick}, COUNT(*) AS merged, COUNT(session_id) AS sessions, "
+            f"CAST(SUM({CONV}) AS BIGINT) AS conversions, {RND(GMV)} AS gmv, "
+            f"CAST(SUM(CASE WHEN session_duration_seconds < 30 THEN 1 ELSE 0 END) AS BIGINT) AS bounces FROM cu{group}")
+
+
+ORACLE["a16_time_cube"] = W(MERGED, f"""cu AS (SELECT session_id, order_id, gmv, session_duration_seconds, session_hour AS hour,
+  session_day_of_week AS weekday, strftime(session_date, '%Y-%m') AS month, CAST({BUCKET} AS INTEGER) AS bucket FROM mg)""") + union(
+    [_cube("hour", "hour"), _cube("weekday", "weekday"), _cube("hour_weekday", "hour, weekday"), _cube("month", "month"),
+     _cube("duration", "bucket"), _cube("all", "")])
+
+
 ORACLE_SQL = {k: ORACLE[k] for k in C.QUERIES if k in ORACLE}

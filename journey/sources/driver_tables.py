@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from journey.functions.exprs import whole_seconds_between
+from journey.operators.flags import FLAG, session_facts
 from journey.sources.io import Tables
+from journey.spec import PRESETS
 
 RAW_TABLES = ("events", "customer", "orders", "nation", "region")
 
@@ -123,16 +125,19 @@ def customer_dim(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
+def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame], names=()) -> DataFrame:
     """One aggregate of the event log per session; the user's first date is a window over those sessions.
 
+    The same aggregate gives a flag column for each event of ``names``.
     Events without a user or time have no session id and no session.
     """
-    core = events.filter(F.col("session_id").isNotNull()).groupBy("session_id").agg(
+    core = session_facts(
+        events, PRESETS["driver"], names,
         F.min("user_id").alias("user_id"),
         F.min("event_timestamp").alias("_start"),
         F.max("event_timestamp").alias("_end"),
     )
+    flags = [F.col(f"`{FLAG}{n}`") for n in names]
     s = core.select(
         "session_id",
         "user_id",
@@ -141,6 +146,7 @@ def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
         F.weekday("_start").alias("session_day_of_week"),
         whole_seconds_between("_start", "_end").alias("session_duration_seconds"),
         F.to_date(F.min("_start").over(Window.partitionBy("user_id"))).alias("_first_date"),
+        *flags,
     )
     s = s.join(customer_dim(raw), s.user_id == F.col("d_user_id"), "left")
     return s.select(
@@ -155,6 +161,7 @@ def adapt_sessions(events: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
         "state",
         (F.col("session_date") == F.col("_first_date")).alias("is_new_user"),
         "session_duration_seconds",
+        *flags,
     )
 
 
@@ -201,6 +208,11 @@ class DriverTables(Tables):
     def sessions(self) -> DataFrame:
         return adapt_sessions(self.events, self.raw)
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        """The sessions with the stage flags of the benchmark's events, from one aggregate of the log."""
+        return adapt_sessions(self.events, self.raw, PRESETS["driver"].names)
+
     @cached_property
     def orders(self) -> DataFrame:
         return adapt_orders(self.raw["events"])

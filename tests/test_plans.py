@@ -83,10 +83,9 @@ def test_raw_events_are_hash_aggregated(spark, name):
     assert got and all(x.startswith("HashAggregate") for x in got), got
 
 
-def test_first_session_is_hash_aggregated_and_guests_stay_out(spark, fx):
+def test_first_session_is_limited_before_the_shuffle(spark, fx):
     pp = physical_plan(op.new_session_flag(fx.sessions))
-    assert "partial_min(_at" in pp and "struct" not in pp
-    assert all("SortAggregate" not in line or "session_id" in line for line in pp.splitlines())
+    assert "WindowGroupLimit" in pp and "SortAggregate" not in pp
 
 
 def test_channel_roi_has_no_fanout_join_of_raw_rows(t):
