@@ -111,9 +111,10 @@ def apply_host_rules(df: DataFrame, text: str = "text", host: str = "source", ca
         names[m] = free_name(carry + list(names.values()) + list(df.columns), m)
     counted = rule_counts(df.withColumn(names["host"], q(host)), text, {m: names[m] for m in METRICS})
     counted = stored(counted.select(*[q(c) for c in (*carry, names["host"], *(names[m] for m in METRICS))]), "rules")
+    other = free_name(counted.columns + [names["host_rate"]], "host_")
     rates = host_rates(counted, names["host"], names["base_failed"]).select(
-        F.col("host").alias("__host"), F.col("host_rate").alias(names["host_rate"]))
-    judged = counted.join(rates, q(names["host"]).eqNullSafe(F.col("__host")), "left").drop("__host")
+        F.col("host").alias(other), F.col("host_rate").alias(names["host_rate"]))
+    judged = counted.join(rates, q(names["host"]).eqNullSafe(q(other)), "left").drop(other)
     verdict = ~q(names["base_failed"]) & (q(names["host_rate"]) <= host_limit)
     return judged.withColumn(names["kept"], verdict), names
 

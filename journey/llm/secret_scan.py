@@ -48,6 +48,7 @@ _TOKEN = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-
 # ---------------------------------------------------------------------------------------
 
 LEDGER = "blob string, rule_version string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+FOUND = ("n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
 def _key_blocks(text: str):
@@ -116,7 +117,12 @@ def scan_versions(versions: DataFrame, path_cols: tuple[str, ...], text: str, le
     """Scan the unseen blobs of ``versions``, append them to ``ledger``, return each row's findings.
 
     Result: ``path_cols`` (any columns that name the version), ``blob``, the
-    counts, the digest of the base spans and all spans.
+    counts, the digest of the base spans and all spans.  A column of the result
+    whose name one of ``path_cols`` has already gets underscores behind it.
+
+    Only blobs with findings join back to their paths; the other rows get the
+    values of a blob without any, so a blob that a third of all rows hold costs
+    a shuffle only where it has a secret.
     """
     spark = versions.sparkSession
     body = F.coalesce(q(text).cast("string"), F.lit(""))
@@ -134,8 +140,17 @@ def scan_versions(versions: DataFrame, path_cols: tuple[str, ...], text: str, le
     map_rows(todo, _scan_rows, LEDGER).write.mode("append").parquet(ledger)
     known = read_ledger(spark, ledger).where(F.col("rule_version") == rule_version)
     # a batch repeated after a crash may hold a blob twice
-    known = known.drop("rule_version").dropDuplicates(["blob"]).withColumnRenamed("blob", "__blob")
-    return paths.join(known, q(blob) == F.col("__blob"), "left").drop("__blob")
+    hits = known.drop("rule_version").where("spans <> ''").dropDuplicates(["blob"])
+    other = free_name(paths.columns, "blob_")
+    none = {"spans": F.lit(""), "base_sha256": F.lit(hashlib.sha256(b"").hexdigest())}
+    taken, columns = [*paths.columns, other], []
+    for f in FOUND:
+        taken.append(free_name(taken, f))
+        columns.append((f, taken[-1]))
+    hits = hits.select(F.col("blob").alias(other), *[F.col(f).alias(c) for f, c in columns])
+    joined = paths.join(hits, q(blob) == q(other), "left")
+    return joined.select(*[q(c) for c in paths.columns],
+                         *[F.coalesce(q(c), none.get(f, F.lit(0).cast("long"))).alias(c) for f, c in columns])
 
 
 def redact(text: str, spans: str, mark: str = "[SECRET]") -> str:
@@ -159,16 +174,15 @@ def redact_documents(docs: DataFrame, ledger: str, path: str = "doc_id", text: s
 
     Only blobs with findings join back; rows without findings skip Python.
     """
-    found = scan_versions(docs, (path,), text, ledger)
-    blob = next(c for c in found.columns if c.rstrip("_") == "blob")
-    hits = found.where(F.col("spans") != "").select(q(blob).alias("__blob"), F.col("spans").alias("__spans"))
-    hits = hits.dropDuplicates(["__blob"])
-    key = F.sha2(F.coalesce(q(text).cast("string"), F.lit("")), 256)
-    joined = docs.withColumn("__key", key).join(hits, F.col("__key") == F.col("__blob"), "left")
-    clean = F.pandas_udf(_redact_all, StringType())(F.when(F.col("__spans").isNotNull(), q(text)), F.col("__spans"))
-    joined = joined.withColumn("__clean", clean)
-    hit = F.col("__clean").isNotNull()
-    new = {text: F.when(hit, F.col("__clean")).otherwise(q(text))}
+    found = scan_versions(docs.select(q(path).alias("path"), q(text).alias("text")), ("path",), "text", ledger)
+    names = [*docs.columns]
+    key, blob, spans, clean = (names.append(free_name(names, n)) or names[-1] for n in ("key", "blob", "spans", "clean"))
+    hits = found.where("spans <> ''").select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob])
+    joined = docs.withColumn(key, F.sha2(F.coalesce(q(text).cast("string"), F.lit("")), 256)).join(hits, q(key) == q(blob), "left")
+    redacted = F.pandas_udf(_redact_all, StringType())(F.when(q(spans).isNotNull(), q(text)), q(spans))
+    joined = joined.withColumn(clean, redacted)
+    hit = q(clean).isNotNull()
+    new = {text: F.when(hit, q(clean)).otherwise(q(text))}
     if n_chars in docs.columns:
-        new[n_chars] = F.when(hit, F.length("__clean").cast(docs.schema[n_chars].dataType)).otherwise(q(n_chars))
+        new[n_chars] = F.when(hit, F.length(q(clean)).cast(docs.schema[n_chars].dataType)).otherwise(q(n_chars))
     return joined.select(*[new.get(c, q(c)).alias(c) for c in docs.columns])

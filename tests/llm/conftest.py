@@ -6,7 +6,8 @@ import pytest
 
 from journey.session import get_spark
 
-DOCS_DDL = "doc_id long, text string, lang string, source string, n_chars long, n_words string, text_ string, key int"
+DOCS_DDL = ("doc_id long, text string, lang string, source string, n_chars long, n_words string, text_ string, key int, "
+            "__host string, __blob string, __key string, __spans string, __clean string, host string, blob int, spans string, clean string")
 
 
 @pytest.fixture(scope="session")
@@ -16,7 +17,7 @@ def spark():
 
 def documents(spark, texts):
     """A documents table with extra columns whose names clash with working names."""
-    rows = [(i, t, "en" if (i or 0) % 2 else None, f"src{(i or 0) % 3}" if (i or 1) % 5 else None, len(t or ""), "x", "y", 7)
+    rows = [(i, t, "en" if (i or 0) % 2 else None, f"src{(i or 0) % 3}" if (i or 1) % 5 else None, len(t or ""), "x", "y", 7, *["z"] * 5, "h", 5, "s", "c")
             for i, t in texts]
     return spark.createDataFrame(rows, DOCS_DDL)
 

@@ -185,3 +185,17 @@ def test_empty_tables(spark):
     assert decontam.search(none, bench).count() == 0
     assert decontam.search(documents(spark, EDGE), bench).where("contaminated").count() == 0
     assert licenses.scan(none).count() == 0
+
+
+def test_clashing_names_are_kept_as_they_are(spark):
+    docs = documents(spark, [(1, "token=abcdef12 here"), (2, "nothing"), (3, None)])
+    taken = docs.withColumnsRenamed({"lang": "n_hex", "source": "base_sha256"})
+    found = secret_scan.scan_versions(taken, ("doc_id", "spans", "n_hex", "blob", "clean"), "text", shared_dir(spark, "ledger"))
+    assert found.columns == ["doc_id", "spans", "n_hex", "blob", "clean", "blob_", "n_assign", "n_access", "n_hex_", "base_sha256", "spans_"]
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert got[1]["spans"] == "s" and got[1]["spans_"] == "assign:0:14" and got[1]["n_assign"] == 1
+    assert (got[3]["spans_"], got[3]["n_assign"], got[3]["blob"]) == ("", 0, 5)
+    clean = secret_scan.redact_documents(docs, shared_dir(spark, "ledger"))
+    assert clean.columns == docs.columns
+    assert {r["doc_id"]: (r["text"], r["__key"], r["__spans"], r["blob"]) for r in clean.collect()} == {
+        1: ("[SECRET] here", "z", "z", 5), 2: ("nothing", "z", "z", 5), 3: (None, "z", "z", 5)}
