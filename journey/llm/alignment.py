@@ -118,8 +118,12 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = Encoder.of(path_a, plain=True), Encoder.of(path_b, plain=True)
-        self.sides = [(e, t, np.array([len(x) for x in t], np.int64), [str(i) for i in range(len(t))])
-                      for e in (self.a, self.b) for t in [byte_table(e)]]
+        tables = [byte_table(e) for e in (self.a, self.b)]
+        self.bytes_of = [np.array([*t, None], object)[:-1] for t in tables]
+        self.sizes = [np.array([len(x) for x in t], np.int64) for t in tables]
+        # an id as it is written inside and at the end of its side of a group
+        self.said = [np.array([f"{i}{mark}".encode() for mark in marks for i in range(len(t))], object)
+                     for t, marks in zip(tables, (",|", ",;"), strict=True)]
 
     @classmethod
     def of(cls, path_a: str, path_b: str) -> Aligner:
@@ -129,50 +133,70 @@ class Aligner:
 
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of both sides; empty where the text is or where a side does not give back its bytes."""
-        out = []
-        for (encoder, table, _, _), given in zip(self.sides, ([" " + t for t in texts], texts), strict=True):
-            out.append([np.frombuffer(x, "<u4") for x in encoder.ids(given)])
+        given = ([" " + t for t in texts], texts)
+        out = [[np.frombuffer(x, "<u4") for x in e.ids(g)] for e, g in zip((self.a, self.b), given, strict=True)]
+        whole = [b" " + t.encode("utf-8", "replace") if t else b"" for t in texts]
+        both = b"".join(whole)
+        if all(texts) and all(self._back(s, np.concatenate(out[s])) == both for s in (0, 1)):
+            sizes = np.cumsum([len(w) for w in whole])  # the same bytes, and cut alike: every text is given back
+            if all(np.array_equal(np.cumsum([self.sizes[s][x].sum() for x in out[s]]), sizes) for s in (0, 1)):
+                return out[0], out[1]
         none = np.empty(0, "<u4")
-        tables = [t for _, t, _, _ in self.sides]
-        for i, t in enumerate(texts):
-            whole = b" " + t.encode("utf-8", "replace")
-            if not t or any(b"".join(map(tables[s].__getitem__, out[s][i].tolist())) != whole for s in (0, 1)):
+        for i, w in enumerate(whole):
+            if not w or any(self._back(s, out[s][i]) != w for s in (0, 1)):
                 out[0][i] = out[1][i] = none
         return out[0], out[1]
 
+    def _back(self, side: int, ids: np.ndarray) -> bytes:
+        return b"".join(self.bytes_of[side][ids].tolist())
+
     def align(self, texts: list[str]):
-        """Per text (n_a, n_b, n_groups, n_links, groups) and the pairs of all links with the number of links of each text."""
+        """Arrays by text (n_a, n_b, n_groups, n_links), the groups of each text as bytes, and the pairs of all links in order.
+
+        A pair is the first id times the size of the second vocabulary, plus the second id.
+        """
         ids_a, ids_b = self.ids(texts)
         a, b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
         n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (ids_a, ids_b))
         if not len(a):
             zero = np.zeros(len(texts), np.int64)
-            return zero, zero, zero, zero, [""] * len(texts), np.empty(0, np.int64)
-        ends_a, ends_b = np.cumsum(self.sides[0][2][a]), np.cumsum(self.sides[1][2][b])
+            return zero, zero, zero, zero, [b""] * len(texts), np.empty(0, np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
         last_a = cut_groups(ends_a, ends_b, np.cumsum(n_a))
         last_b = np.searchsorted(ends_b, ends_a[last_a])
         # between two ends of any side lies one link
-        ends = np.union1d(ends_a, ends_b)
-        pairs = a[np.searchsorted(ends_a, ends)] * SIDE + b[np.searchsorted(ends_b, ends)]
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        ends = ends[np.append(True, ends[1:] != ends[:-1])]
+        pairs = a[np.searchsorted(ends_a, ends)] * len(self.sizes[1]) + b[np.searchsorted(ends_b, ends)]
         stop = np.cumsum(n_a)
         where = np.append(0, ends_a)[stop]  # bytes before each text's end
         n_links = np.diff(np.searchsorted(ends, where, "right"), prepend=0)
         n_groups = np.diff(np.searchsorted(last_a, stop - 1, "right"), prepend=0)
         n_groups[n_a == 0] = 0
-        groups = self._groups(a, b, last_a, last_b, n_groups)
-        return n_a, n_b, n_groups, n_links, groups, pairs
+        return n_a, n_b, n_groups, n_links, self._groups(a, b, last_a, last_b, stop, np.cumsum(n_b)), pairs
 
-    def _groups(self, a, b, last_a, last_b, n_groups) -> list[str]:
+    def _groups(self, a, b, last_a, last_b, stop_a, stop_b) -> list[bytes]:
         """The groups of each text: ids joined by commas, the sides by '|', groups by ';'."""
-        names = [[self.sides[s][3][i] for i in ids.tolist()] for s, ids in ((0, a), (1, b))]
-        said, i, j = [], 0, 0
-        for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
-            one = names[0][i] if x == i + 1 else ",".join(names[0][i:x])
-            two = names[1][j] if y == j + 1 else ",".join(names[1][j:y])
-            said.append(f"{one}|{two}")
-            i, j = x, y
-        at = np.cumsum(n_groups).tolist()
-        return [";".join(said[x:y]) for x, y in zip([0, *at[:-1]], at, strict=True)]
+        # a token's place in the text: behind the other side's tokens of the groups before its own, or up to it
+        in_a = np.zeros(len(a) + 1, np.int64)
+        in_a[last_a + 1] = np.diff(last_b + 1, prepend=0)
+        in_b = np.zeros(len(b) + 1, np.int64)
+        in_b[0] = last_a[0] + 1
+        in_b[last_b[:-1] + 1] = np.diff(last_a)
+        said = np.empty(len(a) + len(b), object)
+        end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        end_a[last_a], end_b[last_b] = len(self.sizes[0]), len(self.sizes[1])
+        said[np.arange(len(a)) + np.cumsum(in_a[:-1])] = self.said[0][a + end_a]
+        said[np.arange(len(b)) + np.cumsum(in_b[:-1])] = self.said[1][b + end_b]
+        at = (stop_a + stop_b).tolist()
+        return [b"".join(said[x:y].tolist())[:-1] for x, y in zip([0, *at[:-1]], at, strict=True)]
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and how often each is there."""
+    keys = np.sort(keys)
+    start = np.flatnonzero(np.append(np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]))
+    return keys[start], np.diff(np.append(start, len(keys)))
 
 
 def align_rows(df: DataFrame, path_a: str, path_b: str, text: str = "text", carry: tuple[str, ...] = ("doc_id",),
@@ -192,13 +216,14 @@ def align_rows(df: DataFrame, path_a: str, path_b: str, text: str = "text", carr
 
     def run(batches):
         aligner = Aligner.of(path_a, path_b)
+        second = len(aligner.sizes[1])
         base, chunk, held, links = TaskContext.get().partitionId() << 32, 0, [], 0
 
         def close():
             seen, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
             n = np.bincount(at, np.concatenate([h[1] for h in held]), len(seen)).astype(np.int64)
             given = {"kind": pa.array(["chunk"]), "chunk": pa.array([base + chunk], pa.int64()),
-                     "pairs": pa.array([seen], pa.list_(pa.int64())),
+                     "pairs": pa.array([seen // second * SIDE + seen % second], pa.list_(pa.int64())),
                      "times": pa.array([n.astype(np.int32)], pa.list_(pa.int32()))}
             return pa.RecordBatch.from_arrays(
                 [given[f.name].cast(f.type) if f.name in given else pa.nulls(1, f.type) for f in out], schema=out)
@@ -210,33 +235,28 @@ def align_rows(df: DataFrame, path_a: str, path_b: str, text: str = "text", carr
                 texts = [(t or b"").decode("utf-8", "replace") for t in raw.slice(first, end - first).to_pylist()]
                 n_a, n_b, n_groups, n_links, said, pairs = aligner.align(texts)
                 # the distinct pairs of each text and how often it has them
-                of = np.repeat(np.arange(len(texts)), n_links)
-                order = np.lexsort((pairs, of))
-                of, pairs = of[order], pairs[order]
-                new = np.ones(len(of), bool)
-                new[1:] = (of[1:] != of[:-1]) | (pairs[1:] != pairs[:-1])
-                start = np.flatnonzero(new)
-                times = np.diff(np.append(start, len(of))).astype(np.int32)
-                each = np.append(0, np.cumsum(np.bincount(of[start], minlength=len(texts))))
-                pairs = pairs[start]
-                seen, at = np.unique(pairs, return_inverse=True)
+                size = len(aligner.sizes[0]) * second
+                key, times = counted(np.repeat(np.arange(len(texts)) * size, n_links) + pairs)
+                of, key = np.divmod(key, size)
+                each = np.append(0, np.cumsum(np.bincount(of, minlength=len(texts))))
                 total = int(n_links.sum())
                 if links and links + total > chunk_links:
                     yield close()
                     chunk, held, links = chunk + 1, [], 0
-                held.append((seen, np.bincount(at, times, len(seen))))
+                held.append(counted(pairs))
                 links += total
+                pairs = key // second * SIDE + key % second
                 if len(held) > 8:  # one table of distinct pairs, so that memory follows them and not the rows
                     both, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
                     held = [(both, np.bincount(at, np.concatenate([h[1] for h in held]), len(both)))]
                 n = end - first
                 given = {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links,
-                         "groups_sha256": [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said],
-                         "groups": said if groups else [None] * n, "kind": ["row"] * n, "chunk": [base + chunk] * n}
+                         "groups_sha256": [hashlib.sha256(s).hexdigest() if s else "" for s in said],
+                         "groups": [s.decode() for s in said] if groups else [None] * n, "kind": ["row"] * n, "chunk": [base + chunk] * n}
                 part = batch.slice(first, n)
                 columns = [part.column(i) for i in range(len(carry))]
                 columns += [pa.array(given[f.name], f.type) for f in list(out)[len(carry):-2]]
-                columns += [pa.ListArray.from_arrays(pa.array(each, pa.int32()), pa.array(v)) for v in (pairs, times)]
+                columns += [pa.ListArray.from_arrays(pa.array(each, pa.int32()), pa.array(v)) for v in (pairs, times.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out, strict=True)], schema=out)
         if held:
             yield close()
