@@ -59,7 +59,7 @@ from journey.llm.wordhash import gram_hashes, mix, word_hashes
 SHINGLE = 4
 PERCENT = 85
 #: tokens counted this often within CHUNK shingles of a task are candidates for the frequent end of the order
-LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 2_500_000, 100_000
+LOCAL_MIN, CHUNK, MAX_HEAVY = 2, 1_000_000, 100_000
 #: words counted this often within CHUNK words of a task are candidates for the frequent words
 WORD_MIN, MAX_WORDS = 2, 200_000
 #: a frequent token's list is dealt to so many tasks in the first comparison
@@ -75,6 +75,8 @@ ANCHORS = 8
 PART = 512
 #: bits of a parity bitmap: eight for a token, at most this many
 MAX_BITS = 1 << 14
+#: bytes of text that a task holds with their sets at once, one text at least
+TEXT_BYTES = 2 << 20
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
 # -------------------------------------------------------------------------------------------
 
@@ -168,7 +170,7 @@ def _map_texts(df: DataFrame, start, ddl: str) -> DataFrame:
     def run(batches):
         step = start()
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, TEXT_BYTES):
                 yield batch_of(step({n: piece.column(i).to_pylist() for i, n in enumerate(piece.schema.names)}))
         yield batch_of(step(None))
         give_back()
