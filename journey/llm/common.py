@@ -93,6 +93,16 @@ def join_checked(df: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame
     return df.join(F.broadcast(keys) if size + 32 * n <= BROADCAST_BYTES else keys, on, how)
 
 
+def broadcast_checked(df: DataFrame) -> DataFrame:
+    """The stored table ``df``, to be broadcast only if its measured size is at most ``BROADCAST_BYTES``.
+
+    Beyond that a join with it is Spark's own choice.  Rows are the same either way.
+    """
+    size = sum((F.coalesce(F.octet_length(q(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    held = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(df) if held <= BROADCAST_BYTES else df
+
+
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES):
     """Consecutive row ranges of ``batch`` of about ``limit`` bytes each."""
     if batch.num_rows == 0:

@@ -18,9 +18,9 @@ longer ones all members are first compared with one typical member (``pivot``);
 then, in lists that still hold several components, the members outside the
 largest one are compared with more of its members; at last every pair of one
 list whose sides are still in different components is considered.  There the
-join's condition holds parity bitmaps against each other, whose differing bits
-are at most as many as the tokens that differ, so it puts out few pairs that
-are not links.  That last step is exact: every pair that passes the prefix
+join's condition holds thin parity bitmaps against each other, whose differing
+bits are at most as many as the tokens that differ, so it puts out few pairs
+that are not links.  That last step is exact: every pair that passes the prefix
 filter was compared, is too far apart by its bitmaps, or lies within one
 component already.
 
@@ -131,6 +131,18 @@ def parity_bits(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return whole, whole[:len(whole) // 2] ^ whole[len(whole) // 2:]
 
 
+def thin_bits(whole: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """A parity bitmap folded to about one bit for each of ``n`` tokens, and that folded once more where it can be.
+
+    Sets of unlike texts still differ in far more of these bits than similar
+    sets may, so they serve where every member of a list carries them along.
+    """
+    size = min(len(whole), max(1, (1 << max(n - 1, 1).bit_length()) // 64))
+    while len(whole) > size:
+        whole = whole[:len(whole) // 2] ^ whole[len(whole) // 2:]
+    return whole, whole[:len(whole) // 2] ^ whole[len(whole) // 2:] if len(whole) > 1 else whole
+
+
 class FirstOrder:
     """The order that deals out candidates.
 
@@ -374,25 +386,27 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(df: DataFrame, names: DataFrame, size: int) -> DataFrame:
-    """Stored (key, n, tokens, bits, half) of the texts whose id is among ``names``."""
+    """Stored (key, n, tokens, bits, half, thin, thin_half) of the texts whose id is among ``names``."""
     texts = df.withColumn("name", F.coalesce(F.col("id").cast("string"), F.lit("")))
     texts = join_checked(texts, names, "name", "left_semi").select("text_")
 
     def start():
         def step(cols):
-            got = {"key": [], "n": [], "tokens": [], "bits": [], "half": []}
+            got = {"key": [], "n": [], "tokens": [], "bits": [], "half": [], "thin": [], "thin_half": []}
             for t in cols["text_"] if cols else ():
                 tokens = shingle_set(words_of(t), size)
                 if len(tokens):
                     bits, half = parity_bits(tokens)
+                    thin, thin_half = thin_bits(bits, len(tokens))
                     for k, v in (("key", class_key(tokens)), ("n", len(tokens)), ("tokens", _signed(tokens)),
-                                 ("bits", bits), ("half", half)):
+                                 ("bits", bits), ("half", half), ("thin", thin), ("thin_half", thin_half)):
                         got[k].append(v)
             return got
 
         return step
 
-    return stored(_map_texts(texts, start, "key long, n long, tokens array<long>, bits array<long>, half array<long>"), "join-sets")
+    return stored(_map_texts(texts, start, "key long, n long, tokens array<long>, bits array<long>, half array<long>, "
+                                           "thin array<long>, thin_half array<long>"), "join-sets")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -531,10 +545,10 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
 
 
 def _anchored(live: DataFrame, sets: DataFrame) -> DataFrame:
-    """``live`` (token, m, key, ..) with each class's longest lists and bitmaps."""
+    """``live`` (token, m, key, ..) with each class's longest lists and thin bitmaps; ``verified`` holds the whole ones against each other."""
     anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
                                                           lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
-    maps = sets.select("key", "bits", "half").dropDuplicates(["key"])
+    maps = sets.select("key", F.col("thin").alias("bits"), F.col("thin_half").alias("half")).dropDuplicates(["key"])
     return live.join(anchors.join(maps, "key"), "key")
 
 

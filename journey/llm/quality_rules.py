@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from journey.llm.common import free_name, q, stored
+from journey.llm.common import broadcast_checked, free_name, q, stored
 
 # --- fixed values: the contract's rules and the host verdict's parameters -----
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -101,9 +101,9 @@ def apply_host_rules(df: DataFrame, text: str = "text", host: str = "source", ca
     """``carry`` columns of ``df`` with rule counts, host rate and verdict; and the names of the added columns.
 
     The rule counts are written once to the shared folder, since both the
-    host aggregate and the verdicts read them.  The join back is on the host
-    with the documents' side split by AQE where a host is hot; Spark
-    broadcasts the hosts only if their size is under its own threshold.
+    host aggregate and the verdicts read them.  The hosts are broadcast behind
+    a check of their size, so texts do not move; beyond it the join back is on
+    the host with the documents' side split by AQE where a host is hot.
     """
     carry = list(df.columns) if carry is None else carry
     names: dict[str, str] = {}
@@ -114,6 +114,7 @@ def apply_host_rules(df: DataFrame, text: str = "text", host: str = "source", ca
     other = free_name(counted.columns + [names["host_rate"]], "host_")
     rates = host_rates(counted, names["host"], names["base_failed"]).select(
         F.col("host").alias(other), F.col("host_rate").alias(names["host_rate"]))
+    rates = broadcast_checked(stored(rates, "host-rates"))
     judged = counted.join(rates, q(names["host"]).eqNullSafe(q(other)), "left").drop(other)
     verdict = ~q(names["base_failed"]) & (q(names["host_rate"]) <= host_limit)
     return judged.withColumn(names["kept"], verdict), names

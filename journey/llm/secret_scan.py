@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from journey.llm.common import free_name, map_rows, q, stored
+from journey.llm.common import broadcast_checked, free_name, map_rows, q, stored
 
 # --- fixed values: the contract's base kinds in order, then this scanner's own kinds
 KINDS = ("assign", "access", "hex", "private_key", "jwt", "provider_token")
@@ -178,6 +178,7 @@ def redact_documents(docs: DataFrame, ledger: str, path: str = "doc_id", text: s
     names = [*docs.columns]
     key, blob, spans, clean = (names.append(free_name(names, n)) or names[-1] for n in ("key", "blob", "spans", "clean"))
     hits = found.where("spans <> ''").select(F.col("blob").alias(blob), F.col("spans").alias(spans)).dropDuplicates([blob])
+    hits = broadcast_checked(stored(hits, "secret-hits"))  # few: texts do not move for them
     joined = docs.withColumn(key, F.sha2(F.coalesce(q(text).cast("string"), F.lit("")), 256)).join(hits, q(key) == q(blob), "left")
     redacted = F.pandas_udf(_redact_all, StringType())(F.when(q(spans).isNotNull(), q(text)), q(spans))
     joined = joined.withColumn(clean, redacted)
