@@ -20,3 +20,6 @@ from journey.operators.revenue import channel_roi, kpi_overview
 from journey.operators.users import user_rollup, loyalty_tiers, first_seen, first_sessions, new_session_flag, campaign_tag
 from journey.operators.stats import ab_significance, experiment_sample_size, priority_matrix
 from journey.operators.incremental import FunnelState
+from journey.operators.bins import auto_histogram, bin_widths, merge_sketches, price_cart_auto_histogram, quantile_sketches
+from journey.operators.bitmaps import abandoned_from_bitmaps, merge_bitmaps, number_sessions, numbered, product_bitmaps
+from journey.operators.sql_functions import register_functions

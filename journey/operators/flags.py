@@ -101,8 +101,8 @@ def stage_counts(events: DataFrame, spec: FunnelSpec) -> DataFrame:
     return session_flags(events, spec).agg(*flag_sums(spec))
 
 
-def funnel_rows(spec: FunnelSpec, with_rates: bool = True) -> Column:
-    """Array of per-stage structs computed from the wide counts ``c0..``.
+def funnel_rows_sql(spec: FunnelSpec, with_rates: bool = True) -> str:
+    """Array of per-stage structs computed from the wide counts ``c0..`` (SQL text).
 
     Lag, first-stage and overrides of the first row are plain column
     arithmetic on the wide row, so no window (and no single-partition sort)
@@ -118,7 +118,11 @@ def funnel_rows(spec: FunnelSpec, with_rates: bool = True) -> Column:
             f["dropoff_count"] = "CAST(NULL AS BIGINT)" if i == 0 else f"({prev} - c{i})"
             f["dropoff_rate"] = "CAST(NULL AS DOUBLE)" if i == 0 else div(f"({prev} - c{i})", prev)
         rows.append(named_struct(f))
-    return F.expr(array(rows))
+    return array(rows)
+
+
+def funnel_rows(spec: FunnelSpec, with_rates: bool = True) -> Column:
+    return F.expr(funnel_rows_sql(spec, with_rates))
 
 
 def final_conv(spec: FunnelSpec) -> Column:

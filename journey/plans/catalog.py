@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from journey import operators as op
 from journey.functions import exprs as X
-from journey.session import ensure_checkpoint_dir
+from journey.session import ensure_checkpoint_dir, save_table
 from journey.sources import schemas
 from journey.sources.bucketed import store_bucketed
 from journey.sources.checked import load_with_report
@@ -190,6 +190,48 @@ def _variant_events(t):
     return t.events.withColumn("event_properties", X.parse_variant(F.to_json("event_properties")))
 
 
+def _category_bins(t):
+    """The bin width of each category's prices and of all prices, the latter from the categories' merged sketches."""
+    ps = op.product_sessions(t.events, R.product_view, R.add_to_cart, SPEC).filter("viewed")
+    per = save_table(op.quantile_sketches(ps, "price", "category"), _scratch(t, "sketches"))
+    total = op.merge_sketches(per).withColumn("category", F.lit(None).cast("string"))
+    widths = op.bin_widths(per).unionByName(op.bin_widths(total))
+    return widths.select("category", "n", "low", "high", "bin_width")
+
+
+def _table_function(call: str):
+    """``SELECT * FROM`` a table function over views of the tables."""
+    def run(t):
+        spark, prefix = t.raw.spark, f"f_{uuid.uuid4().hex}_"
+        for name in ("sessions", "events", "orders"):
+            getattr(t, name).createOrReplaceTempView(prefix + name)
+        op.register_functions(spark, SPEC, {c: c for c in (DEVICE, SOURCE, TIER_COL)}, prefix + "sessions", prefix + "events",
+                              prefix + "orders", prefix=prefix)
+        return spark.sql(f"SELECT * FROM {prefix}{call}")
+
+    return run
+
+
+def _numbered(t):
+    """The event log with session numbers, stored."""
+    log = t.events.withColumn("day", F.to_date("event_timestamp"))
+    numbers = op.number_sessions(t.events, _scratch(t, "numbers"), SPEC)
+    return op.numbered(log, numbers, _scratch(t, "numbered"), SPEC, "event_name", "event_properties", "day")
+
+
+def _bitmap_abandoned(t):
+    """O3, Q32: distinct sessions per product from bitmaps of their numbers."""
+    bitmaps = op.product_bitmaps(_numbered(t), R.add_to_cart, R.purchase, spec=SPEC)
+    return op.abandoned_from_bitmaps(bitmaps, ABANDON_MIN_SESSIONS, ABANDON_TOP_K)
+
+
+def _daily_bitmaps(t):
+    """O3, Q32: bitmaps stored by day, merged and counted."""
+    by_day = op.product_bitmaps(_numbered(t), R.add_to_cart, R.purchase, spec=SPEC, keys=("day",))
+    days = save_table(by_day, _scratch(t, "bitmaps"))
+    return op.abandoned_from_bitmaps(op.merge_bitmaps(days), ABANDON_MIN_SESSIONS, ABANDON_TOP_K)
+
+
 def _tiered(t):
     return op.with_city_tier(t.sessions, TIER_COL, TIER1, TIER2)
 
@@ -271,6 +313,13 @@ QUERIES = {
     "a03_incremental_funnel": _q(lambda t: op.overall_funnel(_updates(t).flags(), SPEC)),
     "a03_incremental_ledger": _q(_incremental_ledger),
     "a16_time_cube": _q(lambda t: op.time_cube(t.sessions, t.orders)),
+    "a19_auto_price_bins": _q(lambda t: op.price_cart_auto_histogram(t.events, R.product_view, R.add_to_cart, SPEC)),
+    "a19_category_bin_widths": _q(_category_bins),
+    "x05_sql_overall_funnel": _q(_table_function("overall_funnel()")),
+    "x05_sql_segment_funnel": _q(_table_function(f"segment_funnel('{DEVICE}')")),
+    "x05_sql_revenue_leakage": _q(_table_function("revenue_leakage()")),
+    "o03_bitmap_abandoned": _q(_bitmap_abandoned),
+    "o03_daily_bitmaps": _q(_daily_bitmaps),
     "w05_first_sessions": _q(lambda t: op.first_sessions(t.sessions.select("session_id", "user_id", "session_date", "session_hour"))),
     "v08_variant_failure_reasons": _q(lambda t: op.failure_reasons(_variant_events(t), R.failed)),
     "v23_variant_price_histogram": _q(lambda t: op.price_cart_histogram(_variant_events(t), R.product_view, R.add_to_cart, PRICE_BIN)),

@@ -622,4 +622,34 @@ ORACLE["a16_time_cube"] = W(MERGED, f"""cu AS (SELECT session_id, order_id, gmv,
      _cube("duration", "bucket"), _cube("all", "")])
 
 
+# --- bins from the data, table functions, bitmaps -------------------------------
+
+def _width(src: str, group: str) -> str:
+    """Freedman-Diaconis widths of ``src`` (x, and ``group``) from exact quartiles, rounded to 1, 2, 5 x 10^k."""
+    return f"""qs_{src} AS (
+  SELECT {group} category, COUNT(*) AS n, MIN(x) AS low, MAX(x) AS high, quantile_disc(x, 0.75) - quantile_disc(x, 0.25) AS iqr
+  FROM {src} {'GROUP BY ALL' if group == '' else ''}),
+wr_{src} AS (
+  SELECT *, CASE WHEN n < 2 OR high = low THEN 1.0::DOUBLE WHEN iqr > 0 THEN 2.0::DOUBLE * iqr / power(n::DOUBLE, 1.0::DOUBLE / 3.0::DOUBLE)
+    ELSE (high - low) / (ceil(log2(n::DOUBLE)) + 1) END AS raw FROM qs_{src} WHERE n > 0),
+wd_{src} AS (
+  SELECT *, CASE WHEN part < sqrt(2.0::DOUBLE) THEN 1 WHEN part < sqrt(10.0::DOUBLE) THEN 2 WHEN part < sqrt(50.0::DOUBLE) THEN 5 ELSE 10 END * base
+    AS bin_width
+  FROM (SELECT *, power(10.0::DOUBLE, floor(log10(raw))) AS base, raw / power(10.0::DOUBLE, floor(log10(raw))) AS part FROM wr_{src}))"""
+
+
+PRICES = "px AS (SELECT price AS x, category, added FROM ps WHERE viewed AND price IS NOT NULL)"
+
+ORACLE["a19_auto_price_bins"] = W(PS, PRICES, _width("px", "NULL AS")) + f"""
+SELECT {RND('FLOOR(x / bin_width) * bin_width')} AS price_bin, {RND('bin_width')} AS bin_width, added, COUNT(*) AS sessions
+FROM px, (SELECT bin_width FROM wd_px) GROUP BY ALL"""
+
+ORACLE["a19_category_bin_widths"] = W(PS, PRICES, "py AS (SELECT * FROM px)", _width("px", ""), _width("py", "CAST(NULL AS VARCHAR) AS")) + union([
+    f"SELECT category, n, {RND('low')} AS low, {RND('high')} AS high, {RND('bin_width')} AS bin_width FROM wd_{s}" for s in ("px", "py")])
+
+ORACLE["x05_sql_overall_funnel"] = ORACLE["q01_overall_funnel"]
+ORACLE["x05_sql_segment_funnel"] = ORACLE["q09_segment_funnel"]
+ORACLE["x05_sql_revenue_leakage"] = ORACLE["q02_revenue_leakage"]
+ORACLE["o03_bitmap_abandoned"] = ORACLE["o03_daily_bitmaps"] = ORACLE["q32_abandoned_products"]
+
 ORACLE_SQL = {k: ORACLE[k] for k in C.QUERIES if k in ORACLE}
