@@ -35,7 +35,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-# op6: base counts from lists; the hosts' beta prior from the moments of their rates
+# op6: base counts from lists; the hosts' beta prior from the moments of their rates, the verdict from its lower limit
 RULES = r"""
 WITH split AS (
   SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -51,11 +51,13 @@ counts AS (
   FROM split s LEFT JOIN covered c ON c.doc_id = s.doc_id),
 judged AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM counts),
 hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f, sum(base_failed::INT) / count(*) AS r FROM judged GROUP BY source),
-prior AS (SELECT avg(r) AS m, CASE WHEN var_samp(r) > 0 THEN least(10000.0, greatest(2.0, avg(r) * (1 - avg(r)) / var_samp(r) - 1))
-          ELSE 2.0 END AS k FROM hosts),
-rates AS (SELECT source, (f + m * k) / (n + k) AS rate FROM hosts, prior)
+moments AS (SELECT avg(r) AS m, var_samp(r) AS v, avg(1 / n) AS c FROM hosts),
+prior AS (SELECT m, CASE WHEN v IS NULL OR c >= 1 THEN 2.0 WHEN m <= 0 OR m >= 1 OR v / (m * (1 - m)) <= c THEN 10000.0
+          ELSE least(10000.0, greatest(2.0, (1 - c) / (v / (m * (1 - m)) - c) - 1)) END::DOUBLE AS k FROM moments),
+shrunk AS (SELECT source, (f + m * k) / (n + k) AS p, n + k AS s FROM hosts, prior),
+rates AS (SELECT source, p - 2.326 * sqrt(p * (1 - p) / (s + 1)) AS low FROM shrunk)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  (NOT base_failed AND rate <= 0.9) AS kept
+  (NOT base_failed AND low <= 0.5) AS kept
 FROM judged j JOIN rates r ON r.source IS NOT DISTINCT FROM j.source
 """
 

@@ -6,11 +6,20 @@ side, so a host with a third of all rows costs nothing extra), every host's
 failure rate is shrunk with a beta prior fitted over all hosts, and the
 verdicts are joined back to the documents.
 
+The prior's strength comes from the spread of the hosts' rates without the
+part that chance gives hosts of few rows (beta-binomial moments): hosts that
+differ by chance only are all taken for the mean host.  A host is rejected
+when a document of it fails more likely than not, and surely so: when the
+lower limit of its posterior rate (mean less ``HOST_SIGMAS`` standard
+deviations) is above ``HOST_LIMIT``.  A host of a few bad documents, or one
+that is merely worse than others, keeps its clean documents.
+
 Defined cases
     null or empty text: no words, ``base_failed`` true.  Null host: one host
     of its own, joined null-safe.  Repeated rows: each is judged and counted
-    as a row.  Empty table: empty result.  Hosts without spread (one host,
-    or equal rates): the prior falls back to ``MIN_PRIOR`` pseudo-rows.
+    as a row.  Empty table: empty result.  Hosts whose spread says nothing
+    (one host, or one row each): the prior falls back to ``MIN_PRIOR``
+    pseudo-rows; no more spread than by chance: ``MAX_PRIOR``.
     Columns of the input that clash with working names are left as they are:
     working columns get free names.
 """
@@ -28,9 +37,11 @@ BLANKS = " \u0009\u000a\u000b\u000c\u000d"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: a host is rejected when its shrunk rate of rule failures is above this
-HOST_LIMIT = 0.9
-#: pseudo-rows of the prior when the hosts' rates show no spread, and its bounds
+#: a host is rejected when the lower limit of its rate of rule failures is above this
+HOST_LIMIT = 0.5
+#: standard deviations below the posterior mean: one host in a hundred by chance
+HOST_SIGMAS = 2.326
+#: bounds of the prior, in pseudo-rows
 MIN_PRIOR, MAX_PRIOR = 2.0, 10_000.0
 # ------------------------------------------------------------------------------
 
@@ -80,20 +91,34 @@ def rule_counts(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
     return d.withColumn(names["base_failed"], failed).drop(t, words, wins, hits, line_col)
 
 
+def prior_strength(mean: float | None, var: float | None, chance: float | None) -> float:
+    """Pseudo-rows of a beta prior from the mean and variance of the hosts' rates; ``chance`` is the mean of 1 / rows.
+
+    With the prior's strength s, a host's rate has the variance
+    mean (1 - mean) (1 / rows + (1 - 1 / rows) / (s + 1)).
+    """
+    if mean is None or var is None or chance is None or chance >= 1:
+        return MIN_PRIOR
+    if not 0 < mean < 1:
+        return MAX_PRIOR
+    spread = (var / (mean * (1 - mean)) - chance) / (1 - chance)
+    return min(MAX_PRIOR, max(MIN_PRIOR, 1 / spread - 1)) if spread > 0 else MAX_PRIOR
+
+
 def host_rates(judged: DataFrame, host: str, failed: str) -> DataFrame:
-    """Per host: rows, failures and the failure rate shrunk with an empirical beta prior.
+    """Per host: rows, failures, the failure rate shrunk with an empirical beta prior, and its lower limit.
 
     The prior's mean is the mean of the hosts' rates, its strength comes
-    from their variance (method of moments), as one aggregate over the hosts.
+    from their moments, as one aggregate over the hosts.
     """
     hosts = judged.groupBy(q(host).alias("host")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(q(failed).cast("long")).alias("fails"))
     rate = F.col("fails") / F.col("rows")
-    mean, var = hosts.agg(F.avg(rate), F.var_samp(rate)).first()  # two numbers
-    mean = mean or 0.0
-    strength = min(MAX_PRIOR, max(MIN_PRIOR, mean * (1 - mean) / var - 1)) if var else MIN_PRIOR
-    shrunk = (F.col("fails") + mean * strength) / (F.col("rows") + strength)
-    return hosts.select("host", "rows", "fails", shrunk.alias("host_rate"))
+    mean, var, chance = hosts.agg(F.avg(rate), F.var_samp(rate), F.avg(1 / F.col("rows"))).first()  # three numbers
+    strength = prior_strength(mean, var, chance)
+    shrunk = (F.col("fails") + (mean or 0.0) * strength) / (F.col("rows") + strength)
+    sd = F.sqrt(shrunk * (1 - shrunk) / (F.col("rows") + strength + 1))
+    return hosts.select("host", "rows", "fails", shrunk.alias("host_rate"), (shrunk - HOST_SIGMAS * sd).alias("host_low"))
 
 
 def apply_host_rules(df: DataFrame, text: str = "text", host: str = "source", carry: list[str] | None = None,
@@ -107,16 +132,16 @@ def apply_host_rules(df: DataFrame, text: str = "text", host: str = "source", ca
     """
     carry = list(df.columns) if carry is None else carry
     names: dict[str, str] = {}
-    for m in (*METRICS, "host", "host_rate", "kept"):
+    for m in (*METRICS, "host", "host_rate", "host_low", "kept"):
         names[m] = free_name(carry + list(names.values()) + list(df.columns), m)
     counted = rule_counts(df.withColumn(names["host"], q(host)), text, {m: names[m] for m in METRICS})
     counted = stored(counted.select(*[q(c) for c in (*carry, names["host"], *(names[m] for m in METRICS))]), "rules")
-    other = free_name(counted.columns + [names["host_rate"]], "host_")
+    other = free_name(counted.columns + [names["host_rate"], names["host_low"]], "host_")
     rates = host_rates(counted, names["host"], names["base_failed"]).select(
-        F.col("host").alias(other), F.col("host_rate").alias(names["host_rate"]))
+        F.col("host").alias(other), *[F.col(c).alias(names[c]) for c in ("host_rate", "host_low")])
     rates = broadcast_checked(stored(rates, "host-rates"))
     judged = counted.join(rates, q(names["host"]).eqNullSafe(q(other)), "left").drop(other)
-    verdict = ~q(names["base_failed"]) & (q(names["host_rate"]) <= host_limit)
+    verdict = ~q(names["base_failed"]) & (q(names["host_low"]) <= host_limit)
     return judged.withColumn(names["kept"], verdict), names
 
 

@@ -136,3 +136,22 @@ def chat(convs):
         loss = "".join(x for _, _, r, x in rows if r == "assistant")
         out[c] = (len(rows), sha("".join(f"{r}\n{x}\n" for _, _, r, x in rows)), len(loss), sha(loss))
     return out
+
+
+def bad_hosts(hosts):
+    """Hosts whose failure rate, as a beta posterior, lies above one half but for one case in a hundred."""
+    rates = [sum(x) / len(x) for x in hosts.values()]
+    mean, chance = sum(rates) / len(rates), sum(1 / len(x) for x in hosts.values()) / len(rates)
+    if len(rates) < 2 or chance == 1:
+        strength = 2.0
+    else:
+        var = sum((r - mean) ** 2 for r in rates) / (len(rates) - 1)
+        over = var - chance * mean * (1 - mean)  # without what chance alone gives
+        share = over / ((1 - chance) * mean * (1 - mean)) if over > 0 else 0.0
+        strength = min(1e4, max(2.0, 1 / share - 1)) if share else 1e4
+    bad = set()
+    for host, x in hosts.items():
+        a, b = sum(x) + mean * strength, len(x) - sum(x) + (1 - mean) * strength
+        if a / (a + b) - 2.326 * (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5 > 0.5:
+            bad.add(host)
+    return bad
