@@ -165,7 +165,8 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     learn = learn.where(fold(F.col("doc_id"), folds) != held_out).groupBy("doc_id").agg(
         (F.avg("y") >= 0.5).cast("double").alias("y"))
     learn = learn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LEARN)
-    got = stats.join(F.broadcast(learn), "doc_id").select("x", "y").toPandas()  # at most MAX_LEARN ids
+    # one row for an id however many rows repeat it: at most MAX_LEARN rows
+    got = stats.join(F.broadcast(learn), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.first("y").alias("y")).toPandas()
     x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, len(STATS)))
     order = np.lexsort(x.T) if len(x) else np.zeros(0, int)  # the same trees whatever order the rows came in
     arrays = grow(x[order], got["y"].to_numpy(float)[order]).arrays()

@@ -114,12 +114,14 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str
     rest = rest.select("id", F.lit(False).alias("p")).distinct().orderBy(*order).limit(MAX_UNLABELLED)
     picked = F.broadcast(sure.unionByName(rest))  # at most MAX_POSITIVE + MAX_UNLABELLED ids
     sample = docs.select(q(doc_id).alias("id"), q(text).cast("string").alias("text_")).join(picked, "id")
-    sample = sample.select("p", "text_")
+    sample = sample.select(F.col("id").cast("string").alias("id"), "p", "text_")
 
     def rows(cols):
-        return {"p": cols["p"], "f": [features_of(t).tobytes() for t in cols["text_"]]}
+        return {"id": cols["id"], "p": cols["p"], "f": [features_of(t).tobytes() for t in cols["text_"]]}
 
-    got = map_rows(sample, rows, "p boolean, f binary").toPandas()
+    # one row for an id however many rows repeat it, so the bound on ids is a bound on rows; the order is fixed too
+    got = map_rows(sample, rows, "id string, p boolean, f binary").groupBy("id", "p").agg(F.min("f").alias("f")).toPandas()
+    got = got.sort_values(["id", "p"], ignore_index=True)
     positive = got["p"].to_numpy(bool) if len(got) else np.zeros(0, bool)
     if not positive.any() or positive.all():
         return {}, float(np.log((prior + 1e-9) / (1 - prior + 1e-9)))

@@ -150,6 +150,46 @@ def test_a_bad_host_takes_its_documents_along(spark):
     assert 0 < rates["ok1"]["host_rate"] < 0.2 and rates["bad0"]["host_rate"] < 0.96
 
 
+def test_a_host_is_rejected_only_when_surely_more_bad_than_good(spark):
+    sizes = {"few": (3, 3), "unsure": (30, 18), "sure": (2000, 1200), "worse": (2000, 800), "alone": (1, 1)}
+    sizes |= {f"ok{i}": (200, 20) for i in range(20)}
+    good, bad = " ".join(prose(1, 200)), "short"
+    rows = [(bad if i < fails else good, host) for host, (n, fails) in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate([*rows, (good, None)])], "doc_id long, text string, source string")
+    kept = quality_rules.keep_documents(docs).groupBy("source").count().collect()
+    want = {h: n - fails for h, (n, fails) in sizes.items() if n > fails and h != "sure"}
+    assert {r["source"]: r["count"] for r in kept} == {**want, None: 1}
+
+
+@pytest.mark.parametrize("strength", [5, 40])
+def test_prior_leaves_out_the_spread_by_chance(strength):
+    rng = np.random.default_rng(7)
+    n = rng.integers(2, 12, 20_000)
+    rate = rng.binomial(n, rng.beta(0.2 * strength, 0.8 * strength, len(n))) / n
+    got = quality_rules.prior_strength(rate.mean(), rate.var(ddof=1), (1 / n).mean())
+    assert 0.8 * strength < got < 1.25 * strength
+    raw = rate.mean() * (1 - rate.mean()) / rate.var(ddof=1) - 1
+    assert raw < 0.7 * strength
+
+
+def test_prior_without_spread():
+    lowest, highest = quality_rules.MIN_PRIOR, quality_rules.MAX_PRIOR
+    assert quality_rules.prior_strength(None, None, None) == lowest  # no host
+    assert quality_rules.prior_strength(0.3, None, 0.1) == lowest  # one host
+    assert quality_rules.prior_strength(0.3, 0.2, 1.0) == lowest  # one row each
+    assert quality_rules.prior_strength(0.3, 0.001, 0.1) == highest  # less than by chance
+    assert quality_rules.prior_strength(0.0, 0.0, 0.1) == quality_rules.prior_strength(1.0, 0.0, 0.1) == highest
+
+
+def test_rows_that_repeat_an_id_weigh_as_one(spark):
+    texts = [(i, f"{'nasty words' if i % 3 == 0 else 'kind words'} {' '.join(prose(i, 30))}") for i in range(120)]
+    plain, many = documents(spark, texts), documents(spark, texts + [texts[i] for i in (0, 1, 3) for _ in range(300)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 2)) for i in range(120)], "doc_id long, toxic int, quality int")
+    for model in (toxicity, quality_model):
+        one, all_ = ({(r["doc_id"], round(r["score"], 9)) for r in model.score(d, labels).collect()} for d in (plain, many))
+        assert one == all_ and len(one) == 120
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
