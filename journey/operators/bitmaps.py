@@ -9,9 +9,9 @@ buckets.  Counts are exact.
 
 Bitmaps pay where a bucket holds many sessions of a product.  For a long tail
 of rarely seen products each row is a nearly empty bitmap: small in the
-shuffle, which compresses it, but 4 KB in the aggregate's memory (Spark sorts
-instead of hashing there beyond a few keys).  ``abandoned_products`` is the
-better choice for such data.
+shuffle, which compresses it, but 4 KB before.  Spark builds bitmaps with a
+sort-based aggregate: a task sorts its events by group and holds one bitmap at
+a time.  ``abandoned_products`` is the better choice for long tails.
 
 Bitmaps of parts of the log, days for instance, can be stored and merged:
 a session that adds a product on two days counts once.

@@ -60,8 +60,8 @@ def main():
         "scan of their own, and scalar subqueries such as the average order value scan the purchase events again (AQE",
         "reuses identical shuffle stages at run time). Events are shuffled only after a partial (map-side) aggregate;",
         "joins shuffle rows already reduced to one per session or user. The one window is a user's first session date.",
-        "Sort aggregates have a string or struct buffer; over raw events there are none (tests/test_plans.py), they run",
-        "on rows already reduced per session, user or customer. No query plans a cartesian product or a nested-loop",
+        "Sort aggregates have a string or struct buffer; over raw events only the bitmap queries (o03) have one, the others",
+        "run on rows already reduced per session, user or customer. No query plans a cartesian product or a nested-loop",
         "join.",
         "",
         "| query | " + " | ".join(cols) + " |",
