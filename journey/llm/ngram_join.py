@@ -10,7 +10,9 @@ chance phrases and shared lines rarely stand in a prefix.  A candidate pair must
 the second and the third order, as many as ``least_shared`` says two similar
 sets always do; they are counted on 16-bit fingerprints, with what a set loses
 to equal fingerprints allowed for, so no pair is lost.  Only the classes of
-pairs that pass all three get their texts read again and compared.
+candidate pairs and of long lists get their texts read again, for their
+fingerprints, bitmaps and sets; only the sets of pairs that pass all three orders
+and the bitmaps are compared.
 
 Where only the components are asked for, a long list of classes that share a
 token is not expanded into all pairs.  Lists of at most ``SMALL`` classes are.  In
@@ -94,7 +96,7 @@ def shingle_set(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 
 def class_key(tokens: np.ndarray) -> int:
-    """64-bit name of a set; used together with the set's size."""
+    """64-bit name of a set: among 10^9 different sets a collision has a chance of about one in forty."""
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
@@ -118,8 +120,8 @@ def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == keys
 
 
-def parity_bits(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of the bitmap's places an odd number of tokens falls on, as 64-bit words; and folded to half the length.
+def parity_bits(tokens: np.ndarray) -> np.ndarray:
+    """Which of the bitmap's places an odd number of tokens falls on, as 64-bit words.
 
     A token in one of two sets flips one bit, so bitmaps differ in at most as
     many bits as the sets differ in tokens, also after folding.
@@ -127,8 +129,7 @@ def parity_bits(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = min(MAX_BITS, max(128, 1 << int(8 * len(tokens) - 1).bit_length()))
     places = (mix(tokens ^ np.uint64(SEEDS[3])) & np.uint64(size - 1)).astype(np.int64)
     odd = (np.bincount(places, minlength=size) & 1).astype(np.uint8)
-    whole = np.packbits(odd).view(np.int64)
-    return whole, whole[:len(whole) // 2] ^ whole[len(whole) // 2:]
+    return np.packbits(odd).view(np.int64)
 
 
 def thin_bits(whole: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -194,9 +195,8 @@ def _signed(tokens: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
-def scan(df: DataFrame, size: int, percent: int) -> DataFrame:
-    """Stored rows: (id, key, n) of every text, with both fingerprint arrays once for each class and task,
-    and (token, n) of tokens, and (word, n) of words, frequent within a task."""
+def scan(df: DataFrame, size: int) -> DataFrame:
+    """Stored rows: (id, key, n) of every text, and (token, n) of tokens, and (word, n) of words, frequent within a task."""
     kind = df.schema["id"].dataType.simpleString()
 
     def start():
@@ -213,15 +213,13 @@ def scan(df: DataFrame, size: int, percent: int) -> DataFrame:
                 got[k].extend(fill.get(k) or [None] * int(many.sum()))
 
         def step(cols):
-            got = {"id": [], "key": [], "n": [], "second": [], "third": [], "token": [], "word": []}
+            got = {"id": [], "key": [], "n": [], "token": [], "word": []}
             for i, t in zip(cols["id"], cols["text_"], strict=True) if cols else ():
                 words = words_of(t)
                 tokens = shingle_set(words, size)
                 key = class_key(tokens) if len(tokens) else None
                 new = key is not None and key not in seen
-                for k, v in (("id", i), ("key", key), ("n", len(tokens)), ("token", None), ("word", None),
-                             ("second", prefix_by_hash(tokens, 1, percent) if new else None),
-                             ("third", prefix_by_hash(tokens, 2, percent) if new else None)):
+                for k, v in (("id", i), ("key", key), ("n", len(tokens)), ("token", None), ("word", None)):
                     got[k].append(v)
                 if new:
                     seen.add(key)
@@ -234,7 +232,7 @@ def scan(df: DataFrame, size: int, percent: int) -> DataFrame:
 
         return step
 
-    ddl = f"id {kind}, key long, n long, second array<smallint>, third array<smallint>, token long, word long"
+    ddl = f"id {kind}, key long, n long, token long, word long"
     return stored(_map_texts(df, start, ddl), "join-scan")
 
 
@@ -353,9 +351,9 @@ def least_shared(a: Column, b: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), overlap - F.greatest(_share(a, percent), _share(b, percent)) + 1)
 
 
-def passing(pairs: DataFrame, filters: DataFrame, percent: int) -> DataFrame:
+def passing(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that share enough prefix tokens under the second and the third order as well; stored."""
-    side = lambda s: filters.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "second", "third")])
+    side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "second", "third")])
     both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
 
     def met(order):
@@ -369,8 +367,8 @@ def passing(pairs: DataFrame, filters: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; stored.
 
-    Parity bitmaps, an eighth of the sets' size, go first; only the sets of
-    pairs that they cannot tell apart are shuffled.
+    Parity bitmaps of one or two bits a token go first; only the sets of pairs
+    that they cannot tell apart are shuffled.
     """
     bitmap = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "bits", "half")])
     near = pairs.join(bitmap("l"), F.col("a") == F.col("key_l")).join(bitmap("r"), F.col("b") == F.col("key_r"))
@@ -385,28 +383,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.where(enough).select("a", "b"), "join-links")
 
 
-def _sets(df: DataFrame, names: DataFrame, size: int) -> DataFrame:
-    """Stored (key, n, tokens, bits, half, thin, thin_half) of the texts whose id is among ``names``."""
+def _sets(df: DataFrame, names: DataFrame, size: int, percent: int) -> DataFrame:
+    """Stored (key, n, tokens, second, third, bits, half) of the texts whose id is among ``names``, one row a class.
+
+    ``second`` and ``third`` are the prefixes' fingerprints, ``bits`` and ``half`` the thin parity bitmaps.
+    """
     texts = df.withColumn("name", F.coalesce(F.col("id").cast("string"), F.lit("")))
     texts = join_checked(texts, names, "name", "left_semi").select("text_")
 
     def start():
+        seen: set[int] = set()
+
         def step(cols):
-            got = {"key": [], "n": [], "tokens": [], "bits": [], "half": [], "thin": [], "thin_half": []}
+            got = {"key": [], "n": [], "tokens": [], "second": [], "third": [], "bits": [], "half": []}
             for t in cols["text_"] if cols else ():
                 tokens = shingle_set(words_of(t), size)
-                if len(tokens):
-                    bits, half = parity_bits(tokens)
-                    thin, thin_half = thin_bits(bits, len(tokens))
-                    for k, v in (("key", class_key(tokens)), ("n", len(tokens)), ("tokens", _signed(tokens)),
-                                 ("bits", bits), ("half", half), ("thin", thin), ("thin_half", thin_half)):
-                        got[k].append(v)
+                key = class_key(tokens) if len(tokens) else None
+                if key is None or key in seen:
+                    continue
+                seen.add(key)
+                bits, half = thin_bits(parity_bits(tokens), len(tokens))
+                for k, v in (("key", key), ("n", len(tokens)), ("tokens", _signed(tokens)),
+                             ("second", prefix_by_hash(tokens, 1, percent)), ("third", prefix_by_hash(tokens, 2, percent)),
+                             ("bits", bits), ("half", half)):
+                    got[k].append(v)
             return got
 
         return step
 
-    return stored(_map_texts(texts, start, "key long, n long, tokens array<long>, bits array<long>, half array<long>, "
-                                           "thin array<long>, thin_half array<long>"), "join-sets")
+    sets = stored(_map_texts(texts, start, "key long, n long, tokens array<long>, second array<smallint>, "
+                                           "third array<smallint>, bits array<long>, half array<long>"), "join-sets")
+    # a class is there twice only if rows in several tasks repeat both its name's id and its text
+    if sets.groupBy("key").count().where("count > 1").isEmpty():
+        return sets
+    return stored(sets.dropDuplicates(["key"]), "join-sets")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -417,7 +427,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     df = docs.select(q(doc_id).alias("id"), q(text).cast("string").cast("binary").alias("text_"))
-    found = scan(df, size, percent)
+    found = scan(df, size)
     rows = found.where("token is null and word is null").select("id", "key", "n")
     classes = stored(rows.where("key is not null").groupBy("key").agg(
         F.min("id").alias("low"), F.min(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("name")), "join-classes")
@@ -430,8 +440,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tops = pivots.groupBy("token").agg(F.min("p").alias("top"))
     across = pivots.join(tops, "token").where(_close(F.col("p.other_n"), F.col("top.other_n"), percent))
     across = across.where("p.other <> top.other").select(*_pair(F.col("p.other"), F.col("top.other")))
-    filters = stored(found.where("second is not null").select("key", "n", "second", "third").dropDuplicates(["key"]), "join-filters")
-    pairs = passing(pairs.unionByName(across).distinct(), filters, percent)
+    pairs = stored(pairs.unionByName(across).distinct(), "join-candidates")
     members = rows_of.where("long").select("key")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(members).distinct()
     names = stored(classes.join(wanted, "key", "left_semi").select("name").distinct(), "join-names")
@@ -439,12 +448,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         comps = spark.createDataFrame([], "node long, comp long")
         linked = spark.createDataFrame([], "a long, b long")
     else:
-        sets = _sets(df, names, size)
+        sets = _sets(df, names, size, percent)
         long_lists = rows_of.where("long").select("token", "key", "n").distinct()
-        linked = verified(pairs, sets, percent)
-        comps = _merge(long_lists, linked, filters, sets, percent)
+        linked = verified(passing(pairs, sets, percent), sets, percent)
+        comps = _merge(long_lists, linked, sets, percent)
         if links:
-            linked = linked.unionByName(_within(long_lists, filters, sets, percent)).distinct()
+            linked = linked.unionByName(_within(long_lists, sets, percent)).distinct()
     named = classes.join(comps.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "low", F.coalesce("comp", "key").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low").alias("component_id"))
@@ -497,7 +506,7 @@ def _first_order(found: DataFrame) -> FirstOrder:
                       1 + np.log2(np.maximum(counts, 1)).astype(np.int64))
 
 
-def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _merge(long_lists: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components (node, comp) of ``links`` and of all further links between members of a long list."""
     last, turn = False, 0
     while True:
@@ -525,7 +534,7 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
         probe = long.where("comp <> main").join(pivots, "token").select(
             "key", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
         probe = probe.where(_close(F.col("n"), F.col("p.n"), percent)).select(*_pair(F.col("key"), F.col("p.key")))
-        probe = passing(probe.distinct(), filters, percent)
+        probe = passing(probe.distinct(), sets, percent)
         new = verified(probe, sets, percent)
         links = stored(links.unionByName(new), "join-links")
         last = new.count() * WORTH < probe.count()  # further pivots would mostly miss
@@ -538,18 +547,17 @@ def _merge(long_lists: DataFrame, links: DataFrame, filters: DataFrame, sets: Da
     wanted = (F.col("comp_l") != F.col("comp_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & once & (
         _in_anchor()) & _near_bits(percent)
     rest = left.join(right, (F.col("token") == F.col("token_r")) & wanted)
-    rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters, percent)
+    rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), sets, percent)
     if rest.isEmpty():
         return comps
     return connected_components(links.unionByName(verified(rest, sets, percent)))
 
 
 def _anchored(live: DataFrame, sets: DataFrame) -> DataFrame:
-    """``live`` (token, m, key, ..) with each class's longest lists and thin bitmaps; ``verified`` holds the whole ones against each other."""
+    """``live`` (token, m, key, ..) with each class's longest lists and bitmaps."""
     anchors = live.groupBy("key").agg(F.slice(F.transform(F.sort_array(F.collect_set(F.struct("m", "token")), False),
                                                           lambda x: x["token"]), 1, ANCHORS).alias("anchors"))
-    maps = sets.select("key", F.col("thin").alias("bits"), F.col("thin_half").alias("half")).dropDuplicates(["key"])
-    return live.join(anchors.join(maps, "key"), "key")
+    return live.join(anchors.join(sets.select("key", "bits", "half"), "key"), "key")
 
 
 def _in_anchor() -> Column:
@@ -558,7 +566,7 @@ def _in_anchor() -> Column:
     return (F.size(common) == 0) | (F.array_max(common) == F.col("token"))
 
 
-def _within(long_lists: DataFrame, filters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _within(long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The linked pairs (a, b) of all long lists, whatever component they are in; each list is dealt out by its length."""
     count = long_lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
     live = stored(_anchored(long_lists.join(count, "token"), sets), "join-within")
@@ -570,7 +578,7 @@ def _within(long_lists: DataFrame, filters: DataFrame, sets: DataFrame, percent:
                         *[F.col(c).alias(f"{c}_r") for c in carried])
     wanted = (F.col("key_l") < F.col("key_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & _in_anchor() & _near_bits(percent)
     near = left.join(right, (F.col("token") == F.col("token_r")) & (F.col("part") == F.col("part_r")) & wanted)
-    return verified(passing(near.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), filters, percent), sets, percent)
+    return verified(passing(near.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), sets, percent), sets, percent)
 
 
 def _near_bits(percent: int) -> Column:

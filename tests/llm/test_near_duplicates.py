@@ -137,7 +137,7 @@ def test_thin_bitmaps_differ_in_no_more_bits_than_the_sets_in_tokens():
         for other in (n, int(n * 0.9), int(n * 0.86) + 1):
             a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
             b = np.unique(np.concatenate([a[:other], rng.integers(0, 1 << 63, n // 20, dtype=np.uint64)]))
-            (x, x_half), (y, y_half) = (ngram_join.thin_bits(ngram_join.parity_bits(t)[0], len(t)) for t in (a, b))
+            (x, x_half), (y, y_half) = (ngram_join.thin_bits(ngram_join.parity_bits(t), len(t)) for t in (a, b))
             if len(x) != len(y):
                 x, y = (x_half, y) if len(x) > len(y) else (x, y_half)
             assert len(x) == len(y) and len(x) <= max(1, 2 * n // 64 + 1)
