@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 
 from journey import operators as op
 from journey.session import save_table
-from journey.sources.io import CSV_OPTIONS, Tables, dataset_summary, load_tables, write_csv, write_parquet
+from journey.sources import schemas
+from journey.sources.io import Tables, dataset_summary, load_tables, read_csv, write_csv, write_parquet
 from journey.spec import PRESETS, SCRIPT_ROLES, WAREHOUSE_COLUMNS, WAREHOUSE_ROLES, Columns, FunnelSpec, Roles
 
 # --- fixed values: segments, devices and A/B pairs of the original analyses --
@@ -123,8 +124,8 @@ def run(spark, tables_dir: str, out_dir: str, fmt: str = "csv", preset: str = "s
         out_format: str = "csv", only: list[str] | None = None, effort: dict[str, int] | None = None,
         work_dir: str | None = None) -> list[str]:
     if preset == "warehouse":
-        read = lambda n: spark.read.parquet(f"{tables_dir}/{n}.parquet") if fmt == "parquet" else spark.read.options(
-            **CSV_OPTIONS).csv(f"{tables_dir}/{n}.csv")
+        read = lambda n: spark.read.parquet(f"{tables_dir}/{n}.parquet") if fmt == "parquet" else read_csv(
+            spark, f"{tables_dir}/{n}.csv", schemas.WAREHOUSE[n])
         t = Tables(read("sessions"), read("events"), read("orders"))
         spec, roles = PRESETS[preset], WAREHOUSE_ROLES
     else:

@@ -71,3 +71,29 @@ USERS = T.StructType(
 )
 
 BY_NAME = {"sessions": SESSIONS, "events": EVENTS, "orders": ORDERS, "users": USERS}
+
+# The warehouse tables: the columns that its five analyses read; a file may have more.
+WAREHOUSE = {
+    "sessions": T.StructType(
+        [
+            T.StructField("session_id", T.StringType()),
+            T.StructField("device_type", T.StringType()),
+            T.StructField("traffic_source", T.StringType()),
+        ]
+    ),
+    "events": T.StructType(
+        [
+            T.StructField("session_id", T.StringType()),
+            T.StructField("event_name", T.StringType()),
+            T.StructField("timestamp", T.TimestampNTZType()),
+            T.StructField("product_id", T.StringType()),
+            T.StructField("category", T.StringType()),
+        ]
+    ),
+    "orders": T.StructType(
+        [
+            T.StructField("session_id", T.StringType()),
+            T.StructField("order_value", T.DoubleType()),
+        ]
+    ),
+}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from journey import operators as op
@@ -63,3 +64,40 @@ def test_warehouse_tables_run_as_the_sql_expects_them(spark, fx):
         (None, 1, 0, 0), ("desktop", 2, 2, 1), ("mobile", 2, 1, 1)]
     assert read("wide_funnel").first().sessions_with_page_view == 6  # the events without a session id are one group
     assert read("abandoned_products").count() == 0  # more than 50 sessions are asked for
+
+
+WAREHOUSE_CSV = {
+    "sessions": 'traffic_source,session_id,device_type\ndirect,s1,mobile\n"email, own",s2,desktop\n',
+    "events": 'event_id,timestamp,session_id,event_name,category,product_id,note\n'
+              '1,2025-03-01 10:00:00,s1,page_view,,,"{""a"": ""x, y""}"\n'
+              '2,2025-03-01 10:05:00,s1,add_to_cart,"Home, Garden",p1,\n'
+              '3,2025-03-01 10:30:00,s1,purchase,"Home, Garden",p1,\n'
+              '4,2025-03-01 11:00:00,s2,page_view,,,\n',
+    "orders": 'order_value,session_id\n{amount},s1\n',
+}
+
+
+def write_warehouse(amount):
+    d = tempfile.mkdtemp(prefix="journey-report-", dir=os.environ.get("TMPDIR", "/tmp"))
+    for name, text in WAREHOUSE_CSV.items():
+        with open(os.path.join(d, f"{name}.csv"), "w") as f:
+            f.write(text.replace("{amount}", amount))
+    return d
+
+
+def test_warehouse_csv_is_read_by_declared_types_and_header_names(spark):
+    d = write_warehouse("250.5")
+    wanted = ["time_to_purchase", "channel_roi_traffic_source", "wide_funnel"]
+    assert sorted(report.run(spark, d, os.path.join(d, "out"), "csv", "warehouse", "parquet", wanted)) == sorted(wanted)
+    read = lambda n: spark.read.parquet(os.path.join(d, "out", n))
+    assert read("time_to_purchase").first()[0] == 30.0
+    roi = read("channel_roi_traffic_source")
+    assert dict(roi.dtypes)["total_revenue"] == "double"
+    assert rows(roi, "traffic_source", "total_revenue") == [("direct", 250.5), ("email, own", 0.0)]
+    assert read("wide_funnel").first().sessions_with_page_view == 2
+
+
+def test_warehouse_csv_with_a_value_of_another_type_fails(spark):
+    d = write_warehouse("many")
+    with pytest.raises(Exception, match="(?i)malformed|many"):
+        report.run(spark, d, os.path.join(d, "out"), "csv", "warehouse", "parquet", ["channel_roi_device_type"])
