@@ -11,6 +11,13 @@ Ranks come from ``SALTS`` buckets per length, so a length that a third of all
 documents share is ranked by many tasks; bucket offsets are a table of at most
 ``CAPACITY * SALTS`` rows, the only thing broadcast besides the patterns.
 
+The patterns have a fixed bound whatever the number of documents.  Placing a
+length adds three at most: one by a split, one of packs full of the length
+and one of a pack with the rest.  The different lengths of a pattern sum to at most
+``CAPACITY`` (C), so there are fewer than sqrt(2 C) of them, and a length stands
+in a pattern twice at most.  That is below 6 C sqrt(2 C) slots of 32 bytes, 71 MB
+for 4096; hard histograms give about 13,000 slots (0.4 MB).
+
 Defined cases
     null or empty text: one piece holding the end id.  Repeated rows: packed
     each.  Null ids: packed, id null.  Empty table: empty result.

@@ -118,6 +118,20 @@ def test_pack_histogram_places_every_piece(counts):
     assert placed == counts
 
 
+@given(st.dictionaries(st.integers(1, 256), st.integers(1, 10**12), max_size=256))
+def test_patterns_keep_their_bound_however_many_pieces_there_are(counts):
+    patterns = packing.pack_histogram(counts, 256)
+    assert len(patterns) <= 3 * len(counts)
+    slots = packing.slots_of(patterns)
+    assert sum(map(len, slots.values())) <= 3 * len(counts) * 2 * (2 * 256) ** 0.5
+
+
+@pytest.mark.parametrize("count", [lambda n: 10**9, lambda n: 10**9 // n, lambda n: 10 ** int(9 * (1 - n / 4096)) + n])
+def test_patterns_of_every_length_stay_small(count):
+    slots = packing.slots_of(packing.pack_histogram({n: count(n) for n in range(1, 4097)}))
+    assert sum(s.nbytes for s in slots.values()) < 71 << 20
+
+
 def test_other_tokenizer_files_are_encoded_as_a_whole():
     e = packing.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert not e.by_word
