@@ -5,10 +5,11 @@ table over blocks of two words tells how far the window's end may jump; where
 the shift is zero, a bucket keyed by a hash of the last words selects the
 test strings, and direct comparison of all words confirms an occurrence.
 
-The benchmark is cut into blocks of at most ``BLOCK`` windows; each block is
-read to the driver, compiled and sent to the tasks, so what is broadcast has
-a fixed bound however many items there are.  All blocks search every
-document; their hits are united per row.
+The benchmark is cut into blocks of at most ``BLOCK`` windows.  Each block is
+read to the driver, sent to the tasks, compiled once per task and
+released after its pass over all documents, so what the driver and a worker hold at a
+time has a fixed bound however many items there are.  The passes' hits are
+stored tables, united per row.
 
 Defined cases
     null or empty text: no words, never contaminated.  Null, empty or
@@ -122,38 +123,53 @@ def search(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_tex
     """Carried columns, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` per row.
 
     With one block (the usual case) a row is finished in the task that reads
-    it.  With more, each block's pass adds its hits to the rows and the last
-    one counts, so that text and hits stay in their partition: no shuffle.
+    it, without a shuffle.  With more, the rows are numbered and stored, and each
+    block's pass stores the rows it hits.
     """
     table, blocks = pattern_table(items, item_id, item_text, block)
-    carried = docs.select(*[q(c) for c in carry])
-    types = ", ".join(f"`c{i}` {f.dataType.simpleString()}" for i, f in enumerate(carried.schema))
     keys = [f"c{i}" for i in range(len(carry))]
-    sc = docs.sparkSession.sparkContext
-    loads = []
-    for b in range(blocks):
-        found: dict[bytes, list[str]] = {}
-        for r in table.where(F.col("block") == b).select("window", "item").collect():
-            found.setdefault(bytes(r["window"]), []).append(r["item"])
-        loads.append(sc.broadcast({tuple(w.split(b" ")): tuple(i) for w, i in found.items()}))
-    machines: dict[int, WuManber] = {}
+    picked = docs.select(*[q(c).alias(k) for c, k in zip(carry, keys, strict=True)],
+                         q(text).cast("string").alias("text_"))
+    judge = _judge if blocks == 1 else _judge_by_blocks
+    return judge(picked, keys, table, blocks).select(
+        *[F.col(k).alias(c) for c, k in zip(carry, keys, strict=True)], "n_words", "n_hit", "n_items", "items_sha256",
+        "contaminated")
+
+
+def _load(table: DataFrame, block: int):
+    """Broadcast of one block: the items of each window."""
+    found: dict[bytes, list[str]] = {}
+    for r in table.where(F.col("block") == block).select("window", "item").collect():
+        found.setdefault(bytes(r["window"]), []).append(r["item"])
+    return table.sparkSession.sparkContext.broadcast({tuple(w.split(b" ")): tuple(i) for w, i in found.items()})
+
+
+def _finder(load):
+    """``find(words)``: the places hit and the items found; the block is compiled at the first call in a task."""
+    machine: list[WuManber] = []
+
+    def find(words: list[bytes]) -> tuple[set[int], set[str]]:
+        if not machine:
+            machine.append(WuManber(load.value))
+        hit: set[int] = set()
+        ids: set[str] = set()
+        for start, p in machine[0].find(words):
+            hit.update(range(start, start + len(p)))
+            ids.update(load.value[p])
+        return hit, ids
+
+    return find
+
+
+def _judge(picked: DataFrame, keys: list[str], table: DataFrame, blocks: int) -> DataFrame:
+    find = _finder(_load(table, 0))
 
     def rows(cols):
         got = {k: cols[k] for k in keys} | {k: [] for k in (
             "n_words", "n_hit", "n_items", "items_sha256", "contaminated")}
-        texts = [words_of(t) for t in cols["text_"]]
-        hit: list[set[int]] = [set() for _ in texts]
-        items_of: list[set[str]] = [set() for _ in texts]
-        for b, load in enumerate(loads):
-            if b not in machines:
-                if len(machines) > 1:  # at most two compiled blocks in a worker
-                    machines.clear()
-                machines[b] = WuManber(load.value)
-            for i, words in enumerate(texts):
-                for start, p in machines[b].find(words):
-                    hit[i].update(range(start, start + len(p)))
-                    items_of[i].update(load.value[p])
-        for words, h, ids in zip(texts, hit, items_of, strict=True):
+        for t in cols["text_"]:
+            words = words_of(t)
+            h, ids = find(words)
             got["n_words"].append(len(words))
             got["n_hit"].append(len(h))
             got["n_items"].append(len(ids))
@@ -161,12 +177,44 @@ def search(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_tex
             got["contaminated"].append(bool(h) and MIN_SHARE * len(h) >= len(words))
         return got
 
-    picked = docs.select(*[q(c).alias(k) for c, k in zip(carry, keys, strict=True)],
-                         q(text).cast("string").alias("text_"))
-    out = map_rows(picked, rows, types + ", n_words long, n_hit long, n_items long, items_sha256 string, "
-                                         "contaminated boolean")
-    return out.select(*[F.col(k).alias(c) for c, k in zip(carry, keys, strict=True)], "n_words", "n_hit", "n_items",
-                      "items_sha256", "contaminated")
+    types = "".join(f"`{k}` {picked.schema[k].dataType.simpleString()}, " for k in keys)
+    return map_rows(picked, rows, types + "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def _judge_by_blocks(picked: DataFrame, keys: list[str], table: DataFrame, blocks: int) -> DataFrame:
+    """One pass for each block; a row that a pass hits is one row of its table, with at most a place for each word."""
+    base = stored(picked.withColumn("row_", F.monotonically_increasing_id()), "decontam-rows")
+    hits = None
+    for b in range(blocks):
+        load = _load(table, b)
+        find = _finder(load)
+
+        def rows(cols, find=find):
+            got = {"row_": [], "hit": [], "ids": []}
+            for r, t in zip(cols["row_"], cols["text_"], strict=True):
+                hit, ids = find(words_of(t))
+                if hit:
+                    for k, v in (("row_", r), ("hit", sorted(hit)), ("ids", sorted(ids))):
+                        got[k].append(v)
+            return got
+
+        found = stored(map_rows(base.select("row_", "text_"), rows, "row_ long, hit array<int>, ids array<string>"), "decontam-hits")
+        load.destroy()
+        hits = found if hits is None else hits.unionByName(found)
+    united = [F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("hit", "ids")]
+    hits = hits.groupBy("row_").agg(*united)
+
+    def count(cols):
+        return {k: cols[k] for k in ("row_", *keys)} | {"n_words": [len(words_of(t)) for t in cols["text_"]]}
+
+    types = "".join(f"`{k}` {picked.schema[k].dataType.simpleString()}, " for k in keys)
+    counted = map_rows(base, count, "row_ long, " + types + "n_words long").join(hits, "row_", "left")
+    none = F.array().cast("array<string>")
+    sized = counted.withColumn("n_hit", F.coalesce(F.array_size("hit"), F.lit(0)).cast("long"))
+    ids = F.coalesce("ids", none)
+    return sized.select(*keys, "n_words", "n_hit", F.array_size(ids).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort(ids), ","), 256).alias("items_sha256"),
+                        ((F.col("n_hit") > 0) & (MIN_SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text",
