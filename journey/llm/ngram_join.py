@@ -11,8 +11,8 @@ the second and the third order, as many as ``least_shared`` says two similar
 sets always do; they are counted on 16-bit fingerprints, with what a set loses
 to equal fingerprints allowed for, so no pair is lost.  Only the classes of
 candidate pairs and of long lists get their texts read again, for their
-fingerprints, bitmaps and sets; only the sets of pairs that pass all three orders
-and the bitmaps are compared.
+fingerprints and bitmaps; only the sets of pairs that pass all three orders
+and the bitmaps are made, from their texts, and compared.
 
 Where only the components are asked for, a long list of classes that share a
 token is not expanded into all pairs.  Lists of at most ``SMALL`` classes are.  In
@@ -45,6 +45,7 @@ Defined cases
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -364,18 +365,20 @@ def passing(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.where(met("second") & met("third")).select("a", "b"), "join-pairs")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, read: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough; stored.
 
     Parity bitmaps of one or two bits a token go first; only the sets of pairs
-    that they cannot tell apart are shuffled.
+    that they cannot tell apart are read (``read``: see ``_tokens``) and shuffled.
     """
     bitmap = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "bits", "half")])
     near = pairs.join(bitmap("l"), F.col("a") == F.col("key_l")).join(bitmap("r"), F.col("b") == F.col("key_r"))
     pairs = stored(near.where(_near_bits(percent)).select("a", "b").distinct(), "join-near")
     used = pairs.select(F.col("a").cast("string").alias("used")).union(pairs.select(F.col("b").cast("string")))
     used = stored(used.distinct(), "join-used")
-    sets = join_checked(sets.withColumn("used", F.col("key").cast("string")), used, "used", "left_semi")
+    if used.isEmpty():
+        return pairs
+    sets = read(used)
     side = lambda s: sets.select(*[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "tokens")])
     both = pairs.join(side("a"), F.col("a") == F.col("key_a")).join(side("b"), F.col("b") == F.col("key_b"))
     same = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -383,42 +386,63 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(both.where(enough).select("a", "b"), "join-links")
 
 
-def _sets(df: DataFrame, names: DataFrame, size: int, percent: int) -> DataFrame:
-    """Stored (key, n, tokens, second, third, bits, half) of the texts whose id is among ``names``, one row a class.
-
-    ``second`` and ``third`` are the prefixes' fingerprints, ``bits`` and ``half`` the thin parity bitmaps.
-    """
+def _read_again(df: DataFrame, names: DataFrame, size: int, ddl: str, more) -> DataFrame:
+    """(key, n, ..) of the texts whose id is among ``names``, once for each class and task; ``more(tokens)`` gives the other columns."""
     texts = df.withColumn("name", F.coalesce(F.col("id").cast("string"), F.lit("")))
     texts = join_checked(texts, names, "name", "left_semi").select("text_")
+    columns = StructType.fromDDL(ddl).names
 
     def start():
         seen: set[int] = set()
 
         def step(cols):
-            got = {"key": [], "n": [], "tokens": [], "second": [], "third": [], "bits": [], "half": []}
+            got = {k: [] for k in ("key", "n", *columns)}
             for t in cols["text_"] if cols else ():
                 tokens = shingle_set(words_of(t), size)
                 key = class_key(tokens) if len(tokens) else None
                 if key is None or key in seen:
                     continue
                 seen.add(key)
-                bits, half = thin_bits(parity_bits(tokens), len(tokens))
-                for k, v in (("key", key), ("n", len(tokens)), ("tokens", _signed(tokens)),
-                             ("second", prefix_by_hash(tokens, 1, percent)), ("third", prefix_by_hash(tokens, 2, percent)),
-                             ("bits", bits), ("half", half)):
+                for k, v in zip(got, (key, len(tokens), *more(tokens)), strict=True):
                     got[k].append(v)
             return got
 
         return step
 
-    sets = stored(_map_texts(texts, start, "key long, n long, tokens array<long>, second array<smallint>, "
-                                           "third array<smallint>, bits array<long>, half array<long>"), "join-sets")
+    return _map_texts(texts, start, f"key long, n long, {ddl}")
+
+
+def _one_row_a_class(sets: DataFrame) -> DataFrame:
+    sets = stored(sets, "join-sets")
     # a class is there twice only if rows in several tasks repeat both its name's id and its text
     if sets.groupBy("key").count().where("count > 1").isEmpty():
         return sets
     return stored(sets.dropDuplicates(["key"]), "join-sets")
 
 
+def _sets(df: DataFrame, names: DataFrame, size: int, percent: int) -> DataFrame:
+    """Stored (key, n, second, third, bits, half) of the texts whose id is among ``names``, one row a class.
+
+    ``second`` and ``third`` are the prefixes' fingerprints, ``bits`` and ``half`` the thin parity bitmaps.
+    The tokens, many times larger, are left to ``_tokens``.
+    """
+    def more(tokens):
+        return (prefix_by_hash(tokens, 1, percent), prefix_by_hash(tokens, 2, percent),
+                *thin_bits(parity_bits(tokens), len(tokens)))
+
+    return _one_row_a_class(_read_again(df, names, size, "second array<smallint>, third array<smallint>, "
+                                                         "bits array<long>, half array<long>", more))
+
+
+def _tokens(df: DataFrame, classes: DataFrame, used: DataFrame, size: int) -> DataFrame:
+    """Stored (key, n, tokens) of the classes whose keys, as strings, are ``used``, one row a class."""
+    wanted = join_checked(classes.withColumn("used", F.col("key").cast("string")), used, "used", "left_semi")
+    names = stored(wanted.select("name").distinct(), "join-names")
+    sets = _read_again(df, names, size, "tokens array<long>", lambda tokens: (_signed(tokens),))
+    sets = join_checked(sets.withColumn("used", F.col("key").cast("string")), used, "used", "left_semi")
+    return _one_row_a_class(sets.drop("used"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
                     percent: int = PERCENT, links: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``.
@@ -450,10 +474,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     else:
         sets = _sets(df, names, size, percent)
         long_lists = rows_of.where("long").select("token", "key", "n").distinct()
-        linked = verified(passing(pairs, sets, percent), sets, percent)
-        comps = _merge(long_lists, linked, sets, percent)
+        read = lambda used: _tokens(df, classes, used, size)
+        linked = verified(passing(pairs, sets, percent), sets, read, percent)
+        comps = _merge(long_lists, linked, sets, read, percent)
         if links:
-            linked = linked.unionByName(_within(long_lists, sets, percent)).distinct()
+            linked = linked.unionByName(_within(long_lists, sets, read, percent)).distinct()
     named = classes.join(comps.withColumnRenamed("node", "key"), "key", "left").select(
         "key", "low", F.coalesce("comp", "key").alias("comp"))
     least = named.groupBy("comp").agg(F.min("low").alias("component_id"))
@@ -506,7 +531,8 @@ def _first_order(found: DataFrame) -> FirstOrder:
                       1 + np.log2(np.maximum(counts, 1)).astype(np.int64))
 
 
-def _merge(long_lists: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _merge(long_lists: DataFrame, links: DataFrame, sets: DataFrame, read: Callable[[DataFrame], DataFrame],
+           percent: int) -> DataFrame:
     """Components (node, comp) of ``links`` and of all further links between members of a long list."""
     last, turn = False, 0
     while True:
@@ -535,7 +561,7 @@ def _merge(long_lists: DataFrame, links: DataFrame, sets: DataFrame, percent: in
             "key", "n", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
         probe = probe.where(_close(F.col("n"), F.col("p.n"), percent)).select(*_pair(F.col("key"), F.col("p.key")))
         probe = passing(probe.distinct(), sets, percent)
-        new = verified(probe, sets, percent)
+        new = verified(probe, sets, read, percent)
         links = stored(links.unionByName(new), "join-links")
         last = new.count() * WORTH < probe.count()  # further pivots would mostly miss
     # exact step
@@ -550,7 +576,7 @@ def _merge(long_lists: DataFrame, links: DataFrame, sets: DataFrame, percent: in
     rest = passing(rest.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), sets, percent)
     if rest.isEmpty():
         return comps
-    return connected_components(links.unionByName(verified(rest, sets, percent)))
+    return connected_components(links.unionByName(verified(rest, sets, read, percent)))
 
 
 def _anchored(live: DataFrame, sets: DataFrame) -> DataFrame:
@@ -566,7 +592,7 @@ def _in_anchor() -> Column:
     return (F.size(common) == 0) | (F.array_max(common) == F.col("token"))
 
 
-def _within(long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _within(long_lists: DataFrame, sets: DataFrame, read: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """The linked pairs (a, b) of all long lists, whatever component they are in; each list is dealt out by its length."""
     count = long_lists.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
     live = stored(_anchored(long_lists.join(count, "token"), sets), "join-within")
@@ -578,7 +604,7 @@ def _within(long_lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         *[F.col(c).alias(f"{c}_r") for c in carried])
     wanted = (F.col("key_l") < F.col("key_r")) & _close(F.col("n_l"), F.col("n_r"), percent) & _in_anchor() & _near_bits(percent)
     near = left.join(right, (F.col("token") == F.col("token_r")) & (F.col("part") == F.col("part_r")) & wanted)
-    return verified(passing(near.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), sets, percent), sets, percent)
+    return verified(passing(near.select(*_pair(F.col("key_l"), F.col("key_r"))).distinct(), sets, percent), sets, read, percent)
 
 
 def _near_bits(percent: int) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import glob
 import random
+import tempfile
+import time
 import zlib
 
 import numpy as np
@@ -11,7 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from journey.llm import ngram_join, secret_scan
+from journey.llm import common, ngram_join, secret_scan
 from journey.llm.components import connected_components
 from journey.llm.wordhash import _PIECE, word_hashes
 from tests.llm import brute
@@ -73,6 +76,37 @@ def test_orders_do_not_change_the_links(spark, monkeypatch):
     assert got == {d: c for d, (_, c) in brute.components(docs).items()}
 
 
+def test_sets_are_stored_for_compared_classes_only(spark, monkeypatch):
+    made, plain = [], ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name: made.append((name, plain(df, name))) or made[-1][1])
+    # a line with another last word each stands in one long list, but is less than 85 % alike
+    shared = " ".join(prose(99, 12))
+    docs = [(i, f"{shared} u{i}") for i in range(40)]
+    docs += [(100 + i, t) for i, (_, t) in enumerate(family(5, 4, 200, 3))]
+    got = ngram_join.near_duplicates(documents(spark, docs))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {d: c for d, (_, c) in brute.components(docs).items()}
+    held = sum(t.count() for _, t in made if "tokens" in t.columns)
+    used = sum(t.count() for name, t in made if name == "join-used")
+    sketched = max(t.count() for _, t in made if "second" in t.columns)
+    assert 2 <= held <= used < 40 <= sketched
+
+
+def test_shuffle_files_of_a_stored_table_go_when_it_is_written(spark):
+    def there():
+        return set(glob.glob(f"{spark.conf.get('spark.local.dir', tempfile.gettempdir())}/blockmgr-*/*/shuffle_*.data"))
+
+    setting, before = spark.conf.get(common.SHUFFLE_CLEANUP), there()
+    dealt = spark.range(1000).repartition(3, "id")
+    assert dealt.count() == 1000 and there() - before  # the place looked at is the right one
+    before = there()
+    back = common.stored(dealt, "test")
+    end = time.monotonic() + 20
+    while there() - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not there() - before
+    assert back.count() == 1000 and spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+
+
 def test_null_ids_and_empty(spark):
     got = ngram_join.near_duplicates(documents(spark, [(None, "a b c d e"), (4, "A b c d e"), (None, "")])).collect()
     assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == [(4, 4), (None, 4), (None, None)]
