@@ -4,7 +4,13 @@ Two tokenizers cut the same bytes.  Every interval of tokens between two common
 ends is halved at a common end near its middle token, looked for by bisection
 among the other side's ends, outwards from the middle; both halves go on.  An
 interval without a common end inside is a leaf: one group of tokens.  The
-intervals of many texts are halved side by side, one vector step a round.
+intervals of many pieces are halved side by side, one vector step a round.
+
+Where the tokenizers' own rules forbid any token to cross (``Aligner.pieces``),
+a common end needs no search: texts are divided there first, and what a piece
+gives is its share of every text that has it.  Pieces are tokenized and aligned
+once as long as a worker's bounded memory has room; long ones, and texts that
+have no such place or a piece that is not given back, are read whole each time.
 
 Tokens whose byte ranges overlap are linked.  How often two ids are linked is
 counted over all texts:
@@ -30,8 +36,10 @@ Defined cases
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from journey.llm import encoders
 from journey.llm.common import give_back, q, shared_dir
 from journey.llm.encoders import Encoder
 from journey.llm.token_counts import byte_ranges
@@ -57,6 +66,11 @@ STATS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 #: an id pair is one number: first id times this, plus the second
 SIDE = 1 << 31
 
+#: the space mark of ``sentencepiece``
+MARK = "▁"
+_UNEVEN = re.compile(r"\s ")
+_CUT = re.compile(r"(?<=\S)(?= +[^ ])")
+
 
 def byte_table(encoder: Encoder) -> list[bytes]:
     """The bytes of every id of a byte-level ``tokenizers`` file or a ``sentencepiece`` model with byte fallback."""
@@ -112,7 +126,10 @@ def cut_groups(ends_a: np.ndarray, ends_b: np.ndarray, bounds_a: np.ndarray) ->
 
 
 class Aligner:
-    """Both tokenizers in one worker; the first reads a space and the text, the second adds the space by itself."""
+    """Both tokenizers in one worker; the first reads a space and the text, the second adds the space by itself.
+
+    Numbers, groups and links of pieces are remembered, a bounded number of them.
+    """
 
     loaded: dict[tuple[str, str], Aligner] = {}
 
@@ -124,6 +141,9 @@ class Aligner:
         # an id as it is written inside and at the end of its side of a group
         self.said = [np.array([f"{i}{mark}".encode() for mark in marks for i in range(len(t))], object)
                      for t, marks in zip(tables, (",|", ",;"), strict=True)]
+        #: whether no token of either side crosses the cuts of ``pieces``
+        self.cuts = self.a.cuts and not self.a.model and self.b.cuts and self.b.model
+        self.forget()
 
     @classmethod
     def of(cls, path_a: str, path_b: str) -> Aligner:
@@ -131,36 +151,134 @@ class Aligner:
             cls.loaded[path_a, path_b] = cls(path_a, path_b)
         return cls.loaded[path_a, path_b]
 
-    def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides; empty where the text is or where a side does not give back its bytes."""
-        given = ([" " + t for t in texts], texts)
-        out = [[np.frombuffer(x, "<u4") for x in e.ids(g)] for e, g in zip((self.a, self.b), given, strict=True)]
-        whole = [b" " + t.encode("utf-8", "replace") if t else b"" for t in texts]
-        both = b"".join(whole)
-        if all(texts) and all(self._back(s, np.concatenate(out[s])) == both for s in (0, 1)):
-            sizes = np.cumsum([len(w) for w in whole])  # the same bytes, and cut alike: every text is given back
-            if all(np.array_equal(np.cumsum([self.sizes[s][x].sum() for x in out[s]]), sizes) for s in (0, 1)):
-                return out[0], out[1]
-        none = np.empty(0, "<u4")
-        for i, w in enumerate(whole):
-            if not w or any(self._back(s, out[s][i]) != w for s in (0, 1)):
-                out[0][i] = out[1][i] = none
-        return out[0], out[1]
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        # of each remembered piece: n_a, n_b, n_groups, n_links; its groups; where its links begin among the links of all
+        self.numbers, self.groups, self.first = np.empty((4, 0), np.int64), [], np.empty(0, np.int64)
+        self.links = np.empty(0, np.int64)
+        self.a.known.clear()
+        self.b.known.clear()
 
-    def _back(self, side: int, ids: np.ndarray) -> bytes:
-        return b"".join(self.bytes_of[side][ids].tolist())
+    def pieces(self, text: str) -> list[str]:
+        """The text cut where both sides end a token: before a space that follows a character which is not white space.
+
+        Pieces come without their first space, the text as if it had one more before it.
+        """
+        if not text or not self.cuts or MARK in text:
+            return [text] if text else []
+        if _UNEVEN.search(text) is None and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return [p[1:] for p in _CUT.split(" " + text)]
 
     def align(self, texts: list[str]):
         """Arrays by text (n_a, n_b, n_groups, n_links), the groups of each text as bytes, and the pairs of all links in order.
 
         A pair is the first id times the size of the second vocabulary, plus the second id.
         """
-        ids_a, ids_b = self.ids(texts)
-        a, b = np.concatenate(ids_a).astype(np.int64), np.concatenate(ids_b).astype(np.int64)
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (ids_a, ids_b))
+        pieces = [self.pieces(t) for t in texts]
+        at, long = self._places(pieces)
+        stop = np.cumsum([len(p) for p in pieces])
+        lost = np.unique(np.searchsorted(stop, np.flatnonzero(self.numbers[0, at] == 0), "right"))
+        lost = [i for i in lost.tolist() if len(pieces[i]) > 1]
+        if lost:  # a piece is not given back: the whole text decides
+            for i in lost:
+                pieces[i] = [texts[i]]
+            self._drop(long)
+            at, long = self._places(pieces)
+            stop = np.cumsum([len(p) for p in pieces])
+        numbers = self.numbers[:, at]
+        n_links = numbers[3]
+        pairs = self.links[np.repeat(self.first[at] - np.cumsum(n_links) + n_links, n_links) + np.arange(n_links.sum())]
+        run = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(numbers, axis=1)], axis=1)
+        given, at, stop = self.groups, at.tolist(), np.append(0, stop).astype(np.int64)
+        said = [b"".join([given[i] for i in at[x:y]])[:-1] for x, y in itertools.pairwise(stop.tolist())]
+        self._drop(long)
+        return *np.diff(run[:, stop], axis=1), said, pairs
+
+    def _places(self, pieces: list[list[str]]) -> tuple[np.ndarray, list[str]]:
+        """The places of all pieces, in order; and the long ones, to be dropped after use."""
+        every = list(chain.from_iterable(pieces))
+        at = np.fromiter(map(self.place.get, every, repeat(-1)), np.int64, len(every))
+        new = np.flatnonzero(at < 0).tolist()
+        if not new:
+            return at, []
+        missing = dict.fromkeys([every[i] for i in new])
+        if len(self.place) + len(missing) + (len(self.a.known) + len(self.b.known)) // 2 > encoders.REMEMBER:
+            self.forget()
+            new, missing = range(len(every)), dict.fromkeys(every)
+        long = [p for p in missing if len(p) > encoders.REMEMBER_CHARS]
+        self._learn(*self._short([p for p in missing if len(p) <= encoders.REMEMBER_CHARS]))
+        if long:
+            given = ([" " + p for p in long], long)
+            read = [e.ids(g) for e, g in zip((self.a, self.b), given, strict=True)]
+            self._learn(long, *[x for r in read for x in (np.frombuffer(b"".join(r), "<u4").astype(np.int64),
+                                                          np.array([len(b) // 4 for b in r], np.int64))])
+        at[new] = [self.place[every[i]] for i in new]
+        return at, long
+
+    def _drop(self, long: list[str]) -> None:
+        """Forget the long pieces, which were learned last."""
+        if long:
+            n = len(self.place) - len(long)
+            self.links = self.links[:self.first[n]].copy()
+            self.numbers, self.first = self.numbers[:, :n].copy(), self.first[:n].copy()
+            del self.groups[n:]
+            for p in long:
+                del self.place[p]
+
+    def _short(self, pieces: list[str]):
+        """The pieces, and for each side their ids in a row and how many each has."""
+        # those that a space may follow come first: the first side reads them as one text
+        even = [p for p in pieces if self.cuts and not p[-1].isspace()]
+        rest = [p for p in pieces if not self.cuts or p[-1].isspace()]
+        a, n_a = self._together([" " + p for p in even])
+        one_by_one = [ids for _, ids in self.a.encode([" " + p for p in rest])]
+        second = [ids for _, ids in self.b.encode(even + rest)]
+        return (even + rest, np.concatenate([a, _flat(one_by_one)]), np.append(n_a, list(map(len, one_by_one))).astype(np.int64),
+                _flat(second), np.array(list(map(len, second)), np.int64))
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the first side; it ends a token at the end of each piece, and the tokens' bytes tell where that is."""
+        read = [self.a.library.encode_batch_fast(["".join(b)], add_special_tokens=False)[0].ids for b in self.a.batches(pieces)]
+        ids = _flat(read)
+        ends = np.append(0, np.cumsum(self.sizes[0][ids]))
+        whole = [p.encode("utf-8", "replace") for p in pieces]
+        stop = np.append(0, np.cumsum([len(w) for w in whole])).astype(np.int64)
+        at = np.searchsorted(ends, stop, "right") - 1
+        if np.array_equal(ends[at], stop) and self._back(0, ids) == b"".join(whole):
+            return ids, np.diff(at)
+        read = [x for _, x in self.a.encode(pieces)]  # not the same bytes
+        return _flat(read), np.array(list(map(len, read)), np.int64)
+
+    def _back(self, side: int, ids: np.ndarray) -> bytes:
+        return b"".join(self.bytes_of[side][ids].tolist())
+
+    def _learn(self, pieces: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """Align the pieces and remember them; all numbers are zero where a side does not give back the bytes."""
+        if not pieces:
+            return
+        whole = [b" " + p.encode("utf-8", "replace") for p in pieces]
+        size, both = np.array([len(w) for w in whole], np.int64), b"".join(whole)
+        ids, n, ok = [a, b], [n_a, n_b], np.ones(len(pieces), bool)
+        for s in (0, 1):  # the same bytes, and cut alike: every piece is given back
+            run = np.append(0, np.cumsum(self.sizes[s][ids[s]]))[np.append(0, np.cumsum(n[s]))]
+            if not np.array_equal(np.diff(run), size) or self._back(s, ids[s]) != both:
+                stop = np.cumsum(n[s])
+                ok &= [self._back(s, ids[s][y - k:y]) == w for y, k, w in zip(stop.tolist(), n[s].tolist(), whole, strict=True)]
+        if not ok.all():
+            a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
+            n_a, n_b = n_a * ok, n_b * ok
+        numbers, groups, links = self._aligned(a, n_a, b, n_b)
+        self.place.update(zip(pieces, range(len(self.place), len(self.place) + len(pieces)), strict=True))
+        self.first = np.append(self.first, len(self.links) + np.cumsum(numbers[3]) - numbers[3])
+        self.numbers = np.concatenate([self.numbers, numbers], axis=1)
+        self.links = np.append(self.links, links)
+        self.groups += groups
+
+    def _aligned(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray):
+        """Four numbers of each piece, its groups as bytes with a ';' at the end, and the pairs of all links in order."""
         if not len(a):
-            zero = np.zeros(len(texts), np.int64)
-            return zero, zero, zero, zero, [b""] * len(texts), np.empty(0, np.int64)
+            return np.zeros((4, len(n_a)), np.int64), [b""] * len(n_a), np.empty(0, np.int64)
         ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
         last_a = cut_groups(ends_a, ends_b, np.cumsum(n_a))
         last_b = np.searchsorted(ends_b, ends_a[last_a])
@@ -169,15 +287,15 @@ class Aligner:
         ends = ends[np.append(True, ends[1:] != ends[:-1])]
         pairs = a[np.searchsorted(ends_a, ends)] * len(self.sizes[1]) + b[np.searchsorted(ends_b, ends)]
         stop = np.cumsum(n_a)
-        where = np.append(0, ends_a)[stop]  # bytes before each text's end
+        where = np.append(0, ends_a)[stop]  # bytes before each piece's end
         n_links = np.diff(np.searchsorted(ends, where, "right"), prepend=0)
         n_groups = np.diff(np.searchsorted(last_a, stop - 1, "right"), prepend=0)
         n_groups[n_a == 0] = 0
-        return n_a, n_b, n_groups, n_links, self._groups(a, b, last_a, last_b, stop, np.cumsum(n_b)), pairs
+        return np.stack([n_a, n_b, n_groups, n_links]), self._groups(a, b, last_a, last_b, stop, np.cumsum(n_b)), pairs
 
     def _groups(self, a, b, last_a, last_b, stop_a, stop_b) -> list[bytes]:
-        """The groups of each text: ids joined by commas, the sides by '|', groups by ';'."""
-        # a token's place in the text: behind the other side's tokens of the groups before its own, or up to it
+        """The groups of each piece: ids joined by commas, the sides by '|', a ';' behind each group."""
+        # a token's place in the piece: behind the other side's tokens of the groups before its own, or up to it
         in_a = np.zeros(len(a) + 1, np.int64)
         in_a[last_a + 1] = np.diff(last_b + 1, prepend=0)
         in_b = np.zeros(len(b) + 1, np.int64)
@@ -188,8 +306,12 @@ class Aligner:
         end_a[last_a], end_b[last_b] = len(self.sizes[0]), len(self.sizes[1])
         said[np.arange(len(a)) + np.cumsum(in_a[:-1])] = self.said[0][a + end_a]
         said[np.arange(len(b)) + np.cumsum(in_b[:-1])] = self.said[1][b + end_b]
-        at = (stop_a + stop_b).tolist()
-        return [b"".join(said[x:y].tolist())[:-1] for x, y in zip([0, *at[:-1]], at, strict=True)]
+        at, said = (stop_a + stop_b).tolist(), said.tolist()
+        return [b"".join(said[x:y]) for x, y in zip([0, *at[:-1]], at, strict=True)]
+
+
+def _flat(lists) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
 
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -121,6 +121,45 @@ def test_alignment_counts_links_of_the_whole_corpus(spark, monkeypatch, chunk_li
     assert Counter(map(tuple, made.collect())) == Counter(want)
 
 
+def aligner():
+    return alignment.Aligner(public_tokenizers.path(A), public_tokenizers.path(B))
+
+
+@pytest.mark.parametrize(("remember", "chars"), [(400_000, 48), (40, 48), (40, 3)])
+def test_alignment_by_pieces_is_that_of_whole_texts(monkeypatch, remember, chars):
+    monkeypatch.setattr("journey.llm.encoders.REMEMBER", remember)
+    monkeypatch.setattr("journey.llm.encoders.REMEMBER_CHARS", chars)
+    texts = noise(8, 600) + ["a  b ", " a", "a\n b", "a\xa0 b", "a b\n", "   ", "\n", "a ▁ b", "a ▁", "x" * 100 + " y\n" + "z" * 60]
+    texts += [t or "" for _, t in EDGE] + [" ".join(prose(9, 500))] * 2
+    plain, made = plain_alignment(texts), aligner()
+    assert len({len(g) > 0 for *_, g, _ in plain}) == 2
+    for first in range(0, len(texts), 100):
+        want = plain[first:first + 100]
+        n_a, n_b, n_groups, n_links, said, pairs = made.align(texts[first:first + 100])
+        assert list(zip(n_a, n_b, n_groups, n_links, strict=True)) == [(a, b, len(g), len(x)) for a, b, g, x in want]
+        assert [s.decode() for s in said] == [";".join(g) for _, _, g, _ in want]
+        second = len(made.sizes[1])
+        assert Counter(pairs.tolist()) == Counter(a * second + b for *_, links in want for a, b in links)
+        assert len(made.place) == len(made.groups) == made.numbers.shape[1] <= max(remember, 6_000)
+
+
+def test_a_word_that_comes_again_is_tokenized_and_aligned_once(monkeypatch):
+    halved, cut = [], alignment.cut_groups
+    monkeypatch.setattr(alignment, "cut_groups", lambda a, b, bounds: halved.append(len(a)) or cut(a, b, bounds))
+    made, text = aligner(), " ".join(prose(10, 40) * 50)
+    numbers = [made.align([text, text])[:4] for _ in range(3)]
+    assert len({tuple(map(tuple, n)) for n in numbers}) == 1
+    assert 0 < sum(halved) < numbers[0][0][0] / 10
+
+
+def test_a_text_with_a_piece_that_is_not_given_back_has_no_tokens():
+    made = aligner()
+    ids = made.b.library.encode("broken")
+    made.bytes_of[1][ids] = [x.upper() for x in made.bytes_of[1][ids]]
+    numbers = np.array(made.align(["all is well", "one is broken here", "all"])[:4])
+    assert (numbers[:, 1] == 0).all() and (numbers[:, [0, 2]] > 0).all()
+
+
 def test_alignment_of_no_rows(spark):
     none = documents(spark, EDGE).limit(0)
     assert alignment.align(none, public_tokenizers.path(A), public_tokenizers.path(B)).collect() == []
